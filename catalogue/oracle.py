@@ -173,7 +173,7 @@ ORACLE: dict[str, str] = {
                {_TS}, {_DT} AS dt
         FROM events""",
     "evolve_fill_missing": f"""
-        SELECT event_id, CASE WHEN {_DT} <> '{DAY}' THEN user_id END AS user_id, event_type, value,
+        SELECT event_id, CASE WHEN {_DT} <> '{DAY}' THEN CAST(user_id AS VARCHAR) END AS user_id, event_type, value,
                CASE WHEN {_DT} <> '{DAY}' THEN props ELSE '' END AS props, {_TS}, {_DT} AS dt
         FROM events""",
     "evolve_drop_new": f"""
@@ -190,7 +190,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'c_mktsegment', '', count(c_mktsegment) FROM customer""",
     "align_to_target": """
         SELECT o_custkey AS c_custkey, CAST(NULL AS VARCHAR) AS c_name,
-               CAST(NULL AS INTEGER) AS c_nationkey, o_totalprice AS c_acctbal,
+               CAST(NULL AS VARCHAR) AS c_nationkey, o_totalprice AS c_acctbal,
                o_orderpriority AS c_mktsegment
         FROM orders""",
     "schema_to_ddl": """
@@ -228,7 +228,8 @@ ORACLE: dict[str, str] = {
                        segment := CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END,
                        price := o_totalprice), (o_orderdate, o_orderkey)) AS latest
             FROM orders GROUP BY 1)
-        SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM batch)
+        SELECT * REPLACE (CAST(c_nationkey AS VARCHAR) AS c_nationkey)
+        FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM batch)
         UNION ALL
         SELECT c_custkey, NULL, NULL, latest.price, latest.segment FROM batch""",
     "upsert_by_key_days": f"""
@@ -253,7 +254,7 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'unpartitioned', {_DT}, count(*) FROM events GROUP BY ALL""",
     "drop_all_tables": """
-        SELECT 'supplier' AS table_name, count(*) AS n_rows, CAST(0 AS INTEGER) AS still_there FROM supplier
+        SELECT 'supplier' AS table_name, count(*) AS n_rows, CAST(0 AS INTEGER) AS "left" FROM supplier
         UNION ALL SELECT 'part', count(*), 0 FROM part
         UNION ALL SELECT 'customer', count(*), 0 FROM customer""",
     "multi_table_load": f"""

@@ -75,6 +75,11 @@ def _with_update_time(events: DataFrame) -> DataFrame:
     return events.withColumn("updated", F.col("ts") + hours)
 
 
+def _as_text(df: DataFrame, name: str) -> DataFrame:
+    """An integer column with NULLs as text, which both engines hand out alike."""
+    return df.withColumn(name, F.col(name).cast("string"))
+
+
 def _mixed_day_text(c: str) -> Column:
     """The event's time in three formats, by its type."""
     day = F.to_date(c)
@@ -450,7 +455,8 @@ def evolve_fill_missing(spark: SparkSession, sf: str) -> DataFrame:
     table = _events_table(spark, sf)
     narrower = _events(spark, sf).drop("props", "user_id")
     warehouse.replace_day(narrower, table, DAY)
-    return spark.table(quoted(table)).select(*EVENT, _time_text("ts"), "dt")
+    rows = spark.table(quoted(table)).select(*EVENT, _time_text("ts"), "dt")
+    return _as_text(rows, "user_id")
 
 
 @_query
@@ -482,7 +488,7 @@ def align_to_target(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderpriority").alias("c_mktsegment"),
         "o_orderkey",
     )
-    return drift.align_to_target(orders, target)
+    return _as_text(drift.align_to_target(orders, target), "c_nationkey")
 
 
 @_query
@@ -569,7 +575,8 @@ def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderdate",
         "o_orderkey",
     )
-    return upsert_sink.upsert(batch, table, ["c_custkey"], ["o_orderdate", "o_orderkey"])
+    merged = upsert_sink.upsert(batch, table, ["c_custkey"], ["o_orderdate", "o_orderkey"])
+    return _as_text(merged, "c_nationkey")
 
 
 @_query
@@ -632,14 +639,18 @@ def retention_clean(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def drop_all_tables(spark: SparkSession, sf: str) -> DataFrame:
     database = new_database(spark)
-    sources = ["supplier", "part", "customer"]
-    loaded = load.load_tables(file_sources.parquet_reader(spark, sf), database, sources, DAY)
-    rows = {name: df.count() for name, df in loaded.items()}
-    listed = partitions.drop_all_tables(spark, database)
+    names = ["supplier", "part", "customer"]
+    load.load_tables(file_sources.parquet_reader(spark, sf), database, names, DAY)
+    listed = partitions.drop_all_tables(spark, database)  # dry run
     partitions.drop_all_tables(spark, database, confirm=True)
     left = set(partitions.tables_of(spark, database))
-    result = [(name, rows[name], int(name in left)) for name in listed]
-    return spark.createDataFrame(result, "table_name string, n_rows bigint, still_there int")
+    each = [
+        _read(spark, sf, name)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(name).alias("table_name"), "n_rows", F.lit(int(name in left)).alias("left"))
+        for name in listed
+    ]
+    return each[0].union(each[1]).union(each[2])
 
 
 @_query

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from daybook.model import check_day, check_range
 from daybook.session import quoted
 
+# Fixed value: the partition of rows whose partition column is NULL.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 _DROPS_PER_STATEMENT = 500
 
 
@@ -23,6 +26,10 @@ def is_partitioned_by_day(spark: SparkSession, table: str) -> bool:
     return [c.lower() for c in partition_columns(spark, table)][:1] == ["dt"]
 
 
+def has_day_partitions_only(spark: SparkSession, table: str) -> bool:
+    return [c.lower() for c in partition_columns(spark, table)] == ["dt"]
+
+
 def list_partitions(spark: SparkSession, table: str) -> DataFrame:
     """Column ``partition``: ``dt=2021-09-01``, with deeper levels after a slash."""
     return spark.sql(f"SHOW PARTITIONS {quoted(table)}")

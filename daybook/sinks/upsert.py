@@ -32,8 +32,8 @@ def upsert(
     to NULL; of several rows with one key the last by ``order_by`` counts.  ``order_by``
     may name columns the table does not have.  A NULL key is an error.
 
-    A table partitioned by ``dt`` is rewritten only in the days that receive a row or hold
-    one that is replaced; any other table is written anew beside the old one and swapped.
+    A table partitioned by ``dt`` alone is rewritten only in the days that receive a row or
+    hold one that is replaced; any other is written anew beside the old one and swapped.
     """
     spark = df.sparkSession
     target = spark.table(quoted(table))
@@ -45,7 +45,7 @@ def upsert(
     latest = latest_rows(batch, keys, list(order)).drop(*order)
     latest = latest.withColumns({k: _required(k) for k in keys})
     with staged(latest) as new:
-        if partitions.is_partitioned_by_day(spark, table):
+        if partitions.has_day_partitions_only(spark, table):
             _rewrite_days(target, new, table, keys)
         else:
             _swap(target, new, table, keys)
@@ -63,10 +63,13 @@ def _rewrite_days(target: DataFrame, new: DataFrame, table: str, keys: list[str]
     if "dt" not in keys:
         held = target.join(new.select(*keys), keys, "left_semi").select("dt")
         touched = touched.union(held)
-    days = [r["dt"] for r in touched.distinct().collect()]  # one short text per calendar day
-    if not days:
-        return
-    merged = _merged(target.where(F.col("dt").isin(days)), new, keys)
+    found = touched.distinct().collect()  # one short text per calendar day
+    days = [r["dt"] for r in found if r["dt"] is not None]
+    affected = F.col("dt").isin(days)
+    if len(days) < len(found):
+        affected = affected | F.col("dt").isNull()
+        days.append(partitions.NO_DAY)
+    merged = _merged(target.where(affected), new, keys)
     # A table cannot be overwritten by a plan that reads it, so the days are staged first.
     with staged(drift.in_table_order(merged, target.schema)) as rows:
         overwrite_days(rows.hint("rebalance", "dt"), table, days)

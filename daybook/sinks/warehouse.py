@@ -42,8 +42,8 @@ def _create(df: DataFrame, table: str, fmt: str, partitioned: bool = True) -> No
 
 def _reconciled(df: DataFrame, table: str, on_new: str) -> DataFrame:
     spark = df.sparkSession
-    if not partitions.is_partitioned_by_day(spark, table):
-        raise ValueError(f"{table} is not partitioned by dt")
+    if not partitions.has_day_partitions_only(spark, table):
+        raise ValueError(f"{table} is not partitioned by dt alone")
     if on_new == EVOLVE:
         drift.add_new_columns(df, table)
     elif on_new != DROP_NEW:
@@ -55,12 +55,14 @@ def _reconciled(df: DataFrame, table: str, on_new: str) -> DataFrame:
 def overwrite_days(df: DataFrame, table: str, days: Sequence[str]) -> None:
     """Make the table's partitions of ``days`` hold exactly the frame's rows.
 
-    The frame must have the table's columns in order and no other days.  The days that
-    got rows are observed by the write itself, so nothing is counted beforehand.
+    The frame must have the table's columns in order and no other days; ``NO_DAY`` stands
+    for rows without one.  The days that got rows are observed by the write itself, so
+    nothing is counted beforehand.
     """
     spark = df.sparkSession
     seen = Observation()
-    observed = df.observe(seen, F.collect_set("dt").alias("days"))
+    day = F.coalesce(F.col("dt"), F.lit(partitions.NO_DAY))
+    observed = df.observe(seen, F.collect_set(day).alias("days"))
     with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         observed.write.mode("overwrite").insertInto(quoted(table))
     partitions.drop_listed_days(spark, table, sorted(set(days) - set(seen.get["days"])))

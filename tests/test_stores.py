@@ -1,0 +1,161 @@
+"""What is said to relational stores and search indexes, checked without one.
+
+No database runs in the tests: options and statements are checked as text, and the
+transaction against a recording stand-in for the driver's connection.
+"""
+
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import pytest
+
+from daybook.sinks import relational as sink
+from daybook.sources import relational as source
+from daybook.sources import search
+
+
+def test_store_urls():
+    store = source.mysql("db.example:3307", "shop", "me", "secret")
+    assert store.url.startswith("jdbc:mysql://db.example:3307/shop?tinyInt1isBit=false")
+    assert source.mysql("h", "d", "u", "p").url.startswith("jdbc:mysql://h:3306/d?")
+    assert source.sql_server("h", "d", "u", "p").url == "jdbc:sqlserver://h:1433;databaseName=d"
+    assert source.clickhouse("h:9", "d").url == "jdbc:clickhouse://h:9/d"
+    assert "secret" not in repr(store)
+    assert store.options()["password"] == "secret"
+
+
+def test_index_resources():
+    assert search.resource("idx") == "idx/_doc"
+    assert search.resource(" idx:docx ") == "idx/docx"
+    assert search.resource("idx", "kind") == "idx/kind"
+
+
+def test_day_statements(spark):
+    df = spark.createDataFrame([(1, "2024-01-01")], "id int, dt string")
+    by_day = sink.day_statements(df, "t", "t_stage", ["2024-01-01", "2024-01-02"])
+    assert by_day == [
+        ("DELETE FROM t WHERE dt IN (?, ?)", ("2024-01-01", "2024-01-02")),
+        ("INSERT INTO t (id, dt) SELECT id, dt FROM t_stage", ()),
+    ]
+    assert sink.day_statements(df, "t", "t_stage", None)[0] == ("DELETE FROM t", ())
+    with pytest.raises(ValueError):
+        sink.day_statements(df, "t", "t_stage", ["2024-01-01' OR 1=1"])
+
+
+def test_upsert_statements(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    assert sink.upsert_statement(df, "t", "s", ["id"], "mysql") == (
+        "INSERT INTO t (id, v) SELECT id, v FROM s "
+        "ON DUPLICATE KEY UPDATE id = VALUES(id), v = VALUES(v)"
+    )
+    assert sink.upsert_statement(df, "t", "st", ["ID"], "standard") == (
+        "MERGE INTO t t USING st s ON t.ID = s.ID WHEN MATCHED THEN UPDATE SET t.v = s.v "
+        "WHEN NOT MATCHED THEN INSERT (id, v) VALUES (s.id, s.v)"
+    )
+
+
+class Recorder:
+    """Stands in for the JVM gateway and the connection it hands out."""
+
+    def __init__(self, fail_on=None):
+        self.log = []
+        log = self.log
+
+        class Statement:
+            def __init__(self, sql):
+                self.sql, self.values = sql, []
+
+            def setString(self, position, value):
+                self.values.append((position, value))
+
+            def execute(self):
+                if fail_on and fail_on in self.sql:
+                    raise RuntimeError("refused")
+                log.append((self.sql, self.values))
+
+            def close(self):
+                pass
+
+        self.connection = SimpleNamespace(
+            setAutoCommit=lambda on: log.append(("autocommit", on)),
+            prepareStatement=Statement,
+            commit=lambda: log.append("commit"),
+            rollback=lambda: log.append("rollback"),
+            close=lambda: log.append("close"),
+        )
+        properties = SimpleNamespace(setProperty=lambda k, v: None)
+        registry = SimpleNamespace(register=lambda driver: log.append(("driver", driver)))
+        jdbc = SimpleNamespace(DriverRegistry=registry)
+        datasources = SimpleNamespace(jdbc=jdbc)
+        execution = SimpleNamespace(datasources=datasources)
+        spark_packages = SimpleNamespace(sql=SimpleNamespace(execution=execution))
+        self.org = SimpleNamespace(apache=SimpleNamespace(spark=spark_packages))
+        manager = SimpleNamespace(getConnection=lambda url, p: self.connection)
+        self.java = SimpleNamespace(
+            util=SimpleNamespace(Properties=lambda: properties),
+            sql=SimpleNamespace(DriverManager=manager),
+        )
+
+
+STORE = source.Store("jdbc:x://h/d", "u", "p", "x.Driver")
+STATEMENTS = [("DELETE FROM t WHERE dt IN (?)", ("2024-01-01",)), ("INSERT INTO t", ())]
+
+
+def test_one_transaction():
+    jvm = Recorder()
+    sink.run_in_store(SimpleNamespace(_jvm=jvm), STORE, STATEMENTS)
+    assert jvm.log == [
+        ("driver", "x.Driver"),
+        ("autocommit", False),
+        ("DELETE FROM t WHERE dt IN (?)", [(1, "2024-01-01")]),
+        ("INSERT INTO t", []),
+        "commit",
+        "close",
+    ]
+
+
+def test_failure_rolls_back_and_raises():
+    jvm = Recorder(fail_on="INSERT")
+    with pytest.raises(RuntimeError):
+        sink.run_in_store(SimpleNamespace(_jvm=jvm), STORE, STATEMENTS)
+    assert jvm.log[-2:] == ["rollback", "close"]
+    assert "commit" not in jvm.log
+
+
+def test_replace_by_day_needs_days(spark):
+    df = spark.createDataFrame([(1, "2024-01-01")], "id int, dt string")
+    with pytest.raises(ValueError):
+        sink.replace(df, STORE, "t")
+
+
+def test_replace_stages_the_days_then_swaps(spark, monkeypatch):
+    written, ran = [], []
+
+    class Writer:
+        def __init__(self, df, table):
+            self.df, self.table = df, table
+
+        def mode(self, mode):
+            self.write_mode = mode
+            return self
+
+        def save(self):
+            rows = [tuple(r) for r in self.df.collect()]
+            written.append((self.table.split("_stage_")[0], self.write_mode, rows))
+
+    monkeypatch.setattr(sink, "_writer", lambda df, store, table, *_: Writer(df, table))
+    monkeypatch.setattr(sink, "run_in_store", lambda spark, store, s: ran.extend(s))
+    rows = [(1, 1.5, "2024-01-01"), (2, 2.5, "2024-01-02"), (3, 3.5, None)]
+    df = spark.createDataFrame(rows, "id int, x double, dt string")
+    sink.replace(df, STORE, "t", days="2024-01-02")
+    assert written[0] == ("t", "append", [])
+    assert [str(v) for v in written[1][2][0]] == ["2", "2.5000", "2024-01-02"]
+    assert [s.split("_stage_")[0] for s, _ in ran] == [
+        "DELETE FROM t WHERE dt IN (?)",
+        "INSERT INTO t (id, x, dt) SELECT id, x, dt FROM t",
+        "DROP TABLE IF EXISTS t",
+    ]
+    written.clear()
+    sink.replace(df, STORE, "t", sink.SaveMode.OVERWRITE_TABLE)
+    assert len(written[1][2]) == 3

@@ -1,0 +1,300 @@
+"""Table sinks, upsert, partition upkeep: what is in the table afterwards, also when run twice."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.model import SaveMode
+from daybook.operators import changes, partitions
+from daybook.session import new_database, quoted, session_setting, shared_folder, staged
+from daybook.sinks import upsert as upsert_sink
+from daybook.sinks import warehouse
+
+
+@pytest.fixture
+def table(spark):
+    return f"{new_database(spark, 'test')}.t"
+
+
+def frame(spark, rows, columns="id int, v string, dt string"):
+    return spark.createDataFrame(rows, columns)
+
+
+def content(spark, table, *columns):
+    df = spark.table(quoted(table))
+    df = df.select(*columns) if columns else df
+    return sorted([tuple(r) for r in df.collect()], key=repr)
+
+
+def names(spark, table):
+    return sorted(r[0] for r in partitions.list_partitions(spark, table).collect())
+
+
+START = [(1, "a", "2024-01-01"), (2, "b", "2024-01-02"), (3, "c", "2024-01-03")]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_replace_day_twice(spark, table, fmt):
+    for day in ("2024-01-01", "2024-01-02"):
+        warehouse.replace_day(frame(spark, START), table, day, fmt=fmt)
+    assert content(spark, table) == START[:2]
+    new = [(9, "x\r\ny", "2024-01-02"), (8, "other day", "2024-01-01"), (7, "no day", None)]
+    for _ in range(2):
+        warehouse.replace_day(frame(spark, new), table, "2024-01-02")
+        assert content(spark, table) == [START[0], (9, "xy", "2024-01-02")]
+
+
+def test_empty_day_is_dropped(spark, table):
+    warehouse.replace_days(frame(spark, START), table, ["2024-01-01", "2024-01-02"])
+    for _ in range(2):
+        warehouse.replace_day(frame(spark, START[:1]), table, "2024-01-02")
+        assert names(spark, table) == ["dt=2024-01-01"]
+
+
+def test_setting_is_restored_also_on_failure(spark, table):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    warehouse.replace_day(frame(spark, START), table, "2024-01-01")
+    with pytest.raises(Exception):
+        failing = frame(spark, START).withColumn("v", F.raise_error(F.lit("stop")).cast("string"))
+        warehouse.replace_day(failing, table, "2024-01-01")
+    assert spark.conf.get(key) == before
+    assert content(spark, table) == START[:1], "a failed run leaves the day as it was"
+    with session_setting(spark, "some.own.key", "1"):
+        pass
+    assert spark.conf.get("some.own.key", None) is None
+
+
+def test_drift_is_reconciled(spark, table):
+    warehouse.replace_day(
+        frame(spark, [(1, "a", 5, "2024-01-01")], "id int, v string, n int, dt string"),
+        table,
+        "2024-01-01",
+    )
+    changed = frame(spark, [(2, 7, "2024-01-02")], "ID int, extra int, dt string")
+    for _ in range(2):
+        warehouse.replace_day(changed, table, "2024-01-02")
+    assert spark.table(quoted(table)).columns == ["id", "v", "n", "extra", "dt"]
+    assert content(spark, table) == [
+        (1, "a", 5, None, "2024-01-01"),
+        (2, "", None, "7", "2024-01-02"),
+    ]
+
+
+def test_columns_may_come_in_any_order(spark, table):
+    warehouse.replace_day(frame(spark, START), table, "2024-01-01")
+    mixed = frame(spark, START).select("dt", "v", "id")
+    warehouse.replace_day(mixed, table, "2024-01-02")
+    assert content(spark, table) == START[:2]
+
+
+def test_range_drops_new_columns_and_keeps_outside_rows(spark, table):
+    warehouse.replace_range(frame(spark, START), table, "2024-01-01", "2024-01-03")
+    rows = [(4, "d", "n", "2024-01-02"), (5, "e", "n", "2024-02-01"), (6, "f", "n", None)]
+    wider = frame(spark, rows, "id int, v string, note string, dt string")
+    warehouse.replace_range(wider, table, "2024-01-02", "2024-01-03")
+    assert spark.table(quoted(table)).columns == ["id", "v", "dt"]
+    assert content(spark, table) == sorted(
+        [START[0], (4, "d", "2024-01-02"), (5, "e", "2024-02-01"), (6, "f", None)], key=repr
+    )
+
+
+def test_scattered_days(spark, table):
+    warehouse.replace_days(frame(spark, START), table, [r[2] for r in START])
+    stale = frame(spark, [(0, "z", r[2]) for r in START])
+    warehouse.replace_days(stale, table, ["2024-01-03", "2024-01-01", "2023-12-31"])
+    assert content(spark, table) == [
+        (0, "z", "2024-01-01"),
+        (0, "z", "2024-01-03"),
+        (2, "b", "2024-01-02"),
+    ]
+    warehouse.replace_days(stale, table, [])
+    assert len(content(spark, table)) == 3
+
+
+def test_other_partitioning_is_refused(spark, table):
+    spark.sql(f"CREATE TABLE {quoted(table)} (id int, v string, dt string) USING parquet")
+    with pytest.raises(ValueError):
+        warehouse.replace_day(frame(spark, START), table, "2024-01-01")
+
+
+def test_whole_table_and_ignore(spark, table):
+    warehouse.write_if_absent(frame(spark, START[:1]), table)
+    warehouse.write_if_absent(frame(spark, START), table)
+    assert content(spark, table) == START[:1]
+    for _ in range(2):
+        warehouse.replace_table(spark.range(3), table, fmt="orc")
+    assert content(spark, table) == [(0,), (1,), (2,)]
+
+
+def test_modes(spark, table):
+    warehouse.write_by_mode(frame(spark, START), table, SaveMode.OVERWRITE_DAY, "2024-01-01")
+    warehouse.write_by_mode(frame(spark, START), table, SaveMode.IGNORE, "2024-01-02")
+    stale = frame(spark, [(0, "z", "2024-01-02")])
+    warehouse.write_by_mode(stale, table, SaveMode.IGNORE, "2024-01-02")
+    assert content(spark, table) == START[:2]
+    warehouse.write_by_mode(frame(spark, START), table, SaveMode.OVERWRITE_TABLE, "2024-01-03")
+    assert content(spark, table) == START[2:]
+
+
+def test_comments_show_in_the_table(spark, table):
+    warehouse.replace_day(frame(spark, START), table, "2024-01-01", comments={"id": "key"})
+    shown = {r["col_name"]: r["comment"] for r in spark.sql(f"DESCRIBE {quoted(table)}").collect()}
+    assert (shown["id"], shown["v"]) == ("key", "")
+
+
+def test_snapshot_for_each_day(spark, table):
+    snapshot = spark.createDataFrame([(1, "a\n"), (2, "b")], "id int, v string")
+    for _ in range(2):
+        warehouse.replace_days_with_snapshot(snapshot, table, "2024-01-01", "2024-01-02")
+        assert content(spark, table, "id", "v", "dt") == [
+            (1, "a", "2024-01-01"),
+            (1, "a", "2024-01-02"),
+            (2, "b", "2024-01-01"),
+            (2, "b", "2024-01-02"),
+        ]
+
+
+def test_upsert_unpartitioned(spark, table):
+    target = spark.createDataFrame(
+        [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)], "Id int, name string, x double"
+    )
+    warehouse.replace_table(target, table, comments={"name": "a name"})
+    batch = spark.createDataFrame(
+        [(2, "late", 5, 1.5), (2, "early", 4, 9.0), (4, " ", 1, 0.0)],
+        "id bigint, NAME string, seq int, unknown double",
+    )
+    expected = [(1, "a", 1.0), (2, "late", None), (3, "c", 3.0), (4, None, None)]
+    for _ in range(2):
+        upsert_sink.upsert(batch, table, ["ID"], ["seq"])
+        assert content(spark, table) == expected
+    assert spark.table(quoted(table)).columns == ["Id", "name", "x"]
+    described = {r[0]: r[2] for r in spark.sql(f"DESCRIBE {quoted(table)}").collect()}
+    assert described["name"] == "a name"
+    database = table.split(".")[0]
+    assert partitions.tables_of(spark, database) == ["t"], "nothing is left beside the table"
+
+
+def test_upsert_moves_rows_between_days(spark, table):
+    rows = [*START, (4, "d", "2024-01-03"), (5, "e", None)]
+    warehouse.replace_range(frame(spark, rows), table, "2024-01-01", "2024-01-03")
+    batch = frame(
+        spark, [(2, "B", "2024-01-04"), (3, "C", None), (5, "E", "2024-01-01"), (6, "F", "2024-01-03")]
+    )
+    expected = [
+        (1, "a", "2024-01-01"),
+        (2, "B", "2024-01-04"),
+        (3, "C", None),
+        (4, "d", "2024-01-03"),
+        (5, "E", "2024-01-01"),
+        (6, "F", "2024-01-03"),
+    ]
+    for _ in range(2):
+        upsert_sink.upsert(batch, table, ["id"], ["v"])
+        assert content(spark, table) == expected
+    assert "dt=2024-01-02" not in names(spark, table)
+    upsert_sink.upsert(frame(spark, [(3, "C", "2024-01-03")]), table, ["id"], ["v"])
+    assert (3, "C", "2024-01-03") in content(spark, table)
+    assert len(content(spark, table)) == 6
+    assert not any(partitions.NO_DAY in n for n in names(spark, table))
+    upsert_sink.upsert(frame(spark, []), table, ["id"], ["v"])
+    assert len(content(spark, table)) == 6
+
+
+def test_upsert_by_day_and_key(spark, table):
+    warehouse.replace_range(frame(spark, START), table, "2024-01-01", "2024-01-03")
+    batch = frame(spark, [(1, "A", "2024-01-01"), (1, "A2", "2024-01-02")])
+    upsert_sink.upsert(batch, table, ["dt", "id"], ["v"])
+    assert content(spark, table) == [
+        (1, "A", "2024-01-01"),
+        (1, "A2", "2024-01-02"),
+        (2, "b", "2024-01-02"),
+        (3, "c", "2024-01-03"),
+    ]
+
+
+def test_upsert_without_key_is_an_error(spark, table):
+    warehouse.replace_table(frame(spark, START), table)
+    with pytest.raises(Exception, match="key column id is NULL"):
+        upsert_sink.upsert(frame(spark, [(None, "x", "2024-01-01")]), table, ["id"], ["v"])
+    assert content(spark, table) == START
+
+
+def test_three_level_partitions(spark, table):
+    rows = [("p", f"2024-01-0{d}", h, "it's 1:0") for d in (1, 2, 3) for h in ("00", "01")]
+    df = spark.createDataFrame(rows, "pk string, dt string, dh string, dm string")
+    df.write.partitionBy("dt", "dh", "dm").saveAsTable(quoted(table))
+    assert partitions.is_partitioned_by_day(spark, table)
+    assert partitions.partition_exists(spark, table, "2024-01-02")
+    dropped = partitions.drop_days(spark, table, "2024-01-02", "2024-01-09")
+    assert len(dropped) == 4
+    assert not partitions.partition_exists(spark, table, "2024-01-02")
+    assert {r[1] for r in content(spark, table)} == {"2024-01-01"}
+    with pytest.raises(ValueError):
+        warehouse.replace_day(df, table, "2024-01-01")
+
+
+def test_first_partition_must_be_exactly_dt(spark, table):
+    df = spark.createDataFrame([(1, "2024-01-01")], "id int, dt_load string")
+    df.write.partitionBy("dt_load").saveAsTable(quoted(table))
+    assert not partitions.is_partitioned_by_day(spark, table)
+    assert partitions.drop_days(spark, table, "2024-01-01") == []
+
+
+def test_retention(spark):
+    first, second = new_database(spark, "test"), new_database(spark, "test")
+    for database in (first, second):
+        for name in ("t1", "t2"):
+            warehouse.replace_range(
+                frame(spark, START), f"{database}.{name}", "2024-01-01", "2024-01-03"
+            )
+    warehouse.replace_table(spark.range(1), f"{first}.plain")
+    dropped = partitions.clean_days(spark, f"{first}, ,{second}", "T1,gone", "2024-01-01", "2024-01-02")
+    assert sorted(dropped) == sorted(
+        (f"{db}.T1", f"dt=2024-01-0{n}") for db in (first, second) for n in (1, 2)
+    )
+    assert content(spark, f"{first}.t1") == START[2:]
+    assert content(spark, f"{first}.t2") == START
+    partitions.clean_days(spark, first, "ALL", "2024-01-03")
+    assert content(spark, f"{first}.t2") == START[:2]
+    assert content(spark, f"{second}.t2") == START
+
+
+def test_drop_all_tables_needs_confirmation(spark):
+    database = new_database(spark, "test")
+    warehouse.replace_table(spark.range(1), f"{database}.a")
+    spark.range(1).createOrReplaceTempView("a_temporary_view")
+    spark.sql(f"CREATE VIEW `{database}`.v AS SELECT 1 AS x")
+    assert partitions.drop_all_tables(spark, database) == ["a"]
+    assert partitions.tables_of(spark, database) == ["a"]
+    assert partitions.drop_all_tables(spark, database, confirm=True) == ["a"]
+    assert partitions.tables_of(spark, database) == []
+    assert spark.catalog.tableExists("a_temporary_view")
+
+
+def test_changed_days_ignore_unknown_times(spark, table):
+    rows = [
+        (1, "2024-01-05 10:00:00", "2024-01-09"),
+        (2, "2024-01-05 11:00:00", "2024-01-09"),
+        (3, None, "2024-01-09"),
+        (4, "2024-01-07", "2024-01-09"),
+        (5, "2024-01-01", "2024-01-08"),
+    ]
+    df = frame(spark, rows, "id int, ordercreatetime string, dt string")
+    warehouse.replace_range(df, table, "2024-01-08", "2024-01-09")
+    found = changes.changed_days(spark, table, "ordercreatetime", "2024-01-09")
+    assert sorted(r["ct"] for r in found.collect()) == ["2024-01-05", "2024-01-07"]
+    template = (
+        f"SELECT to_date(ordercreatetime) AS date, id FROM {quoted(table)} WHERE dt = 'do_date'"
+    )
+    found = changes.changed_days_sql(spark, template, "2024-01-09")
+    assert [r["date"] for r in found.collect()] == ["2024-01-05", "2024-01-07"]
+
+
+def test_staged_rows_live_in_the_shared_folder(spark):
+    with staged(spark.range(3)) as rows:
+        assert all(shared_folder(spark) in name for name in rows.inputFiles())
+        assert rows.count() == 3
+    databases = [d.name for d in spark.catalog.listDatabases()]
+    assert not any(name.startswith("staging_") for name in databases)

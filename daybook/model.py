@@ -97,15 +97,18 @@ def pair_tables(
 ) -> list[TablePair]:
     """Match source tables to target tables, in order.
 
-    Lists may be comma-separated text.  Without targets, a table keeps its name;
-    a blank entry in the target list also means that.  The lists must be equally long.
+    Lists may be comma-separated text.  Without targets, a table keeps its name (an index
+    written ``index:type`` that of the index); a blank entry in the target list also
+    means that.  The lists must be equally long.
     """
 
     def items(names: str | Sequence[str]) -> list[str]:
         return [n.strip() for n in (names.split(",") if isinstance(names, str) else names)]
 
     from_names = items(sources)
-    to_names = items(targets) if targets else list(from_names)
+    to_names = items(targets) if targets else [""] * len(from_names)
     if len(from_names) != len(to_names):
         raise ValueError(f"{len(from_names)} source tables but {len(to_names)} target tables")
-    return [TablePair(s, f"{prefix}{t or s}") for s, t in zip(from_names, to_names)]
+    require_text(**{f"source table {n}": name for n, name in enumerate(from_names, start=1)})
+    named = [t or s.partition(":")[0] for s, t in zip(from_names, to_names)]
+    return [TablePair(s, f"{prefix}{t}") for s, t in zip(from_names, named)]

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.model import check_range, days_between, pair_tables
+from daybook.model import check_range, days_between, pair_tables, require_text
 from daybook.operators.changes import changed_days_sql
 from daybook.operators.frames import stamp_export_time
 from daybook.session import quoted
@@ -42,9 +42,15 @@ def export_days(
     *,
     run_time: str,
     stamp_first: bool = False,
+    last_day_only: bool = False,
 ) -> None:
-    """Export a range of days in one write."""
+    """Export a range of days in one write.
+
+    ``last_day_only`` is for targets that each day would replace whole: what a run per
+    day leaves there is the last day.
+    """
     dt, dt1 = check_range(dt, dt1)
+    dt = dt1 if last_day_only else dt
     write(stamped_days(spark, table, dt, dt1, run_time, stamp_first), days_between(dt, dt1))
 
 
@@ -59,8 +65,10 @@ def export_tables(
     *,
     run_time: str,
     prefix: str = "",
+    last_day_only: bool = False,
 ) -> None:
     """Export the days of several tables; ``write`` also gets the target's name."""
+    require_text(database=database)
     for pair in pair_tables(sources, targets, prefix):
         export_days(
             spark,
@@ -69,6 +77,7 @@ def export_tables(
             dt,
             dt1,
             run_time=run_time,
+            last_day_only=last_day_only,
         )
 
 

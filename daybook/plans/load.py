@@ -20,6 +20,7 @@ from daybook.model import (
     choose_strategy,
     days_between,
     pair_tables,
+    require_text,
 )
 from daybook.operators.frames import clean_text, join_allow_list
 from daybook.sinks import warehouse
@@ -49,6 +50,7 @@ def load_tables(
     the days are replaced by the rows created, or created or updated, on them; that is
     allowed for one table only.  ``to_second`` closes days at 23:59:59.
     """
+    require_text(database=database)
     dt, dt1 = check_range(dt, dt1)
     strategy = choose_strategy(created, updated)
     pairs = pair_tables(sources, targets, prefix)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -56,9 +55,7 @@ def new_path(spark: SparkSession, prefix: str) -> str:
 def new_database(spark: SparkSession, prefix: str = "daybook") -> str:
     """Create an empty database of unused name whose tables live in the shared folder."""
     name = f"{prefix}_{uuid.uuid4().hex[:12]}"
-    location = f"{shared_folder(spark)}/{name}.db"
-    if "://" not in location and not location.startswith("file:"):
-        location = location if os.path.isabs(location) else os.path.abspath(location)
+    location = f"{shared_folder(spark)}/{name}.db".replace("'", "\\'")
     spark.sql(f"CREATE DATABASE `{name}` LOCATION '{location}'")
     return name
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daybook.operators import drift, partitions
 from daybook.operators.frames import blanks_to_null
 from daybook.operators.summaries import latest_rows
-from daybook.session import quoted, staged
+from daybook.session import quoted, session_setting, staged
 from daybook.sinks.warehouse import overwrite_days
 
 
@@ -33,7 +33,8 @@ def upsert(
     may name columns the table does not have.  A NULL key is an error.
 
     A table partitioned by ``dt`` alone is rewritten only in the days that receive a row or
-    hold one that is replaced; any other is written anew beside the old one and swapped.
+    hold one that is replaced.  An unpartitioned one is written anew beside the old one and
+    takes its name.  Any other is staged and overwritten in place.
     """
     spark = df.sparkSession
     target = spark.table(quoted(table))
@@ -48,7 +49,7 @@ def upsert(
         if partitions.has_day_partitions_only(spark, table):
             _rewrite_days(target, new, table, keys)
         else:
-            _swap(target, new, table, keys)
+            _rewrite(target, new, table, keys)
     return spark.table(quoted(table))
 
 
@@ -75,12 +76,20 @@ def _rewrite_days(target: DataFrame, new: DataFrame, table: str, keys: list[str]
         overwrite_days(rows.hint("rebalance", "dt"), table, days)
 
 
-def _swap(target: DataFrame, new: DataFrame, table: str, keys: list[str]) -> None:
+def _rewrite(target: DataFrame, new: DataFrame, table: str, keys: list[str]) -> None:
+    merged = drift.in_table_order(_merged(target, new, keys), target.schema)
     spark = target.sparkSession
+    managed = spark.catalog.getTable(quoted(table)).tableType == "MANAGED"
+    if not managed or partitions.partition_columns(spark, table):
+        # External files stay where they are, and not every catalog moves partitions
+        # along with a renamed table: stage the result, then overwrite in place.
+        key = "spark.sql.sources.partitionOverwriteMode"
+        with staged(merged) as rows, session_setting(spark, key, "static"):
+            rows.write.mode("overwrite").insertInto(quoted(table))
+        return
     tag = uuid.uuid4().hex[:12]
     fresh, old = f"{table}__new_{tag}", f"{table}__old_{tag}"
     spark.sql(f"CREATE TABLE {quoted(fresh)} LIKE {quoted(table)}")
-    merged = drift.in_table_order(_merged(target, new, keys), target.schema)
     try:
         merged.write.insertInto(quoted(fresh))
     except Exception:

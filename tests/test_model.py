@@ -77,5 +77,8 @@ def test_blank_parameters():
 def test_table_lists():
     assert pair_tables("a, b", prefix="ods_") == [TablePair("a", "ods_a"), TablePair("b", "ods_b")]
     assert pair_tables(["a", "b"], "x,") == [TablePair("a", "x"), TablePair("b", "b")]
+    assert pair_tables("idx:docx") == [TablePair("idx:docx", "idx")]
     with pytest.raises(ValueError):
         pair_tables("a,b", "x")
+    with pytest.raises(ValueError):
+        pair_tables("a,")

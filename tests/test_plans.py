@@ -134,6 +134,10 @@ def test_exports_hand_over_rows_and_days(spark, table):
     assert seen.pop() == (["id", "dt", "last_update_time"], [2, 3], ["2024-01-02", "2024-01-03"])
     export.export_days(spark, table, write, "2024-01-02", run_time=run_time, stamp_first=True)
     assert seen.pop()[0][0] == "last_update_time"
+    export.export_days(
+        spark, table, write, "2024-01-02", "2024-01-04", run_time=run_time, last_day_only=True
+    )
+    assert seen.pop()[1:] == ([4], ["2024-01-04"])
     query = f"SELECT date_sub(dt, 2) AS date FROM {quoted(table)} WHERE dt = 'do_date'"
     days = export.export_changed_days(
         spark, table, write, "2024-01-03", "2024-01-05", run_time=run_time, changed_days_query=query

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.model import SaveMode
 from daybook.operators import changes, partitions
-from daybook.session import new_database, quoted, session_setting, shared_folder, staged
+from daybook.session import new_database, new_path, quoted, session_setting, shared_folder, staged
 from daybook.sinks import upsert as upsert_sink
 from daybook.sinks import warehouse
 
@@ -176,6 +176,51 @@ def test_upsert_unpartitioned(spark, table):
     assert partitions.tables_of(spark, database) == ["t"], "nothing is left beside the table"
 
 
+def test_upsert_keeps_the_place_of_external_files(spark, table):
+    path = new_path(spark, "external")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string").write.parquet(path)
+    spark.sql(f"CREATE TABLE {quoted(table)} USING parquet LOCATION '{path}'")
+    upsert_sink.upsert(
+        spark.createDataFrame([(2, "B"), (3, "C")], "id int, v string"), table, ["id"], ["v"]
+    )
+    assert content(spark, table) == [(1, "a"), (2, "B"), (3, "C")]
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == content(spark, table)
+
+
+def test_upsert_into_deeper_partitions(spark, table):
+    rows = [(n, f"2024-01-0{n}", "00") for n in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "id int, dt string, dh string")
+    df.write.partitionBy("dt", "dh").saveAsTable(quoted(table))
+    batch = spark.createDataFrame(
+        [(2, "2024-01-02", "07"), (4, "2024-01-04", "00")], "id int, dt string, dh string"
+    )
+    upsert_sink.upsert(batch, table, ["id"], ["dh"])
+    assert content(spark, table) == [rows[0], (2, "2024-01-02", "07"), rows[2], (4, "2024-01-04", "00")]
+    assert partitions.partition_columns(spark, table) == ["dt", "dh"]
+
+
+def test_sources_are_read_once(spark, table):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    source = frame(spark, START).mapInPandas(count, "id int, v string, dt string")
+    for write in (
+        lambda: warehouse.replace_day(source, table, "2024-01-01"),
+        lambda: warehouse.replace_day(source, table, "2024-01-02"),
+        lambda: warehouse.replace_range(source, table, "2024-01-01", "2024-01-03"),
+        lambda: warehouse.replace_days(source, table, ["2024-01-01", "2024-01-04"]),
+        lambda: warehouse.replace_days_with_snapshot(source, table, "2024-01-01", "2024-01-02"),
+        lambda: upsert_sink.upsert(source, table, ["id", "dt"], ["v"]),
+    ):
+        before = seen.value
+        write()
+        assert seen.value - before == len(START)
+
+
 def test_upsert_moves_rows_between_days(spark, table):
     rows = [*START, (4, "d", "2024-01-03"), (5, "e", None)]
     warehouse.replace_range(frame(spark, rows), table, "2024-01-01", "2024-01-03")

@@ -8,6 +8,7 @@ A day that receives no rows is dropped.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import AbstractContextManager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +35,18 @@ def _sized(df: DataFrame, by_day: bool) -> DataFrame:
     return df.hint("rebalance", "dt") if by_day else df.hint("rebalance")
 
 
+def _full_files(spark: SparkSession) -> AbstractContextManager[None]:
+    # Else merging stops at one partition per core: thousands of small files on a cluster.
+    return session_setting(
+        spark, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false"
+    )
+
+
 def _create(df: DataFrame, table: str, fmt: str, partitioned: bool = True) -> None:
     writer = df.write.format(fmt)
     writer = writer.partitionBy("dt") if partitioned else writer
-    writer.saveAsTable(quoted(table))
+    with _full_files(df.sparkSession):
+        writer.saveAsTable(quoted(table))
 
 
 def _reconciled(df: DataFrame, table: str, on_new: str) -> DataFrame:
@@ -63,7 +72,8 @@ def overwrite_days(df: DataFrame, table: str, days: Sequence[str]) -> None:
     seen = Observation()
     day = F.coalesce(F.col("dt"), F.lit(partitions.NO_DAY))
     observed = df.observe(seen, F.collect_set(day).alias("days"))
-    with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    dynamic = session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
+    with dynamic, _full_files(spark):
         observed.write.mode("overwrite").insertInto(quoted(table))
     partitions.drop_listed_days(spark, table, sorted(set(days) - set(seen.get["days"])))
 
@@ -174,7 +184,8 @@ def replace_range(
     if seen.get["outside"]:
         rows = _reconciled(df.where(~inside), table, on_new)
         rows = _sized(rows, by_day=True) if rebalance else rows
-        rows.write.mode("append").insertInto(quoted(table))
+        with _full_files(spark):
+            rows.write.mode("append").insertInto(quoted(table))
     return result
 
 

@@ -113,6 +113,28 @@ def test_scattered_days(spark, table):
     assert len(content(spark, table)) == 3
 
 
+def test_hot_day_is_split_and_small_days_are_merged(spark, table):
+    hot, first, last = "2024-01-02", "2024-01-01", "2024-01-03"
+    day = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.lit(first))
+    rows = spark.range(0, 60_000, numPartitions=8).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("v"), day.alias("dt")
+    )
+    rows = rows.union(rows.limit(10).withColumn("dt", F.lit(last)))
+
+    def files(day):
+        found = spark.table(quoted(table)).where(F.col("dt") == day)
+        return found.select(F.input_file_name()).distinct().count()
+
+    with session_setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k"):
+        for _ in range(2):  # the first run creates the table
+            warehouse.replace_range(rows, table, first, last)
+            assert files(first) > 2 and files(hot) > 2 and files(last) == 1
+    warehouse.replace_day(rows, table, hot)
+    assert files(hot) == 1
+    held = {r["dt"]: r["count"] for r in spark.table(quoted(table)).groupBy("dt").count().collect()}
+    assert held == {first: 40_000, hot: 20_000, last: 10}
+
+
 def test_other_partitioning_is_refused(spark, table):
     spark.sql(f"CREATE TABLE {quoted(table)} (id int, v string, dt string) USING parquet")
     with pytest.raises(ValueError):

@@ -35,18 +35,18 @@ def _sized(df: DataFrame, by_day: bool) -> DataFrame:
     return df.hint("rebalance", "dt") if by_day else df.hint("rebalance")
 
 
-def _full_files(spark: SparkSession) -> AbstractContextManager[None]:
-    # Else merging stops at one partition per core: thousands of small files on a cluster.
-    return session_setting(
-        spark, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false"
-    )
+def _full_files(spark: SparkSession, by_day: bool) -> AbstractContextManager[None]:
+    # Merging stops at one partition per core unless told otherwise.  Hashed by day that
+    # costs no files; without a key it would cut a day into as many files as there are cores.
+    first = "true" if by_day else "false"
+    key = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    return session_setting(spark, key, first)
 
 
 def _create(df: DataFrame, table: str, fmt: str, partitioned: bool = True) -> None:
     writer = df.write.format(fmt)
     writer = writer.partitionBy("dt") if partitioned else writer
-    with _full_files(df.sparkSession):
-        writer.saveAsTable(quoted(table))
+    writer.saveAsTable(quoted(table))
 
 
 def _reconciled(df: DataFrame, table: str, on_new: str) -> DataFrame:
@@ -73,7 +73,7 @@ def overwrite_days(df: DataFrame, table: str, days: Sequence[str]) -> None:
     day = F.coalesce(F.col("dt"), F.lit(partitions.NO_DAY))
     observed = df.observe(seen, F.collect_set(day).alias("days"))
     dynamic = session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
-    with dynamic, _full_files(spark):
+    with dynamic, _full_files(spark, by_day=len(days) > 1):
         observed.write.mode("overwrite").insertInto(quoted(table))
     partitions.drop_listed_days(spark, table, sorted(set(days) - set(seen.get["days"])))
 
@@ -95,12 +95,13 @@ def _replace(
         rows = _reconciled(rows, table, on_new)
     elif comments:
         rows = drift.with_comments(rows, comments)
-    if rebalance:
-        rows = _sized(rows, by_day=len(days) > 1)
+    by_day = len(days) > 1
+    rows = _sized(rows, by_day) if rebalance else rows
     if exists:
         overwrite_days(rows, table, days)
     else:
-        _create(rows, table, fmt)
+        with _full_files(spark, by_day):
+            _create(rows, table, fmt)
     return spark.table(quoted(table))
 
 
@@ -184,8 +185,7 @@ def replace_range(
     if seen.get["outside"]:
         rows = _reconciled(df.where(~inside), table, on_new)
         rows = _sized(rows, by_day=True) if rebalance else rows
-        with _full_files(spark):
-            rows.write.mode("append").insertInto(quoted(table))
+        rows.write.mode("append").insertInto(quoted(table))
     return result
 
 

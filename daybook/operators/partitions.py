@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from daybook.model import check_day, check_range
+from daybook.model import check_day, check_range, days_between
 from daybook.session import quoted
 
 # Fixed value: the partition of rows whose partition column is NULL.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 _DROPS_PER_STATEMENT = 500
+_DAYS_ASKED_FOR_SINGLY = 31
+
+
+def described(spark: SparkSession, table: str) -> dict:
+    """What the catalog holds about a table; a command's answer, so no job is run."""
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)} AS JSON").first()[0])
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(quoted(table)) if c.isPartition]
+    return described(spark, table).get("partition_columns", [])
 
 
 def is_partitioned_by_day(spark: SparkSession, table: str) -> bool:
@@ -37,13 +43,29 @@ def list_partitions(spark: SparkSession, table: str) -> DataFrame:
 
 def partition_exists(spark: SparkSession, table: str, day: str) -> bool:
     found = spark.sql(f"SHOW PARTITIONS {quoted(table)} PARTITION (dt = '{check_day(day)}')")
-    return not found.isEmpty()
+    return bool(found.take(1))
 
 
-def _drop(spark: SparkSession, table: str, chosen: DataFrame) -> list[str]:
-    # Full specs by equality: range specs are no syntax, partial ones depend on the catalog.
-    names = [r["partition"] for r in chosen.select("partition").collect()]
+def _partitions_of(spark: SparkSession, table: str, days: Sequence[str]) -> list[str]:
+    """Partition names of the days: asked for day by day if few, else picked from all."""
+    if len(days) <= _DAYS_ASKED_FOR_SINGLY and NO_DAY not in days:
+        shown = f"SHOW PARTITIONS {quoted(table)} PARTITION (dt = '{{}}')"
+        return [r["partition"] for day in days for r in spark.sql(shown.format(day)).collect()]
+    wanted = {f"dt={day}" for day in days}
+    every = (r["partition"] for r in list_partitions(spark, table).collect())
+    return [name for name in every if name.split("/")[0] in wanted]
+
 
+def drop_listed_days(spark: SparkSession, table: str, days: Sequence[str]) -> list[str]:
+    """Drop the partitions of exactly these days and name them.
+
+    A table not partitioned by ``dt`` is left alone.  Only partition names reach the driver.
+    """
+    if not days or not is_partitioned_by_day(spark, table):
+        return []
+    names = _partitions_of(spark, table, days)
+
+    # Full specs by equality: range specs are no syntax, partial ones depend on the catalog.
     def spec(name: str) -> str:
         parts = [unquote(level).partition("=") for level in name.split("/")]
         return ", ".join("`{}` = '{}'".format(k, v.replace("'", "\\'")) for k, _, v in parts)
@@ -55,28 +77,9 @@ def _drop(spark: SparkSession, table: str, chosen: DataFrame) -> list[str]:
     return names
 
 
-def _day_of_partition() -> Column:
-    return F.regexp_extract("partition", r"^dt=([^/]*)", 1)
-
-
 def drop_days(spark: SparkSession, table: str, dt: str, dt1: str | None = None) -> list[str]:
-    """Drop the partitions of the inclusive day range and name them.
-
-    A table not partitioned by ``dt`` is left alone.  Only partition names reach the driver.
-    """
-    dt, dt1 = check_range(dt, dt1)
-    if not is_partitioned_by_day(spark, table):
-        return []
-    chosen = list_partitions(spark, table).where(_day_of_partition().between(dt, dt1))
-    return _drop(spark, table, chosen)
-
-
-def drop_listed_days(spark: SparkSession, table: str, days: Sequence[str]) -> list[str]:
-    """Drop the partitions of exactly these days."""
-    if not days or not is_partitioned_by_day(spark, table):
-        return []
-    chosen = list_partitions(spark, table).where(_day_of_partition().isin(list(days)))
-    return _drop(spark, table, chosen)
+    """Drop the partitions of the inclusive day range and name them."""
+    return drop_listed_days(spark, table, days_between(dt, dt1))
 
 
 def _names(listed: str, everything: Sequence[str]) -> list[str]:
@@ -87,8 +90,13 @@ def _names(listed: str, everything: Sequence[str]) -> list[str]:
 
 def tables_of(spark: SparkSession, database: str) -> list[str]:
     """Names of the stored tables of a database, without temporary views."""
-    listed = spark.catalog.listTables(f"`{database}`")
-    return [t.name for t in listed if not t.isTemporary and t.tableType != "VIEW"]
+
+    def stored(kind: str, column: str) -> list[str]:
+        listed = spark.sql(f"SHOW {kind} IN `{database}`").collect()
+        return [r[column] for r in listed if not r["isTemporary"]]
+
+    views = set(stored("VIEWS", "viewName"))
+    return [name for name in stored("TABLES", "tableName") if name not in views]
 
 
 def clean_days(
@@ -101,7 +109,8 @@ def clean_days(
     """
     check_range(dt, dt1)
     dropped = []
-    for database in _names(databases, [d.name for d in spark.catalog.listDatabases()]):
+    existing = [r["namespace"] for r in spark.sql("SHOW DATABASES").collect()]
+    for database in _names(databases, existing):
         stored = tables_of(spark, database)
         known = {t.lower() for t in stored}
         for name in _names(tables, stored):

@@ -79,7 +79,7 @@ def _rewrite_days(target: DataFrame, new: DataFrame, table: str, keys: list[str]
 def _rewrite(target: DataFrame, new: DataFrame, table: str, keys: list[str]) -> None:
     merged = drift.in_table_order(_merged(target, new, keys), target.schema)
     spark = target.sparkSession
-    managed = spark.catalog.getTable(quoted(table)).tableType == "MANAGED"
+    managed = partitions.described(spark, table).get("type") == "MANAGED"
     if not managed or partitions.partition_columns(spark, table):
         # External files stay where they are, and not every catalog moves partitions
         # along with a renamed table: stage the result, then overwrite in place.

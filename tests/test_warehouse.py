@@ -302,6 +302,15 @@ def test_three_level_partitions(spark, table):
         warehouse.replace_day(df, table, "2024-01-01")
 
 
+def test_long_ranges_are_dropped_as_well(spark, table):
+    rows = [(n, "x", d) for n, d in enumerate(("2019-12-31", "2020-01-01", "2023-06-05", "2024-01-01"))]
+    frame(spark, [*rows, (9, "x", None)]).write.partitionBy("dt").saveAsTable(quoted(table))
+    dropped = partitions.drop_days(spark, table, "2020-01-01", "2023-12-31")
+    assert dropped == ["dt=2020-01-01", "dt=2023-06-05"]
+    assert partitions.drop_listed_days(spark, table, [partitions.NO_DAY]) == [f"dt={partitions.NO_DAY}"]
+    assert content(spark, table) == [rows[0], rows[3]]
+
+
 def test_first_partition_must_be_exactly_dt(spark, table):
     df = spark.createDataFrame([(1, "2024-01-01")], "id int, dt_load string")
     df.write.partitionBy("dt_load").saveAsTable(quoted(table))
@@ -332,12 +341,13 @@ def test_drop_all_tables_needs_confirmation(spark):
     database = new_database(spark, "test")
     warehouse.replace_table(spark.range(1), f"{database}.a")
     spark.range(1).createOrReplaceTempView("a_temporary_view")
+    spark.range(1).createOrReplaceTempView("a")
     spark.sql(f"CREATE VIEW `{database}`.v AS SELECT 1 AS x")
     assert partitions.drop_all_tables(spark, database) == ["a"]
     assert partitions.tables_of(spark, database) == ["a"]
     assert partitions.drop_all_tables(spark, database, confirm=True) == ["a"]
     assert partitions.tables_of(spark, database) == []
-    assert spark.catalog.tableExists("a_temporary_view")
+    assert spark.catalog.dropTempView("a_temporary_view") and spark.catalog.dropTempView("a")
 
 
 def test_changed_days_ignore_unknown_times(spark, table):

@@ -108,7 +108,7 @@ def _lenient_time(c: Column) -> Column:
     part = [F.regexp_extract(c, pattern, n).try_cast("int") for n in range(1, 7)]
     day = F.date_add(F.add_months(F.make_date(part[0], F.lit(1), F.lit(1)), part[1] - 1), part[2] - 1)
     clock = F.make_dt_interval(hours=part[3], mins=part[4], secs=part[5].cast("decimal(18,6)"))
-    return F.when(c.rlike(pattern), day.cast("timestamp") + clock)
+    return F.when(c.rlike(pattern), (day.cast("timestamp_ntz") + clock).cast("timestamp"))
 
 
 def parse_time(c: Column | str, lenient: bool = False) -> Column:
@@ -131,8 +131,13 @@ def epoch_ms_to_text(c: Column | str) -> Column:
 
 
 def shift_time(c: Column | str, by: timedelta, lenient: bool = False) -> Column:
-    """Time text moved by a fixed duration; NULL where it cannot be read."""
-    return F.date_format(parse_time(c, lenient) + F.lit(by), TIME_FORMAT)
+    """Time text moved by a fixed duration; NULL where it cannot be read.
+
+    24 hours stay 24 hours where the session's zone changes its clock; adding an interval
+    of a day would not.
+    """
+    shifted = F.unix_micros(parse_time(c, lenient)) + F.lit(by // timedelta(microseconds=1))
+    return F.date_format(F.timestamp_micros(shifted), TIME_FORMAT)
 
 
 def back_quarter_hour(c: Column | str) -> Column:

@@ -11,7 +11,7 @@ from daybook.operators import drift, partitions
 from daybook.operators.frames import blanks_to_null
 from daybook.operators.summaries import latest_rows
 from daybook.session import quoted, session_setting, staged
-from daybook.sinks.warehouse import overwrite_days
+from daybook.sinks.warehouse import overwrite_days, sized
 
 
 def _required(name: str) -> Column:
@@ -71,9 +71,9 @@ def _rewrite_days(target: DataFrame, new: DataFrame, table: str, keys: list[str]
         affected = affected | F.col("dt").isNull()
         days.append(partitions.NO_DAY)
     merged = _merged(target.where(affected), new, keys)
-    # A table cannot be overwritten by a plan that reads it, so the days are staged first.
-    with staged(drift.in_table_order(merged, target.schema)) as rows:
-        overwrite_days(rows.hint("rebalance", "dt"), table, days)
+    # A dynamic overwrite may read the days it replaces: their files go at commit, not before.
+    rows = drift.in_table_order(merged, target.schema)
+    overwrite_days(sized(rows, by_day=len(days) > 1), table, days)
 
 
 def _rewrite(target: DataFrame, new: DataFrame, table: str, keys: list[str]) -> None:

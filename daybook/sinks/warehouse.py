@@ -26,7 +26,7 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(quoted(table))
 
 
-def _sized(df: DataFrame, by_day: bool) -> DataFrame:
+def sized(df: DataFrame, by_day: bool) -> DataFrame:
     """Even out the files to write.
 
     A day's rows are usually a few from each of many scan tasks; rebalancing merges them
@@ -96,7 +96,7 @@ def _replace(
     elif comments:
         rows = drift.with_comments(rows, comments)
     by_day = len(days) > 1
-    rows = _sized(rows, by_day) if rebalance else rows
+    rows = sized(rows, by_day) if rebalance else rows
     if exists:
         overwrite_days(rows, table, days)
     else:
@@ -175,7 +175,7 @@ def replace_range(
     dt, dt1 = check_range(dt, dt1)
     df = clean_text(df) if clean else df
     if not table_exists(spark, table):
-        _create(_sized(df, by_day=True) if rebalance else df, table, fmt)
+        _create(sized(df, by_day=True) if rebalance else df, table, fmt)
         return spark.table(quoted(table))
     inside = F.coalesce(F.col("dt").between(dt, dt1), F.lit(False))
     seen = Observation()
@@ -184,7 +184,7 @@ def replace_range(
     result = _replace(df, table, inside, days, fmt, on_new, None, rebalance)
     if seen.get["outside"]:
         rows = _reconciled(df.where(~inside), table, on_new)
-        rows = _sized(rows, by_day=True) if rebalance else rows
+        rows = sized(rows, by_day=True) if rebalance else rows
         rows.write.mode("append").insertInto(quoted(table))
     return result
 

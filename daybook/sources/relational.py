@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.model import days_between, next_day
+
 
 @dataclass(frozen=True)
 class Store:
@@ -96,6 +98,11 @@ def _bounds(spark: SparkSession, store: Store, table: str, column: str) -> tuple
     return row[0], row[1]
 
 
+def day_predicates(column: str, dt: str, dt1: str | None = None) -> list[str]:
+    """One condition per day of a range, for parallel reads of what was created in it."""
+    return [f"{column} >= '{d}' AND {column} < '{next_day(d)}'" for d in days_between(dt, dt1)]
+
+
 def reader(spark: SparkSession, store: Store, **scan_options) -> Callable[[str], DataFrame]:
     """Table name to frame, for the jobs."""
     return lambda table: scan(spark, store, table, **scan_options)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.functions import dates, text
+from daybook.session import session_setting
 
 
 def values(df, column):
@@ -160,6 +161,14 @@ def test_shifts(rows):
     assert values(df, dates.shift_time("c", timedelta(seconds=1))) == ["2024-03-01 00:10:01", None]
 
 
+def test_durations_are_fixed_where_clocks_change(spark, rows):
+    with session_setting(spark, "spark.sql.session.timeZone", "America/New_York"):
+        df = rows(["2024-03-10 12:00:00"])
+        assert values(df, dates.back_day("c")) == ["2024-03-09 11:00:00"]
+        strict, lenient = (dates.text_to_epoch_ms("c", lenient=x) for x in (False, True))
+        assert values(df, strict) == values(df, lenient) == [1710086400000]
+
+
 def test_validity(rows):
     df = rows(
         [

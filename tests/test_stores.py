@@ -25,6 +25,13 @@ def test_store_urls():
     assert store.options()["password"] == "secret"
 
 
+def test_a_range_is_read_day_by_day():
+    assert source.day_predicates("ct", "2024-02-28", "2024-02-29") == [
+        "ct >= '2024-02-28' AND ct < '2024-02-29'",
+        "ct >= '2024-02-29' AND ct < '2024-03-01'",
+    ]
+
+
 def test_index_resources():
     assert search.resource("idx") == "idx/_doc"
     assert search.resource(" idx:docx ") == "idx/docx"

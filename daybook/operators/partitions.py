@@ -15,7 +15,7 @@ from daybook.session import quoted
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 _DROPS_PER_STATEMENT = 500
-_DAYS_ASKED_FOR_SINGLY = 31
+_DAYS_ASKED_FOR_SINGLY = 7
 
 
 def described(spark: SparkSession, table: str) -> dict:

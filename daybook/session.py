@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,17 +78,16 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
 
 
 @contextmanager
-def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """Hold one session setting for the length of a block."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Hold session settings for the length of a block."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def quoted(table: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daybook.operators import drift, partitions
 from daybook.operators.frames import blanks_to_null
 from daybook.operators.summaries import latest_rows
-from daybook.session import quoted, session_setting, staged
+from daybook.session import quoted, session_settings, staged
 from daybook.sinks.warehouse import overwrite_days, sized
 
 
@@ -83,8 +83,8 @@ def _rewrite(target: DataFrame, new: DataFrame, table: str, keys: list[str]) ->
     if not managed or partitions.partition_columns(spark, table):
         # External files stay where they are, and not every catalog moves partitions
         # along with a renamed table: stage the result, then overwrite in place.
-        key = "spark.sql.sources.partitionOverwriteMode"
-        with staged(merged) as rows, session_setting(spark, key, "static"):
+        whole = {"spark.sql.sources.partitionOverwriteMode": "static"}
+        with staged(merged) as rows, session_settings(spark, whole):
             rows.write.mode("overwrite").insertInto(quoted(table))
         return
     tag = uuid.uuid4().hex[:12]

@@ -8,7 +8,6 @@ A day that receives no rows is dropped.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from contextlib import AbstractContextManager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from daybook.model import SaveMode, check_day, check_range, days_between
 from daybook.operators import drift, partitions
 from daybook.operators.frames import clean_text
-from daybook.session import quoted, session_setting
+from daybook.session import quoted, session_settings
 
 EVOLVE = "evolve"  # new columns are added to the table
 DROP_NEW = "drop"  # new columns are left out
@@ -35,12 +34,16 @@ def sized(df: DataFrame, by_day: bool) -> DataFrame:
     return df.hint("rebalance", "dt") if by_day else df.hint("rebalance")
 
 
-def _full_files(spark: SparkSession, by_day: bool) -> AbstractContextManager[None]:
-    # Merging stops at one partition per core unless told otherwise.  Hashed by day that
-    # costs no files; without a key it would cut a day into as many files as there are cores.
-    first = "true" if by_day else "false"
-    key = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
-    return session_setting(spark, key, first)
+def _merging(by_day: bool) -> dict[str, str]:
+    """How far rebalanced partitions are merged into write tasks.
+
+    Hashed by day, each day is in one partition unless it is hot, so spreading them over
+    all cores costs no files.  Without a key, every task makes a file: merge to full size.
+    """
+    prefix = "spark.sql.adaptive.coalescePartitions"
+    if by_day:
+        return {f"{prefix}.parallelismFirst": "true", f"{prefix}.minPartitionSize": "64k"}
+    return {f"{prefix}.parallelismFirst": "false"}
 
 
 def _create(df: DataFrame, table: str, fmt: str, partitioned: bool = True) -> None:
@@ -72,8 +75,8 @@ def overwrite_days(df: DataFrame, table: str, days: Sequence[str]) -> None:
     seen = Observation()
     day = F.coalesce(F.col("dt"), F.lit(partitions.NO_DAY))
     observed = df.observe(seen, F.collect_set(day).alias("days"))
-    dynamic = session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
-    with dynamic, _full_files(spark, by_day=len(days) > 1):
+    dynamic = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+    with session_settings(spark, dynamic | _merging(by_day=len(days) > 1)):
         observed.write.mode("overwrite").insertInto(quoted(table))
     partitions.drop_listed_days(spark, table, sorted(set(days) - set(seen.get["days"])))
 
@@ -100,7 +103,7 @@ def _replace(
     if exists:
         overwrite_days(rows, table, days)
     else:
-        with _full_files(spark, by_day):
+        with session_settings(spark, _merging(by_day)):
             _create(rows, table, fmt)
     return spark.table(quoted(table))
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.functions import dates, text
-from daybook.session import session_setting
+from daybook.session import session_settings
 
 
 def values(df, column):
@@ -162,7 +162,7 @@ def test_shifts(rows):
 
 
 def test_durations_are_fixed_where_clocks_change(spark, rows):
-    with session_setting(spark, "spark.sql.session.timeZone", "America/New_York"):
+    with session_settings(spark, {"spark.sql.session.timeZone": "America/New_York"}):
         df = rows(["2024-03-10 12:00:00"])
         assert values(df, dates.back_day("c")) == ["2024-03-09 11:00:00"]
         strict, lenient = (dates.text_to_epoch_ms("c", lenient=x) for x in (False, True))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.model import SaveMode
 from daybook.operators import changes, partitions
-from daybook.session import new_database, new_path, quoted, session_setting, shared_folder, staged
+from daybook.session import new_database, new_path, quoted, session_settings, shared_folder, staged
 from daybook.sinks import upsert as upsert_sink
 from daybook.sinks import warehouse
 
@@ -61,7 +61,7 @@ def test_setting_is_restored_also_on_failure(spark, table):
         warehouse.replace_day(failing, table, "2024-01-01")
     assert spark.conf.get(key) == before
     assert content(spark, table) == START[:1], "a failed run leaves the day as it was"
-    with session_setting(spark, "some.own.key", "1"):
+    with session_settings(spark, {"some.own.key": "1"}):
         pass
     assert spark.conf.get("some.own.key", None) is None
 
@@ -125,7 +125,7 @@ def test_hot_day_is_split_and_small_days_are_merged(spark, table):
         found = spark.table(quoted(table)).where(F.col("dt") == day)
         return found.select(F.input_file_name()).distinct().count()
 
-    with session_setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k"):
+    with session_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}):
         for _ in range(2):  # the first run creates the table
             warehouse.replace_range(rows, table, first, last)
             assert files(first) > 2 and files(hot) > 2 and files(last) == 1

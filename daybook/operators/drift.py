@@ -71,10 +71,12 @@ def align_to_target(
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     """Attach column comments; columns not in the map get an empty one."""
-    for field in df.schema.fields:
+
+    def column(field: T.StructField) -> Column:
         metadata = dict(field.metadata) | {"comment": comments.get(field.name, "")}
-        df = df.withMetadata(f"`{field.name}`" if "." in field.name else field.name, metadata)
-    return df
+        return F.col(f"`{field.name}`").alias(field.name, metadata=metadata)
+
+    return df.select([column(f) for f in df.schema.fields])
 
 
 # Column types of tables created in a relational store.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,7 +28,13 @@ def latest_rows(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFram
     An aggregate rather than a ranking window: every task keeps one row per key
     before the shuffle, so a hot key never gathers in one task.
     """
-    rest = [c for c in df.columns if c not in order_by]
-    row = F.struct(*[F.col(f"`{c}`") for c in [*order_by, *rest]])
-    latest = df.groupBy(*keys).agg(F.max(row).alias("_latest"))
+
+    def row(names: list[str]) -> Column:
+        return F.struct(*[F.col(f"`{c}`") for c in names])
+
+    maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
+    ranking = [*order_by, *[c for c in df.columns if c not in order_by and c not in maps]]
+    # Maps have no order: with one among the columns, the row is carried beside its ranking.
+    last = F.max_by(row(df.columns), row(ranking)) if maps else F.max(row(ranking))
+    latest = df.groupBy(*keys).agg(last.alias("_latest"))
     return latest.select([F.col(f"_latest.`{c}`").alias(c) for c in df.columns])

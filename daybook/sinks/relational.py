@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.model import SaveMode, check_day
@@ -60,18 +60,25 @@ def append(
     isolation: str = "NONE",
 ) -> None:
     """Bulk append through at most ``connections`` parallel connections."""
-    _writer(df, store, table, connections, batch_size).option("isolationLevel", isolation).mode(
-        "append"
-    ).save()
+    writer = _writer(df, store, table, connections, batch_size)
+    writer.option("isolationLevel", isolation).mode("append").save()
 
 
-def _writer(df: DataFrame, store: Store, table: str, connections: int, batch_size: int):
-    options = store.options() | {
+def write_options(
+    df: DataFrame, store: Store, table: str, connections: int, batch_size: int
+) -> dict[str, str]:
+    return store.options() | {
         "dbtable": table,
         "numPartitions": str(connections),
         "batchsize": str(batch_size),
         "createTableColumnTypes": drift.create_table_column_types(df.schema),
     }
+
+
+def _writer(
+    df: DataFrame, store: Store, table: str, connections: int, batch_size: int
+) -> DataFrameWriter:
+    options = write_options(df, store, table, connections, batch_size)
     return df.write.format("jdbc").options(**options)
 
 
@@ -127,9 +134,13 @@ def _staging(df: DataFrame, store: Store, table: str, connections: int, batch_si
         run_in_store(df.sparkSession, store, [(f"DROP TABLE IF EXISTS {staging}", ())])
 
 
-def _create_if_missing(df: DataFrame, store: Store, table: str) -> None:
-    # An append of no rows creates the table with the right types and nothing else.
-    _writer(df.limit(0), store, table, 1, 1).mode("append").save()
+def _create_if_missing(df: DataFrame, rows: DataFrame, store: Store, table: str) -> None:
+    """Create the target for the frame's types; ``rows`` are its relational values."""
+    if store.url.startswith("jdbc:mysql:"):  # by statement, which carries the comments
+        statement = drift.create_table_statement(table, df.schema)
+        run_in_store(df.sparkSession, store, [(statement, ())])
+    else:  # an append of no rows creates the table and nothing else
+        _writer(rows.limit(0), store, table, 1, 1).mode("append").save()
 
 
 def replace(
@@ -155,7 +166,7 @@ def replace(
     else:
         days = None
     rows = drift.to_relational(df)
-    _create_if_missing(rows, store, table)
+    _create_if_missing(df, rows, store, table)
     if mode is SaveMode.IGNORE and not scan(spark, store, table).isEmpty():
         return
     with _staging(rows, store, table, connections, batch_size) as staging:

@@ -82,16 +82,22 @@ def scan(
     if split_on and splits > 1:
         if bounds is None:
             bounds = _bounds(spark, store, table, split_on)
-        if bounds[0] is not None:
-            reader = reader.options(
-                partitionColumn=split_on,
-                lowerBound=str(bounds[0]),
-                upperBound=str(bounds[1]),
-                numPartitions=splits,
-            )
+        reader = reader.options(**split_options(split_on, splits, bounds))
     return reader.option("dbtable", table).load()
 
 
+def split_options(column: str, splits: int, bounds: tuple) -> dict[str, str]:
+    """Settings of a parallel read; none for an empty table, whose bounds are NULL."""
+    if bounds[0] is None:
+        return {}
+    return {
+        "partitionColumn": column,
+        "lowerBound": str(bounds[0]),
+        "upperBound": str(bounds[1]),
+        "numPartitions": str(splits),
+    }
+
+
 def _bounds(spark: SparkSession, store: Store, table: str, column: str) -> tuple:
     query = f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}"
     row = spark.read.format("jdbc").options(**store.options()).option("query", query).load().first()

@@ -147,3 +147,14 @@ def test_last_value_and_latest_row(spark):
     rows = summaries.latest_rows(df, ["key"], ["at"])
     assert rows.columns == df.columns
     assert sorted(tuple(r) for r in rows.collect()) == [("j", None, 5), ("k", "new", 3)]
+
+
+def test_latest_row_with_a_map(spark):
+    df = spark.createDataFrame(
+        [("k", {"a": 1}, 1), ("k", {"b": 2}, 2), ("j", None, 1)], "key string, m map<string,int>, at int"
+    )
+    rows = summaries.latest_rows(df, ["key"], ["at"])
+    assert sorted((r["key"], r["m"], r["at"]) for r in rows.collect()) == [
+        ("j", None, 1),
+        ("k", {"b": 2}, 2),
+    ]

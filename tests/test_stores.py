@@ -10,6 +10,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from daybook.operators import drift
 from daybook.sinks import relational as sink
 from daybook.sources import relational as source
 from daybook.sources import search
@@ -62,6 +63,40 @@ def test_upsert_statements(spark):
     )
 
 
+def test_write_options(spark):
+    df = spark.createDataFrame([(1, "a", True)], "id int, v string, b boolean")
+    options = sink.write_options(df, STORE, "t", 50, 50_000)
+    assert options == {
+        "url": "jdbc:x://h/d",
+        "driver": "x.Driver",
+        "user": "u",
+        "password": "p",
+        "dbtable": "t",
+        "numPartitions": "50",
+        "batchsize": "50000",
+        "createTableColumnTypes": "`id` int, `v` varchar(256), `b` string",
+    }
+
+
+def test_split_options():
+    assert source.split_options("id", 8, (1, 90)) == {
+        "partitionColumn": "id",
+        "lowerBound": "1",
+        "upperBound": "90",
+        "numPartitions": "8",
+    }
+    assert source.split_options("id", 8, (None, None)) == {}
+
+
+def test_mysql_target_is_created_with_comments(spark, monkeypatch):
+    ran = []
+    monkeypatch.setattr(sink, "run_in_store", lambda spark, store, s: ran.extend(s))
+    df = drift.with_comments(spark.range(1), {"id": "the key"})
+    store = source.mysql("h", "d", "u", "p")
+    sink._create_if_missing(df, drift.to_relational(df), store, "t")
+    assert ran[0][0].startswith("CREATE TABLE IF NOT EXISTS t (\n  `id` bigint COMMENT 'the key'")
+
+
 class Recorder:
     """Stands in for the JVM gateway and the connection it hands out."""
 

@@ -28,25 +28,28 @@ def stamp_export_time(df: DataFrame, run_time: str, first: bool = False) -> Data
     return _stamp(df, "last_update_time", F.lit(run_time), first)
 
 
-def _over_text(df: DataFrame, change, names: Sequence[str] | None = None) -> DataFrame:
-    chosen = None if names is None else {n.lower() for n in names}
+def _over_text(df: DataFrame, change, chosen) -> DataFrame:
     changed = {
         field.name: change(F.col(f"`{field.name}`"))
         for field in df.schema.fields
-        if isinstance(field.dataType, T.StringType)
-        and (chosen is None or field.name.lower() in chosen)
+        if isinstance(field.dataType, T.StringType) and chosen(field.name.lower())
     }
     return df.withColumns(changed) if changed else df
 
 
-def clean_text(df: DataFrame) -> DataFrame:
-    """Strip line breaks from every string column; other columns and NULLs pass."""
-    return _over_text(df, text.strip_newlines)
+def clean_text(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
+    """Strip line breaks from every string column; other columns and NULLs pass.
+
+    Filters on a skipped column still reach the scan.
+    """
+    skipped = {n.lower() for n in skip}
+    return _over_text(df, text.strip_newlines, lambda name: name not in skipped)
 
 
 def blanks_to_null(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Blank text to NULL in the given string columns, or in all of them."""
-    return _over_text(df, text.blank_to_null, names)
+    wanted = None if names is None else {n.lower() for n in names}
+    return _over_text(df, text.blank_to_null, lambda name: wanted is None or name in wanted)
 
 
 def join_allow_list(df: DataFrame, column: str, allowed: DataFrame, key: str) -> DataFrame:

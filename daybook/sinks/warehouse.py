@@ -157,7 +157,7 @@ def replace_days(
         wanted = F.col("dt").between(days[0], days[-1])
     else:
         wanted = F.col("dt").isin(days)
-    df = clean_text(df) if clean else df
+    df = clean_text(df, skip=["dt"]) if clean else df  # the day's filter must reach the scan
     return _replace(df, table, wanted, days, fmt, on_new, comments, rebalance)
 
 
@@ -176,7 +176,7 @@ def replace_range(
     left out.  Rows of other days, and of none, are kept as well: they are appended."""
     spark = df.sparkSession
     dt, dt1 = check_range(dt, dt1)
-    df = clean_text(df) if clean else df
+    df = clean_text(df, skip=["dt"]) if clean else df
     if not table_exists(spark, table):
         _create(sized(df, by_day=True) if rebalance else df, table, fmt)
         return spark.table(quoted(table))

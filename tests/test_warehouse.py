@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 from pyspark.sql import functions as F
 
 from daybook.model import SaveMode
-from daybook.operators import changes, partitions
+from daybook.operators import changes, frames, partitions
 from daybook.session import new_database, new_path, quoted, session_settings, shared_folder, staged
 from daybook.sinks import upsert as upsert_sink
 from daybook.sinks import warehouse
@@ -52,6 +55,19 @@ def test_empty_day_is_dropped(spark, table):
         assert names(spark, table) == ["dt=2024-01-01"]
 
 
+def test_days_are_pruned_in_a_partitioned_source(spark, table):
+    source = f"{table}_source"
+    warehouse.replace_range(frame(spark, START), source, "2024-01-01", "2024-01-03")
+    cleaned = frames.clean_text(spark.table(quoted(source)), skip=["DT"])
+    plan = cleaned.where(F.col("dt") == "2024-01-02")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    # A sink that prunes the other days does not notice that their files are broken.
+    for file in spark.table(quoted(source)).where("dt <> '2024-01-02'").inputFiles():
+        Path(urlparse(file).path).write_bytes(b"broken")
+    warehouse.replace_day(spark.table(quoted(source)), table, "2024-01-02")
+    assert content(spark, table) == START[1:2]
+
+
 def test_setting_is_restored_also_on_failure(spark, table):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)

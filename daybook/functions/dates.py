@@ -84,14 +84,17 @@ def compact_day(day: str) -> str:
 
 
 def matches_day(c: Column | str, day: str) -> Column:
-    """Text that names the day as ``yyyy-MM-dd``, as ``yyyyMMdd`` or as a time on that day."""
-    c = column_of(c)
+    """Text that names the day as ``yyyy-MM-dd``, as ``yyyyMMdd`` or as a time on that day.
+
+    Other types are read as the text they show.
+    """
+    c = column_of(c).cast("string")
     return (c == check_day(day)) | (c == compact_day(day)) | (day_of_text(c) == day)
 
 
 def day_of_mixed_text(c: Column | str) -> Column:
     """The day that :func:`matches_day` would find, so a range of days needs one pass."""
-    c = column_of(c)
+    c = column_of(c).cast("string")
     compact = F.to_date(F.try_to_timestamp(c, F.lit(COMPACT_DAY_FORMAT))).cast("string")
     return F.coalesce(day_of_text(c), compact)
 

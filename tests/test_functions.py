@@ -48,6 +48,15 @@ def test_mixed_day_formats(spark):
     ]
 
 
+@pytest.mark.parametrize(
+    "kind, day", [("date", date(2021, 4, 12)), ("timestamp", datetime(2021, 4, 12, 5)), ("int", 20210412)]
+)
+def test_mixed_days_of_other_types(rows, kind, day):
+    df = rows([day, None], kind)
+    assert values(df.where(dates.matches_day("c", "2021-04-12")), "c") == [day]
+    assert values(df, dates.day_of_mixed_text("c")) == ["2021-04-12", None]
+
+
 def test_chinese_dates(rows):
     df = rows(["2020年7月15日", "2021年12月1日", "2021|4|2", "2021-04-02 08:00:00", "x", None])
     assert values(df, dates.day_of_chinese_text("c")) == [

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.model import SaveMode, check_day, check_range, days_between
 from daybook.operators import drift, partitions
@@ -46,10 +47,16 @@ def _merging(by_day: bool) -> dict[str, str]:
     return {f"{prefix}.parallelismFirst": "false"}
 
 
-def _create(df: DataFrame, table: str, fmt: str, partitioned: bool = True) -> None:
-    writer = df.write.format(fmt)
-    writer = writer.partitionBy("dt") if partitioned else writer
-    writer.saveAsTable(quoted(table))
+def _create_by_day(df: DataFrame, table: str, fmt: str) -> None:
+    """An empty table of the frame's columns and comments, partitioned by ``dt``."""
+
+    def column(field: T.StructField) -> T.StructField:
+        comment = field.metadata.get("comment", "").replace("\\", r"\\")  # toDDL leaves them
+        metadata = {"comment": comment} if comment else {}
+        return T.StructField(field.name, field.dataType, metadata=metadata)
+
+    columns = T.StructType([column(f) for f in df.schema]).toDDL()
+    df.sparkSession.sql(f"CREATE TABLE {quoted(table)} ({columns}) USING {fmt} PARTITIONED BY (dt)")
 
 
 def _reconciled(df: DataFrame, table: str, on_new: str) -> DataFrame:
@@ -92,19 +99,11 @@ def _replace(
     rebalance: bool,
 ) -> DataFrame:
     spark = df.sparkSession
-    rows = df.where(wanted)
-    exists = table_exists(spark, table)
-    if exists:
-        rows = _reconciled(rows, table, on_new)
-    elif comments:
-        rows = drift.with_comments(rows, comments)
-    by_day = len(days) > 1
-    rows = sized(rows, by_day) if rebalance else rows
-    if exists:
-        overwrite_days(rows, table, days)
-    else:
-        with session_settings(spark, _merging(by_day)):
-            _create(rows, table, fmt)
+    if not table_exists(spark, table):
+        _create_by_day(drift.with_comments(df, comments) if comments else df, table, fmt)
+    rows = _reconciled(df.where(wanted), table, on_new)
+    rows = sized(rows, by_day=len(days) > 1) if rebalance else rows
+    overwrite_days(rows, table, days)
     return spark.table(quoted(table))
 
 
@@ -177,9 +176,6 @@ def replace_range(
     spark = df.sparkSession
     dt, dt1 = check_range(dt, dt1)
     df = clean_text(df, skip=["dt"]) if clean else df
-    if not table_exists(spark, table):
-        _create(sized(df, by_day=True) if rebalance else df, table, fmt)
-        return spark.table(quoted(table))
     inside = F.coalesce(F.col("dt").between(dt, dt1), F.lit(False))
     seen = Observation()
     df = df.observe(seen, F.count_if(~inside).alias("outside"))
@@ -217,7 +213,7 @@ def write_if_absent(
     spark = df.sparkSession
     if not table_exists(spark, table):
         if day is None:
-            _create(df, table, fmt, partitioned=False)
+            df.write.format(fmt).saveAsTable(quoted(table))
         else:
             replace_day(df, table, day, fmt=fmt, **options)
     elif day is not None and not partitions.partition_exists(spark, table, day):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CONNECTOR = "org.elasticsearch.spark.sql"
 
-# Connector settings of the original deployment.
+# Connector settings for reading.
 READ_OPTIONS = {
     "es.port": "9200",
     "es.mapping.date.rich": "false",

@@ -9,26 +9,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import line_dedup, simhash
+from daybook.llm import bpe, line_dedup, mixing, simhash, toxicity
+from daybook.llm.queries import TARGETS, quality_domains, tokenizer
 from daybook.llm.staging import Stages
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the scorer, learned from the labels, does not take for toxic; labelled ones are scored like all."""
+    scorer = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.keep_clean(docs, scorer)
+
+
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that another document keeps for them."""
+    """Documents without the lines that another document keeps for them; ``n_chars`` follows the text."""
     kept = line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document that names it."""
+    """Of each group of near duplicates the document that names it, once."""
     groups = simhash.near_duplicates(docs)
-    firsts = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi")
+    firsts = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first")).distinct()
+    chosen = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+    return chosen.dropDuplicates(["doc_id"])
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their rate says, so that good and poor ones come to their target shares of all tokens.
+
+    The budget keeps the rate of what the classifier takes for good at about one or more.
+    """
+    labelled = quality_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    mixed, _ = mixing.mix(docs, labelled, TARGETS)
+    return mixing.expand(docs, mixed)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with what decoding them gives as a digest: ``doc_id, n_tokens, ids, decoded_sha256``."""
+    return bpe.encode(docs, *tokenizer())
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line_dedup", drop_shared_lines),
     ("simhash_near_dedup", drop_near_duplicates),
+    ("mixing", mix_domains),
+    ("byte_bpe", encode),
 ]
 
 # The stages learn models and hash with XXH64, which DuckDB's SQL cannot express.

@@ -4,16 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import line_dedup, simhash
+from daybook.llm import (
+    bpe,
+    langid,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    order_minhash,
+    sharding,
+    simhash,
+    topk,
+    toxicity,
+)
+
+SHARDS = [f"shard-{n:03d}" for n in range(64)]
+# the mixture by quality as the labels table marks it
+TARGETS = {"good": 0.9, "poor": 0.1}
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _fold(of: int, id_col: str = "doc_id") -> Column:
+    """The remainder that deals documents into folds, by the checksum of their id as text."""
+    return F.crc32(F.col(id_col).cast("string")) % of
+
+
+def tokenizer() -> tuple[dict[bytes, int], str]:
+    """Ranks and pattern of the public tokenizer that the queries use."""
+    import public_tokenizers
+
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def quality_domains(labels: DataFrame) -> DataFrame:
+    """Ids and domains of the labelled documents: the domain is the label of their quality."""
+    return labels.where("quality IN (0, 1)").select(
+        "doc_id", F.when(F.col("quality") == 1, "good").otherwise("poor").alias("domain")
+    )
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    filters = langid.learn(docs.where(_fold(5) != 0))
+    return langid.identify(docs, filters).select(
+        "doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
@@ -26,6 +68,48 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edited_neighbours(_read(spark, sf_dir, "documents"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.scores(_read(spark, sf_dir, "documents"), _fold(7) != 2, *tokenizer())
+    return scored.select(
+        "doc_id", F.coalesce(_fold(7) == 2, F.lit(False)).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    scorer = toxicity.learn(docs, _read(spark, sf_dir, "labels").where(_fold(5) != 0))
+    return toxicity.score(docs, scorer).select(
+        "doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_read(spark, sf_dir, "documents"), *tokenizer())
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = quality_domains(_read(spark, sf_dir, "labels"))
+    mixed, _ = mixing.mix(_read(spark, sf_dir, "documents"), labelled, TARGETS)
+    named = [F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(sorted(TARGETS))]
+    return mixed.select("doc_id", "n_tokens", *named, "rate", "copies")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(_read(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_line_dedup, op3_simhash]
+    named = [
+        op1_language_id, op2_line_dedup, op3_simhash, op4_order_minhash, op5_lm_scoring, op6_toxicity, op7_top_k,
+        op8_bpe, op9_mixing, op10_sharding,
+    ]
     return {f.__name__: f for f in named}

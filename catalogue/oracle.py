@@ -35,6 +35,24 @@ def _shifted(amount: str) -> str:
     return _SECOND.format(f"p {amount}")
 
 
+def _column(name: str, kind: str, comment: str, length: str) -> str:
+    comment = comment.replace("'", "''")  # as the statement writes it
+    line = f"`{name}` {kind} COMMENT '{comment}'".replace("'", "''")
+    return f"SELECT '{name}' AS col_name, '{line}' AS definition, max(length({length})) AS longest FROM orders"
+
+
+_DDL = " UNION ALL ".join(
+    [
+        _column("o_orderkey", "bigint", "the order's key", "CAST(o_orderkey AS VARCHAR)"),
+        _column("o_custkey", "bigint", "", "CAST(o_custkey AS VARCHAR)"),
+        _column("o_orderstatus", "varchar(256)", "", "o_orderstatus"),
+        _column("o_totalprice", "decimal(16,4)", "", "CAST(CAST(o_totalprice AS DECIMAL(16,4)) AS VARCHAR)"),
+        _column("o_orderdate", "varchar(128)", "", "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"),
+        _column("o_orderpriority", "varchar(256)", "", "o_orderpriority"),
+    ]
+)
+
+
 ORACLE: dict[str, str] = {
     "load_all": f"SELECT *, '{DAY}' AS dt FROM customer",
     "load_new": f"""
@@ -52,6 +70,9 @@ ORACLE: dict[str, str] = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         JOIN days ON strftime(o_orderdate, '%Y-%m-%d') = dt
                   OR strftime(l_shipdate, '%Y-%m-%d') = dt""",
+    "load_new_iso_text": f"""
+        SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS created, value, {_DT} AS dt FROM events
+        WHERE {_DT} BETWEEN '2024-01-03' AND '2024-01-09' AND event_id % 5 <> 0""",
     "load_new_closed_second": f"""
         SELECT {_EVENT}, {_TS}, {_DT} AS dt FROM events
         WHERE {_DT} BETWEEN '2024-01-03' AND '2024-01-28'
@@ -104,6 +125,10 @@ ORACLE: dict[str, str] = {
     "text_to_epoch_ms": f"""
         SELECT event_id, coalesce(epoch_ms({_PARSED}), 0) AS ms
         FROM (SELECT *, {_DIRTY} AS t FROM events)""",
+    "text_to_epoch_ms_lenient": """
+        SELECT event_id, CASE WHEN event_id % 7 IN (0, 1) THEN 0
+                              ELSE epoch_ms(date_trunc('second', ts)) END AS ms
+        FROM events""",
     "epoch_ms_to_text": f"""
         SELECT event_id, ms, {_SECOND.format('make_timestamp_ms(ms)')} AS t
         FROM (SELECT event_id,
@@ -154,6 +179,10 @@ ORACLE: dict[str, str] = {
         SELECT event_id, user_id, event_type,
                CASE WHEN {_DT} = '{DAY}' THEN value ELSE -1.0 END AS value, props, {_TS}, {_DT} AS dt
         FROM events""",
+    "sink_replace_day_date": f"""
+        SELECT event_id, user_id, event_type,
+               CASE WHEN {_DT} IN ('{DAY}', '2024-01-17') THEN value ELSE -1.0 END AS value, props, {_TS}, {_DT} AS dt
+        FROM events""",
     "sink_replace_day_empty": f"""
         SELECT {_EVENT}, {_TS}, {_DT} AS dt FROM events WHERE {_DT} <> '{DAY}'""",
     "sink_replace_range": f"""
@@ -193,16 +222,7 @@ ORACLE: dict[str, str] = {
                CAST(NULL AS VARCHAR) AS c_nationkey, o_totalprice AS c_acctbal,
                o_orderpriority AS c_mktsegment
         FROM orders""",
-    "schema_to_ddl": """
-        SELECT 'o_orderkey' AS col_name, 'bigint' AS col_type,
-               max(length(CAST(o_orderkey AS VARCHAR))) AS longest FROM orders
-        UNION ALL SELECT 'o_custkey', 'bigint', max(length(CAST(o_custkey AS VARCHAR))) FROM orders
-        UNION ALL SELECT 'o_orderstatus', 'varchar(256)', max(length(o_orderstatus)) FROM orders
-        UNION ALL SELECT 'o_totalprice', 'decimal(16,4)',
-               max(length(CAST(CAST(o_totalprice AS DECIMAL(16,4)) AS VARCHAR))) FROM orders
-        UNION ALL SELECT 'o_orderdate', 'varchar(128)',
-               max(length(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'))) FROM orders
-        UNION ALL SELECT 'o_orderpriority', 'varchar(256)', max(length(o_orderpriority)) FROM orders""",
+    "schema_to_ddl": _DDL,
     "relational_rows": f"""
         SELECT l_orderkey, l_linenumber,
                CAST(CAST(l_extendedprice AS DECIMAL(16,4)) AS DOUBLE) AS l_extendedprice,
@@ -232,6 +252,20 @@ ORACLE: dict[str, str] = {
         FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM batch)
         UNION ALL
         SELECT c_custkey, NULL, NULL, latest.price, latest.segment FROM batch""",
+    "upsert_blank_typed": f"""
+        SELECT o_orderkey,
+               CASE WHEN o_orderkey % 2 <> 0 THEN '7' WHEN o_orderkey % 3 <> 0 THEN '9' END AS o_rank,
+               CASE WHEN o_orderkey % 2 <> 0 OR o_orderkey % 3 <> 0
+                    THEN {_SECOND.format('o_orderdate')} END AS o_orderdate
+        FROM orders""",
+    "upsert_by_key_hours": f"""
+        SELECT event_id,
+               CASE WHEN moved OR changed THEN value + 1 ELSE value END AS value,
+               CASE WHEN moved THEN '2024-01-16' ELSE dt END AS dt, dh
+        FROM (SELECT *, dt = '{DAY}' AND dh = '05' AS moved,
+                     dt = '{DAY}' AND dh = '07' AND event_id % 2 = 0 AS changed
+              FROM (SELECT event_id, value, {_DT} AS dt, strftime(ts, '%H') AS dh FROM events
+                    WHERE {_DT} BETWEEN '2024-01-14' AND '2024-01-16'))""",
     "upsert_by_key_days": f"""
         SELECT event_id, user_id, event_type,
                CASE WHEN moved THEN value + 1 ELSE value END AS value, props, {_TS},
@@ -247,6 +281,9 @@ ORACLE: dict[str, str] = {
     "drop_partition_range": f"""
         SELECT {_EVENT}, {_TS}, {_DT} AS dt FROM events
         WHERE {_DT} NOT BETWEEN '2024-01-05' AND '2024-01-10'""",
+    "drop_partition_range_long": f"""
+        SELECT {_EVENT}, {_TS}, {_DT} AS dt FROM events
+        WHERE {_DT} NOT BETWEEN '2024-01-05' AND '2024-01-16'""",
     "list_partitions": f"SELECT DISTINCT 'dt=' || {_DT} AS partition FROM events",
     "retention_clean": f"""
         SELECT event_type || 's' AS table_name, {_DT} AS dt, count(*) AS n
@@ -269,6 +306,9 @@ ORACLE: dict[str, str] = {
     "export_csv": f"""
         SELECT {_EVENT}, {_DT} AS dt FROM events
         WHERE {_DT} BETWEEN '2024-01-10' AND '2024-01-12'""",
+    "export_range_csv": f"""
+        SELECT {_EVENT}, {_SECOND.format('ts')} AS created FROM events
+        WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 23:59:59'""",
     "export_json_docs": f"SELECT *, '{RUN_TIME}' AS last_update_time FROM documents",
 }
 

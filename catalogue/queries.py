@@ -7,12 +7,13 @@ read back.  Times are returned as text so that both engines show them alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import dates, text
-from daybook.model import LoadStrategy, SaveMode, days_between
+from daybook.model import LoadStrategy, SaveMode
 from daybook.operators import changes, drift, frames, partitions, summaries
 from daybook.plans import export, load
 from daybook.session import new_database, new_path, quoted
@@ -25,16 +26,30 @@ from daybook.sources import files as file_sources
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = "2024-01-15"
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
 RUN_TIME = "2024-02-01 03:00:00"
 EVENT = ["event_id", "user_id", "event_type", "value", "props"]
 
 _QUERIES: dict[str, Query] = {}
+_LEFT: dict[str, list[str]] = {}  # databases that a query's last run has left behind
 
 
 def _query(run: Query) -> Query:
-    _QUERIES[run.__name__] = run
-    return run
+    @wraps(run)
+    def tidy(spark: SparkSession, sf: str) -> DataFrame:
+        # results are read lazily, so a run's databases go when the query runs again
+        for database in _LEFT.pop(run.__name__, []):
+            spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+        before = _databases(spark)
+        result = run(spark, sf)
+        _LEFT[run.__name__] = sorted(_databases(spark) - before)
+        return result
+
+    _QUERIES[run.__name__] = tidy
+    return tidy
+
+
+def _databases(spark: SparkSession) -> set[str]:
+    return {r["namespace"] for r in spark.sql("SHOW DATABASES LIKE 'daybook_*'").collect()}
 
 
 def queries() -> dict[str, Query]:
@@ -65,10 +80,16 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 def _events_table(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> str:
     table = f"{new_database(spark)}.events"
     rows = _events(spark, sf) if rows is None else rows
-    warehouse.replace_days(rows, table, days_between(FIRST_DAY, LAST_DAY))
+    warehouse.replace_days(rows, table, _days(rows))
     return table
 
 
+def _days(rows: DataFrame) -> list[str]:
+    """The days that a frame's rows are filed under; calendar days only."""
+    found = rows.select(F.col("dt").cast("string").alias("dt")).distinct().collect()
+    return sorted(r["dt"] for r in found if r["dt"] is not None)
+
+
 def _with_update_time(events: DataFrame) -> DataFrame:
     """Events with a later update time, up to three days on."""
     hours = F.make_dt_interval(hours=(F.col("event_id") % 72).cast("int"))
@@ -124,14 +145,18 @@ def load_new(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def load_new_and_change(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _read(spark, sf, "lineitem").join(
-        _read(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    # The two times are in two tables: a branch for each, so that both scans are given its days.
+    week = ("1998-10-01", "1998-10-07")
+    orders, lines = _read(spark, sf, "orders"), _read(spark, sf, "lineitem")
+    of_order = F.col("l_orderkey") == F.col("o_orderkey")
+    is_new = dates.in_days(orders, "o_orderdate", *week)
+    created = lines.join(orders.where(is_new), of_order)
+    earlier = orders.where(~is_new | F.col("o_orderdate").isNull())
+    updated = extract.new_rows(lines, "l_shipdate", *week).join(earlier, of_order)
     rows = extract.incremental(
-        lines,
+        created.unionByName(updated),
         LoadStrategy.NEW_AND_CHANGE,
-        "1998-10-01",
-        "1998-10-07",
+        *week,
         created="o_orderdate",
         updated="l_shipdate",
     )
@@ -159,6 +184,22 @@ def load_new_closed_second(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*EVENT, _time_text("ts"), "dt")
 
 
+@_query
+def load_new_iso_text(spark: SparkSession, sf: str) -> DataFrame:
+    events = _read(spark, sf, "events")
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    written = F.when(F.col("event_id") % 5 == 0, F.lit("unknown")).otherwise(iso)
+    rows = extract.incremental(
+        events.withColumn("created", written).select("event_id", "created", "value"),
+        LoadStrategy.NEW,
+        "2024-01-03",
+        "2024-01-09",
+        created="created",
+        to_second=True,
+    )
+    return rows
+
+
 @_query
 def load_new_and_change_closed_second(spark: SparkSession, sf: str) -> DataFrame:
     rows = extract.incremental(
@@ -274,6 +315,19 @@ def text_to_epoch_ms(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", dates.text_to_epoch_ms("t").alias("ms"))
 
 
+@_query
+def text_to_epoch_ms_lenient(spark: SparkSession, sf: str) -> DataFrame:
+    written = (
+        F.when(F.col("event_id") % 7 == 0, F.lit("99999999-01-01 00:00:00"))
+        .when(F.col("event_id") % 7 == 1, F.lit("2024-999999999-01 00:00:00"))
+        .when(F.col("event_id") % 7 == 2, F.concat(_second_text("ts"), F.lit(".5")))
+        .when(F.col("event_id") % 7 == 3, F.date_format("ts", "yyyy-M-d H:m:s"))
+        .otherwise(_second_text("ts"))
+    )
+    rows = _read(spark, sf, "events").withColumn("t", written)
+    return rows.select("event_id", dates.text_to_epoch_ms("t", lenient=True).alias("ms"))
+
+
 @_query
 def epoch_ms_to_text(spark: SparkSession, sf: str) -> DataFrame:
     seconds = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
@@ -393,6 +447,17 @@ def sink_replace_day(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(quoted(table)).select(*EVENT, _time_text("ts"), "dt")
 
 
+@_query
+def sink_replace_day_date(spark: SparkSession, sf: str) -> DataFrame:
+    by_date = lambda rows: rows.withColumn("dt", F.col("dt").cast("date"))
+    events = by_date(_events(spark, sf))
+    table = _events_table(spark, sf, _stale(events))
+    for _ in range(2):
+        warehouse.replace_days(events, table, [DAY, "2024-01-17"])
+    rows = spark.table(quoted(table)).withColumn("dt", F.col("dt").cast("string"))
+    return rows.select(*EVENT, _time_text("ts"), "dt")
+
+
 @_query
 def sink_replace_day_empty(spark: SparkSession, sf: str) -> DataFrame:
     table = _events_table(spark, sf)
@@ -493,17 +558,16 @@ def align_to_target(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def schema_to_ddl(spark: SparkSession, sf: str) -> DataFrame:
-    orders = _read(spark, sf, "orders")
+    orders = drift.with_comments(_read(spark, sf, "orders"), {"o_orderkey": "the order's key"})
     stored = drift.to_relational(orders)
     lengths = stored.agg(*[F.max(F.length(F.col(c).cast("string"))).alias(c) for c in stored.columns])
     lengths = lengths.unpivot([], lengths.columns, "col_name", "longest")
-    kinds = F.create_map(
-        *[F.lit(v) for f in orders.schema.fields for v in (f.name, drift.relational_type(f.dataType))]
-    )
+    # each column's line of the statement that creates the table
+    statement = drift.create_table_statement("orders", orders.schema)
+    lines = F.transform(F.split(F.lit(statement), "\n"), lambda line: F.btrim(line, F.lit(" ,")))
+    own = F.filter(lines, lambda line: line.startswith(F.concat(F.lit("`"), F.col("col_name"), F.lit("`"))))
     return lengths.select(
-        "col_name",
-        kinds[F.col("col_name")].alias("col_type"),
-        F.col("longest").cast("bigint").alias("longest"),
+        "col_name", F.element_at(own, 1).alias("definition"), F.col("longest").cast("bigint").alias("longest")
     )
 
 
@@ -550,7 +614,7 @@ def propagate_changed_days(spark: SparkSession, sf: str) -> DataFrame:
     source = _events_table(spark, sf, _late_events(spark, sf))
     target = f"{new_database(spark)}.exported"
     stale = frames.stamp_export_time(_stale(_events(spark, sf)), "2024-01-31 03:00:00")
-    warehouse.replace_days(stale, target, days_between(FIRST_DAY, LAST_DAY))
+    warehouse.replace_days(stale, target, _days(stale))
     export.export_changed_days(
         spark,
         source,
@@ -579,6 +643,39 @@ def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return _as_text(merged, "c_nationkey")
 
 
+@_query
+def upsert_blank_typed(spark: SparkSession, sf: str) -> DataFrame:
+    table = f"{new_database(spark)}.orders"
+    orders = _read(spark, sf, "orders").select("o_orderkey", F.lit(7).alias("o_rank"), "o_orderdate")
+    warehouse.replace_table(orders, table)
+    blank = F.col("o_orderkey") % 3 == 0
+    batch = orders.where(F.col("o_orderkey") % 2 == 0).select(
+        "o_orderkey",
+        F.when(blank, F.lit(" ")).otherwise(F.lit("9")).alias("o_rank"),
+        F.when(blank, F.lit("\t")).otherwise(_second_text("o_orderdate")).alias("o_orderdate"),
+    )
+    merged = upsert_sink.upsert(batch, table, ["o_orderkey"], ["o_orderkey"])
+    return _as_text(merged, "o_rank").withColumn("o_orderdate", _second_text("o_orderdate"))
+
+
+@_query
+def upsert_by_key_hours(spark: SparkSession, sf: str) -> DataFrame:
+    table = f"{new_database(spark)}.events"
+    hour = F.date_format("ts", "HH").alias("dh")
+    events = _events(spark, sf).where(F.col("dt").between("2024-01-14", "2024-01-16"))
+    events = events.select("event_id", "value", "dt", hour)
+    spark.sql(
+        f"CREATE TABLE {quoted(table)} (event_id BIGINT, value DOUBLE, dt STRING, dh STRING) "
+        "USING parquet PARTITIONED BY (dt, dh)"
+    )
+    events.write.insertInto(quoted(table))
+    # all of one hour moves to the next day, some of another changes
+    moved = events.where((F.col("dt") == DAY) & (F.col("dh") == "05")).withColumn("dt", F.lit("2024-01-16"))
+    changed = events.where((F.col("dt") == DAY) & (F.col("dh") == "07") & (F.col("event_id") % 2 == 0))
+    batch = moved.unionByName(changed).withColumn("value", F.col("value") + 1)
+    return upsert_sink.upsert(batch, table, ["event_id"], ["event_id"])
+
+
 @_query
 def upsert_by_key_days(spark: SparkSession, sf: str) -> DataFrame:
     table = _events_table(spark, sf)
@@ -613,6 +710,16 @@ def drop_partition_range(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(quoted(table)).select(*EVENT, _time_text("ts"), "dt")
 
 
+@_query
+def drop_partition_range_long(spark: SparkSession, sf: str) -> DataFrame:
+    database = new_database(spark)
+    events = _events(spark, sf).withColumnRenamed("dt", "DT")
+    events.write.partitionBy("DT").saveAsTable(quoted(f"{database}.events"))
+    partitions.drop_days(spark, f"{database}.events", "2024-01-05", "2024-01-16")
+    rows = spark.table(quoted(f"{database}.events"))
+    return rows.select(*EVENT, _time_text("ts"), F.col("DT").alias("dt"))
+
+
 @_query
 def list_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return partitions.list_partitions(spark, _events_table(spark, sf))
@@ -622,12 +729,12 @@ def list_partitions(spark: SparkSession, sf: str) -> DataFrame:
 def retention_clean(spark: SparkSession, sf: str) -> DataFrame:
     database = new_database(spark)
     events = _events(spark, sf)
-    days = days_between(FIRST_DAY, LAST_DAY)
+    days = _days(events)
     for kind in ("click", "view"):
         rows = events.where(F.col("event_type") == kind)
         warehouse.replace_days(rows, f"{database}.{kind}s", days)
     warehouse.replace_table(events, f"{database}.unpartitioned")
-    partitions.clean_days(spark, database, "all", FIRST_DAY, "2024-01-12")
+    partitions.clean_days(spark, database, "all", days[0], "2024-01-12")
     left = [
         spark.table(quoted(f"{database}.{name}")).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
         .select(F.lit(name).alias("table_name"), "dt", "n")
@@ -693,6 +800,16 @@ def export_csv(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
+@_query
+def export_range_csv(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "created-csv")
+    events = _read(spark, sf, "events")
+    rows = extract.new_rows(events, "ts", "2024-01-10", "2024-01-12", to_second=True)
+    file_sinks.export_csv(rows.select(*EVENT, _second_text("ts").alias("created")), path, escape='"')
+    schema = "event_id bigint, user_id bigint, event_type string, value double, props string, created string"
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+
+
 @_query
 def export_json_docs(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "documents-json")

@@ -7,6 +7,7 @@ on a formatted copy of the column.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -60,11 +61,31 @@ def in_days_to_second(df: DataFrame, name: str, dt: str, dt1: str | None = None)
     """
     dt, dt1 = check_range(dt, dt1)
     data_type = type_of(df, name)
+    c = F.col(name)
     if isinstance(data_type, T.DateType):
-        return F.col(name).between(_literal(dt, data_type), _literal(dt1, data_type))
-    return F.col(name).between(
-        _literal(f"{dt} 00:00:00", data_type), _literal(f"{dt1} 23:59:59", data_type)
-    )
+        return c.between(_literal(dt, data_type), _literal(dt1, data_type))
+    low = _literal(f"{dt} 00:00:00", data_type)
+    if isinstance(data_type, T.StringType):  # a space or a T before the clock
+        late = c.startswith(dt1) & is_past_last_second(c)
+        return (c >= low) & (c < _literal(next_day(dt1), data_type)) & ~late
+    return c.between(low, _literal(f"{dt1} 23:59:59", data_type))
+
+
+def is_past_last_second(c: Column) -> Column:
+    """Whether time text names a fraction after ``23:59:59``."""
+    return c.rlike(r"^.{10}[ T]23:59:59\.\d*[1-9]")
+
+
+def in_day_list(df: DataFrame, days: Sequence[str], name: str = "dt") -> Column:
+    """Rows whose day is exactly one of the days; prunes partitions, for text and DATE alike."""
+    data_type = type_of(df, name)
+    return F.col(name).isin([_literal(check_day(d), data_type) for d in days])
+
+
+def written_day(c: Column | str) -> Column:
+    """The ``yyyy-MM-dd`` day that time text starts with, whatever follows it; NULL if it starts with none."""
+    day = F.substring(column_of(c), 1, 10)
+    return F.when(day.rlike(r"^\d{4}-\d\d-\d\d$") & F.try_to_timestamp(day, F.lit("yyyy-MM-dd")).isNotNull(), day)
 
 
 def day_text(df: DataFrame, name: str) -> Column:
@@ -74,6 +95,13 @@ def day_text(df: DataFrame, name: str) -> Column:
     return F.to_date(F.col(name)).cast("string")
 
 
+def filed_day(df: DataFrame, name: str) -> Column:
+    """The day a row is filed under: that of a time, or the one that time text starts with."""
+    if isinstance(type_of(df, name), T.StringType):
+        return written_day(name)
+    return day_text(df, name)
+
+
 def day_of_text(c: Column | str) -> Column:
     return F.to_date(F.try_to_timestamp(column_of(c))).cast("string")
 
@@ -106,8 +134,9 @@ def day_of_chinese_text(c: Column | str) -> Column:
 
 
 def _lenient_time(c: Column) -> Column:
-    # Fields of any width, text after the seconds ignored, overflowing fields carried over.
-    pattern = r"^(\d+)-(\d+)-(\d+) (\d+):(\d+):(\d+)"
+    # Narrow or overlong fields, text after the seconds ignored, overflowing fields carried over.
+    # Years of four digits and other fields of five stay within what dates and times can hold.
+    pattern = r"^(\d{1,4})-(\d{1,5})-(\d{1,5}) (\d{1,5}):(\d{1,5}):(\d{1,5})(?!\d)"
     part = [F.regexp_extract(c, pattern, n).try_cast("int") for n in range(1, 7)]
     day = F.date_add(F.add_months(F.make_date(part[0], F.lit(1), F.lit(1)), part[1] - 1), part[2] - 1)
     clock = F.make_dt_interval(hours=part[3], mins=part[4], secs=part[5].cast("decimal(18,6)"))
@@ -118,7 +147,8 @@ def parse_time(c: Column | str, lenient: bool = False) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text as a timestamp, NULL where it is not one.
 
     ``lenient`` also takes narrow fields (``2021-2-3 4:5:6``), text after the seconds,
-    and out-of-range fields, which carry over (month 13 is January of the next year).
+    and out-of-range fields, which carry over (month 13 is January of the next year); years
+    of more than four digits and other fields of more than five cannot be read.
     """
     c = column_of(c)
     return _lenient_time(c) if lenient else F.try_to_timestamp(c, F.lit(TIME_FORMAT))

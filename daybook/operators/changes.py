@@ -20,11 +20,16 @@ def changed_days(spark: SparkSession, table: str, created: str, day: str) -> Dat
     return days.where(F.col("ct").isNotNull()).distinct()
 
 
+def found_days(spark: SparkSession, template: str, day: str) -> DataFrame:
+    """The days that the caller's query finds for one load day, as text without NULL, as they come."""
+    found = spark.sql(template.replace("do_date", check_day(day)))
+    days = found.select(F.col("date").cast("string").alias("date"))
+    return days.where(F.col("date").isNotNull())
+
+
 def changed_days_sql(spark: SparkSession, template: str, day: str) -> DataFrame:
     """Days found by the caller's own query, in which ``do_date`` stands for the day.
 
     The query must return a column ``date``.  Distinct, without NULL, ascending, as text.
     """
-    found = spark.sql(template.replace("do_date", check_day(day)))
-    days = found.select(F.col("date").cast("string").alias("date"))
-    return days.where(F.col("date").isNotNull()).distinct().orderBy("date")
+    return found_days(spark, template, day).distinct().orderBy("date")

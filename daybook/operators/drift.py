@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.functions import text
 from daybook.session import quoted
 
 
@@ -52,17 +53,20 @@ def in_table_order(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def align_to_target(
-    df: DataFrame, schema: T.StructType, extra: Mapping[str, Column] | None = None
+    df: DataFrame, schema: T.StructType, extra: Mapping[str, Column] | None = None, blank_as_null: bool = False
 ) -> DataFrame:
     """Only the target's columns, in its order and types, in lower case; missing ones NULL.
 
-    ``extra`` columns, computed on the frame as it was, are put behind them.
+    ``extra`` columns, computed on the frame as it was, are put behind them.  With
+    ``blank_as_null`` blank text is NULL whatever the target's type is.
     """
-    present = {c.lower() for c in df.columns}
+    present = {f.name.lower(): f.dataType for f in df.schema.fields}
 
     def column(field: T.StructField) -> Column:
         name = field.name.lower()
         source = F.col(f"`{name}`") if name in present else F.lit(None)
+        if blank_as_null and isinstance(present.get(name), T.StringType):
+            source = text.blank_to_null(source)  # before a cast could refuse it
         return source.cast(field.dataType).alias(name)
 
     added = [c.alias(name) for name, c in (extra or {}).items()]
@@ -92,6 +96,8 @@ _RELATIONAL_TYPES = (
     (T.DecimalType, "decimal(16,4)"),
 )
 _OTHER_RELATIONAL_TYPE = "text"
+# Fixed value: storage of tables created in a MySQL store.
+_TABLE_OPTIONS = "ENGINE=InnoDB DEFAULT CHARSET=utf8"
 
 
 def relational_type(data_type: T.DataType) -> str:
@@ -109,7 +115,7 @@ def create_table_statement(table: str, schema: T.StructType) -> str:
         return f"  `{field.name}` {relational_type(field.dataType)} COMMENT '{comment}'"
 
     body = ",\n".join(column(f) for f in schema.fields)
-    return f"CREATE TABLE IF NOT EXISTS {table} (\n{body}\n) ENGINE=InnoDB DEFAULT CHARSET=utf8"
+    return f"CREATE TABLE IF NOT EXISTS {table} (\n{body}\n) {_TABLE_OPTIONS}"
 
 
 def create_table_column_types(schema: T.StructType) -> str:

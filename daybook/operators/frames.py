@@ -52,6 +52,12 @@ def blanks_to_null(df: DataFrame, names: Sequence[str] | None = None) -> DataFra
     return _over_text(df, text.blank_to_null, lambda name: wanted is None or name in wanted)
 
 
+def required(name: str) -> Column:
+    """A key column of an upsert: NULL in it is an error."""
+    missing = F.raise_error(F.lit(f"upsert: key column {name} is NULL"))
+    return F.when(F.col(f"`{name}`").isNull(), missing).otherwise(F.col(f"`{name}`")).alias(name)
+
+
 def join_allow_list(df: DataFrame, column: str, allowed: DataFrame, key: str) -> DataFrame:
     """Rows whose column is in a one-column list, once per copy of the value in the list.
 

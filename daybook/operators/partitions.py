@@ -15,7 +15,6 @@ from daybook.session import quoted
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 _DROPS_PER_STATEMENT = 500
-_DAYS_ASKED_FOR_SINGLY = 7
 
 
 def described(spark: SparkSession, table: str) -> dict:
@@ -47,13 +46,29 @@ def partition_exists(spark: SparkSession, table: str, day: str) -> bool:
 
 
 def _partitions_of(spark: SparkSession, table: str, days: Sequence[str]) -> list[str]:
-    """Partition names of the days: asked for day by day if few, else picked from all."""
-    if len(days) <= _DAYS_ASKED_FOR_SINGLY and NO_DAY not in days:
-        shown = f"SHOW PARTITIONS {quoted(table)} PARTITION (dt = '{{}}')"
-        return [r["partition"] for day in days for r in spark.sql(shown.format(day)).collect()]
-    wanted = {f"dt={day}" for day in days}
-    every = (r["partition"] for r in list_partitions(spark, table).collect())
-    return [name for name in every if name.split("/")[0] in wanted]
+    """Partition names of the days, asked of the catalog day by day."""
+
+    def shown(day: str) -> list[str]:
+        value = "null" if day == NO_DAY else f"'{day}'"
+        found = spark.sql(f"SHOW PARTITIONS {quoted(table)} PARTITION (dt = {value})")
+        return [r["partition"] for r in found.collect()]
+
+    return [name for day in days for name in shown(day)]
+
+
+def _spec(name: str) -> str:
+    # Full specs by equality: range specs are no syntax, partial ones depend on the catalog.
+    parts = [unquote(level).partition("=") for level in name.split("/")]
+    return ", ".join(
+        "`{}` = {}".format(k, "null" if v == NO_DAY else "'" + v.replace("'", "\\'") + "'") for k, _, v in parts
+    )
+
+
+def drop_named(spark: SparkSession, table: str, names: Sequence[str]) -> None:
+    """Drop partitions by their full names (``dt=2021-09-01/dh=05``); those not there are passed over."""
+    for start in range(0, len(names), _DROPS_PER_STATEMENT):
+        specs = ", ".join(f"PARTITION ({_spec(n)})" for n in names[start : start + _DROPS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS {specs}")
 
 
 def drop_listed_days(spark: SparkSession, table: str, days: Sequence[str]) -> list[str]:
@@ -64,16 +79,7 @@ def drop_listed_days(spark: SparkSession, table: str, days: Sequence[str]) -> li
     if not days or not is_partitioned_by_day(spark, table):
         return []
     names = _partitions_of(spark, table, days)
-
-    # Full specs by equality: range specs are no syntax, partial ones depend on the catalog.
-    def spec(name: str) -> str:
-        parts = [unquote(level).partition("=") for level in name.split("/")]
-        return ", ".join("`{}` = '{}'".format(k, v.replace("'", "\\'")) for k, _, v in parts)
-
-    for start in range(0, len(names), _DROPS_PER_STATEMENT):
-        batch = names[start : start + _DROPS_PER_STATEMENT]
-        specs = ", ".join(f"PARTITION ({spec(n)})" for n in batch)
-        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS {specs}")
+    drop_named(spark, table, names)
     return names
 
 

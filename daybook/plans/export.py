@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from daybook.functions.dates import in_day_list
 from daybook.model import check_range, days_between, pair_tables, require_text
-from daybook.operators.changes import changed_days_sql
+from daybook.operators.changes import found_days
 from daybook.operators.frames import stamp_export_time
 from daybook.session import quoted
 from daybook.sources.extract import rows_of_days
@@ -98,13 +98,14 @@ def export_changed_days(
     """
     days = set(days_between(dt, dt1))
     if changed_days_query:
-        found = [changed_days_sql(spark, changed_days_query, d).select("date") for d in sorted(days)]
+        found = [found_days(spark, changed_days_query, d) for d in sorted(days)]
         every = found[0]
         for other in found[1:]:
             every = every.union(other)
         days = {r["date"] for r in every.distinct().collect()}  # calendar days only
     exported = sorted(days)
     if exported:
-        rows = spark.table(quoted(table)).where(F.col("dt").isin(exported))
+        held = spark.table(quoted(table))
+        rows = held.where(in_day_list(held, exported))
         write(stamp_export_time(rows, run_time), exported)
     return exported

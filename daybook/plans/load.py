@@ -43,12 +43,14 @@ def load_tables(
     to_second: bool = False,
     fmt: str = "parquet",
     comments: Mapping[str, str] | None = None,
+    rebalance: bool = True,
 ) -> dict[str, DataFrame]:
     """Load tables for a day or a range of days, by what the time columns allow.
 
     No time column: each target becomes a snapshot stamped with the last day.  Otherwise
     the days are replaced by the rows created, or created or updated, on them; that is
-    allowed for one table only.  ``to_second`` closes days at 23:59:59.
+    allowed for one table only.  ``to_second`` closes days at 23:59:59.  Without
+    ``rebalance`` the files follow the scan's splits and no row is shuffled.
     """
     require_text(database=database)
     dt, dt1 = check_range(dt, dt1)
@@ -66,13 +68,19 @@ def load_tables(
             )
         else:
             loaded[pair.target] = warehouse.replace_days(
-                rows, table, days_between(dt, dt1), fmt=fmt, comments=comments
+                rows, table, days_between(dt, dt1), fmt=fmt, comments=comments, rebalance=rebalance
             )
     return loaded
 
 
 def load_mixed_days(
-    df: DataFrame, table: str, time_column: str | None, dt: str, dt1: str | None = None
+    df: DataFrame,
+    table: str,
+    time_column: str | None,
+    dt: str,
+    dt1: str | None = None,
+    *,
+    rebalance: bool = True,
 ) -> DataFrame:
     """Load rows whose time text names a day of the range in any of the known formats.
 
@@ -82,17 +90,24 @@ def load_mixed_days(
     if choose_day_match_strategy(time_column) is LoadStrategy.ALL:
         return warehouse.replace_days_with_snapshot(df, table, dt, dt1)
     rows = df.withColumn("dt", dates.day_of_mixed_text(time_column))
-    return warehouse.replace_days(rows, table, days_between(dt, dt1))
+    return warehouse.replace_days(rows, table, days_between(dt, dt1), rebalance=rebalance)
 
 
 def load_range(
-    df: DataFrame, table: str, created: str, dt: str, dt1: str, *, fmt: str = "parquet"
+    df: DataFrame,
+    table: str,
+    created: str,
+    dt: str,
+    dt1: str,
+    *,
+    fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> DataFrame:
     """Rows created from ``dt 00:00:00`` to ``dt1 23:59:59``, each filed under its own day;
     columns the table does not know are left out."""
     rows = df.where(dates.in_days_to_second(df, created, dt, dt1))
-    filed = rows.withColumn("dt", dates.day_text(df, created))
-    return warehouse.replace_range(filed, table, dt, dt1, fmt=fmt)
+    filed = rows.withColumn("dt", dates.filed_day(df, created))
+    return warehouse.replace_range(filed, table, dt, dt1, fmt=fmt, rebalance=rebalance)
 
 
 def load_sheet(df: DataFrame, table: str, date_column: str, dt: str, dt1: str) -> DataFrame:

@@ -14,11 +14,12 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions.dates import in_day_list
 from daybook.model import SaveMode, check_day
 from daybook.operators import drift
-from daybook.operators.frames import blanks_to_null
+from daybook.operators.frames import required
 from daybook.operators.summaries import latest_rows
-from daybook.sources.relational import Store, scan
+from daybook.sources.relational import Store, identifier, quote_mark, scan
 
 
 def run_in_store(
@@ -82,28 +83,30 @@ def _writer(
     return df.write.format("jdbc").options(**options)
 
 
-def _columns(df: DataFrame) -> str:
-    return ", ".join(df.columns)
+def insert_statement(df: DataFrame, table: str, staging: str, mark: str = '"') -> tuple[str, Sequence[str]]:
+    names = ", ".join(identifier(c, mark) for c in df.columns)
+    return f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}", ()
 
 
 def day_statements(
-    df: DataFrame, table: str, staging: str, days: Sequence[str] | None
+    df: DataFrame, table: str, staging: str, days: Sequence[str] | None, mark: str = '"'
 ) -> list[tuple[str, Sequence[str]]]:
     """Delete the days (all rows without days), then insert what was staged."""
     if days is None:
         delete = (f"DELETE FROM {table}", ())
     else:
         marks = ", ".join("?" for _ in days)
-        delete = (f"DELETE FROM {table} WHERE dt IN ({marks})", tuple(check_day(d) for d in days))
-    names = _columns(df)
-    return [delete, (f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}", ())]
+        where = f"{identifier('dt', mark)} IN ({marks})"
+        delete = (f"DELETE FROM {table} WHERE {where}", tuple(check_day(d) for d in days))
+    return [delete, insert_statement(df, table, staging, mark)]
 
 
 def upsert_statement(
     df: DataFrame, table: str, staging: str, keys: Sequence[str], dialect: str
 ) -> str:
     """One set-based insert-or-update from the staging table."""
-    names = list(df.columns)
+    mark = "`" if dialect == "mysql" else '"'
+    names = [identifier(c, mark) for c in df.columns]
     listed = ", ".join(names)
     if dialect == "mysql":
         updates = ", ".join(f"{n} = VALUES({n})" for n in names)
@@ -111,8 +114,10 @@ def upsert_statement(
             f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {staging} "
             f"ON DUPLICATE KEY UPDATE {updates}"
         )
-    matched = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    rest = [n for n in names if n.lower() not in {k.lower() for k in keys}]
+    is_key = {k.lower() for k in keys}
+    of_key = [identifier(c, mark) for c in df.columns if c.lower() in is_key]
+    matched = " AND ".join(f"t.{k} = s.{k}" for k in of_key)
+    rest = [n for n in names if n not in of_key]
     update = f"WHEN MATCHED THEN UPDATE SET {', '.join(f't.{n} = s.{n}' for n in rest)} "
     values = ", ".join(f"s.{n}" for n in names)
     return (
@@ -155,22 +160,28 @@ def replace(
 ) -> None:
     """Replace the given days of a store's table, or all of it; create it if missing.
 
-    With ``OVERWRITE_TABLE`` every row of the frame is written, else those of the days.
+    With ``OVERWRITE_TABLE`` every row of the frame is written, else those of the days (with
+    ``IGNORE``, all rows if no days are given).  ``IGNORE`` writes only into an empty table and
+    deletes nothing.
     """
     spark = df.sparkSession
-    if mode is SaveMode.OVERWRITE_DAY:
-        days = [days] if isinstance(days, str) else list(days or [])
-        if not days:
-            raise ValueError("replacing by day needs at least one day")
-        df = df.where(F.col("dt").isin([check_day(d) for d in days]))
-    else:
-        days = None
+    days = [days] if isinstance(days, str) else list(days or [])
+    if mode is SaveMode.OVERWRITE_DAY and not days:
+        raise ValueError("replacing by day needs at least one day")
+    if mode is not SaveMode.OVERWRITE_TABLE and days:
+        df = df.where(in_day_list(df, days))
     rows = drift.to_relational(df)
     _create_if_missing(df, rows, store, table)
     if mode is SaveMode.IGNORE and not scan(spark, store, table).isEmpty():
         return
+    mark = quote_mark(store)
     with _staging(rows, store, table, connections, batch_size) as staging:
-        run_in_store(spark, store, day_statements(rows, table, staging, days))
+        if mode is SaveMode.IGNORE:
+            statements = [insert_statement(rows, table, staging, mark)]
+        else:
+            whole = mode is SaveMode.OVERWRITE_TABLE
+            statements = day_statements(rows, table, staging, None if whole else days, mark)
+        run_in_store(spark, store, statements)
 
 
 def upsert(
@@ -184,11 +195,15 @@ def upsert(
     connections: int = 5,
     batch_size: int = 1_000,
 ) -> None:
-    """Insert or update by key in an existing table of the store, target columns only."""
+    """Insert or update by key in an existing table of the store, target columns only.
+
+    Blank text becomes NULL, whatever the target's type; a NULL key is an error.
+    """
     spark = df.sparkSession
     target = scan(spark, store, table).schema
     latest = latest_rows(df, keys, order_by)
-    rows = blanks_to_null(drift.align_to_target(latest, target))
+    rows = drift.align_to_target(latest, target, blank_as_null=True)
+    rows = rows.withColumns({k.lower(): required(k.lower()) for k in keys})
     with _staging(rows, store, table, connections, batch_size) as staging:
         statement = upsert_statement(rows, table, staging, keys, dialect)
         run_in_store(spark, store, [(statement, ())])

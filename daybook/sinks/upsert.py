@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
+from operator import and_
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daybook.operators import drift, partitions
-from daybook.operators.frames import blanks_to_null
+from daybook.operators.frames import required
 from daybook.operators.summaries import latest_rows
 from daybook.session import quoted, session_settings, staged
-from daybook.sinks.warehouse import overwrite_days, sized
-
-
-def _required(name: str) -> Column:
-    missing = F.raise_error(F.lit(f"upsert: key column {name} is NULL"))
-    return F.when(F.col(name).isNull(), missing).otherwise(F.col(name)).alias(name)
+from daybook.sinks.warehouse import merging, replace_by_name, sized
 
 
 def upsert(
@@ -32,22 +29,21 @@ def upsert(
     to NULL; of several rows with one key the last by ``order_by`` counts.  ``order_by``
     may name columns the table does not have.  A NULL key is an error.
 
-    A table partitioned by ``dt`` alone is rewritten only in the days that receive a row or
-    hold one that is replaced.  An unpartitioned one is written anew beside the old one and
-    takes its name.  Any other is staged and overwritten in place.
+    A partitioned table is rewritten only in the partitions that receive a row or hold one
+    that is replaced.  An unpartitioned managed one is written anew beside the old one and
+    takes its name, comment and properties.  An external one is staged and overwritten in place.
     """
     spark = df.sparkSession
     target = spark.table(quoted(table))
     keys = [k.lower() for k in keys]
     order = {f"_order_{n}": F.col(c) for n, c in enumerate(order_by)}
-    batch = drift.align_to_target(df, target.schema, order)
-    if blank_as_null:
-        batch = blanks_to_null(batch, target.columns)
+    batch = drift.align_to_target(df, target.schema, order, blank_as_null)
     latest = latest_rows(batch, keys, list(order)).drop(*order)
-    latest = latest.withColumns({k: _required(k) for k in keys})
+    latest = latest.withColumns({k: required(k) for k in keys})
     with staged(latest) as new:
-        if partitions.has_day_partitions_only(spark, table):
-            _rewrite_days(target, new, table, keys)
+        by = [c.lower() for c in partitions.partition_columns(spark, table)]
+        if by:
+            _rewrite_partitions(target, new, table, keys, by)
         else:
             _rewrite(target, new, table, keys)
     return spark.table(quoted(table))
@@ -59,42 +55,55 @@ def _merged(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").select(*old.columns).unionByName(new)
 
 
-def _rewrite_days(target: DataFrame, new: DataFrame, table: str, keys: list[str]) -> None:
-    touched = new.select("dt")
-    if "dt" not in keys:
-        held = target.join(new.select(*keys), keys, "left_semi").select("dt")
-        touched = touched.union(held)
-    found = touched.distinct().collect()  # one short text per calendar day
-    days = [r["dt"] for r in found if r["dt"] is not None]
-    affected = F.col("dt").isin(days)
-    if len(days) < len(found):
-        affected = affected | F.col("dt").isNull()
-        days.append(partitions.NO_DAY)
-    merged = _merged(target.where(affected), new, keys)
-    # A dynamic overwrite may read the days it replaces: their files go at commit, not before.
-    rows = drift.in_table_order(merged, target.schema)
-    overwrite_days(sized(rows, by_day=len(days) > 1), table, days)
+def _rewrite_partitions(target: DataFrame, new: DataFrame, table: str, keys: list[str], by: list[str]) -> None:
+    """Rewrite the partitions that receive a row or hold one that is replaced, in one dynamic overwrite.
+
+    Unless the keys name the whole partition, finding those that hold one scans the keys of all rows.
+    """
+    spark = target.sparkSession
+    touched = new.select(*by)
+    if not set(by) <= set(keys):
+        touched = touched.union(target.join(new.select(*keys), keys, "left_semi").select(*by))
+    # one row per partition, as text with the catalog's stand-in for NULL
+    names = F.struct(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(partitions.NO_DAY)).alias(c) for c in by])
+    found = [tuple(r["p"]) for r in touched.select(names.alias("p")).distinct().collect()]
+    if not found:
+        return
+    # the first level prunes the scan; the rest is told apart by a join with the short list
+    first = target.schema[_cased(target, by[0])].dataType
+    days = [F.lit(p[0]).cast(first) for p in set((p[0],) for p in found) if p[0] != partitions.NO_DAY]
+    affected = F.col(by[0]).isin(days) if days else F.lit(False)
+    if any(p[0] == partitions.NO_DAY for p in found):
+        affected = affected | F.col(by[0]).isNull()
+    held = target.where(affected)
+    if len(by) > 1:
+        wanted = spark.createDataFrame(found, ", ".join(f"`_p{i}` string" for i in range(len(by))))
+        same = [names.getField(c) == F.col(f"_p{i}") for i, c in enumerate(by)]
+        held = held.join(wanted, reduce(and_, same), "left_semi")
+    rows = drift.in_table_order(_merged(held, new, keys), target.schema)
+    seen = Observation()
+    # A dynamic overwrite may read the partitions it replaces: their files go at commit, not before.
+    observed = sized(rows, by_day=len(days) > 1).observe(seen, F.collect_set(names).alias("filled"))
+    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic"} | merging(by_day=len(found) > 1)
+    with session_settings(spark, settings):
+        observed.write.mode("overwrite").insertInto(quoted(table))
+    emptied = set(found) - {tuple(p) for p in seen.get["filled"]}
+    levels = ["/".join(f"{c}={quote(v, safe='')}" for c, v in zip(by, p)) for p in sorted(emptied)]
+    partitions.drop_named(spark, table, levels)
+
+
+def _cased(df: DataFrame, name: str) -> str:
+    return next(c for c in df.columns if c.lower() == name.lower())
 
 
 def _rewrite(target: DataFrame, new: DataFrame, table: str, keys: list[str]) -> None:
     merged = drift.in_table_order(_merged(target, new, keys), target.schema)
     spark = target.sparkSession
-    managed = partitions.described(spark, table).get("type") == "MANAGED"
-    if not managed or partitions.partition_columns(spark, table):
-        # External files stay where they are, and not every catalog moves partitions
-        # along with a renamed table: stage the result, then overwrite in place.
+    held = partitions.described(spark, table)
+    if held.get("type") != "MANAGED":
+        # External files stay where they are: stage the result, then overwrite in place.
         whole = {"spark.sql.sources.partitionOverwriteMode": "static"}
         with staged(merged) as rows, session_settings(spark, whole):
             rows.write.mode("overwrite").insertInto(quoted(table))
         return
-    tag = uuid.uuid4().hex[:12]
-    fresh, old = f"{table}__new_{tag}", f"{table}__old_{tag}"
-    spark.sql(f"CREATE TABLE {quoted(fresh)} LIKE {quoted(table)}")
-    try:
-        merged.write.insertInto(quoted(fresh))
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {quoted(fresh)}")
-        raise
-    spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(old)}")
-    spark.sql(f"ALTER TABLE {quoted(fresh)} RENAME TO {quoted(table)}")
-    spark.sql(f"DROP TABLE {quoted(old)}")
+    replace_by_name(merged, table, held["provider"])

@@ -7,12 +7,15 @@ A day that receives no rows is dropped.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.functions import dates
 from daybook.model import SaveMode, check_day, check_range, days_between
 from daybook.operators import drift, partitions
 from daybook.operators.frames import clean_text
@@ -35,7 +38,7 @@ def sized(df: DataFrame, by_day: bool) -> DataFrame:
     return df.hint("rebalance", "dt") if by_day else df.hint("rebalance")
 
 
-def _merging(by_day: bool) -> dict[str, str]:
+def merging(by_day: bool) -> dict[str, str]:
     """How far rebalanced partitions are merged into write tasks.
 
     Hashed by day, each day is in one partition unless it is hot, so spreading them over
@@ -63,6 +66,8 @@ def _reconciled(df: DataFrame, table: str, on_new: str) -> DataFrame:
     spark = df.sparkSession
     if not partitions.has_day_partitions_only(spark, table):
         raise ValueError(f"{table} is not partitioned by dt alone")
+    if isinstance(dates.type_of(spark.table(quoted(table)), "dt"), (T.TimestampType, T.TimestampNTZType)):
+        raise ValueError(f"{table} is partitioned by times; dt must be a day, as text or DATE")
     if on_new == EVOLVE:
         drift.add_new_columns(df, table)
     elif on_new != DROP_NEW:
@@ -80,10 +85,10 @@ def overwrite_days(df: DataFrame, table: str, days: Sequence[str]) -> None:
     """
     spark = df.sparkSession
     seen = Observation()
-    day = F.coalesce(F.col("dt"), F.lit(partitions.NO_DAY))
+    day = F.coalesce(F.col("dt").cast("string"), F.lit(partitions.NO_DAY))
     observed = df.observe(seen, F.collect_set(day).alias("days"))
     dynamic = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-    with session_settings(spark, dynamic | _merging(by_day=len(days) > 1)):
+    with session_settings(spark, dynamic | merging(by_day=len(days) > 1)):
         observed.write.mode("overwrite").insertInto(quoted(table))
     partitions.drop_listed_days(spark, table, sorted(set(days) - set(seen.get["days"])))
 
@@ -99,6 +104,8 @@ def _replace(
     rebalance: bool,
 ) -> DataFrame:
     spark = df.sparkSession
+    if isinstance(dates.type_of(df, "dt"), (T.TimestampType, T.TimestampNTZType)):
+        raise ValueError("dt must be a day, as text or DATE, not a time")
     if not table_exists(spark, table):
         _create_by_day(drift.with_comments(df, comments) if comments else df, table, fmt)
     rows = _reconciled(df.where(wanted), table, on_new)
@@ -107,6 +114,13 @@ def _replace(
     return spark.table(quoted(table))
 
 
+def _among(df: DataFrame, days: Sequence[str]) -> Column:
+    # times are refused further on, where the table is known
+    if isinstance(dates.type_of(df, "dt"), (T.StringType, T.DateType)):
+        return dates.in_day_list(df, days)
+    return F.col("dt").cast("string").isin(list(days))
+
+
 def replace_day(
     df: DataFrame,
     table: str,
@@ -152,10 +166,7 @@ def replace_days(
     days = sorted({check_day(d) for d in days})
     if not days:
         return df.sparkSession.table(quoted(table))
-    if days == days_between(days[0], days[-1]):
-        wanted = F.col("dt").between(days[0], days[-1])
-    else:
-        wanted = F.col("dt").isin(days)
+    wanted = _among(df, days)  # exactly these days: no text in between
     df = clean_text(df, skip=["dt"]) if clean else df  # the day's filter must reach the scan
     return _replace(df, table, wanted, days, fmt, on_new, comments, rebalance)
 
@@ -176,7 +187,7 @@ def replace_range(
     spark = df.sparkSession
     dt, dt1 = check_range(dt, dt1)
     df = clean_text(df, skip=["dt"]) if clean else df
-    inside = F.coalesce(F.col("dt").between(dt, dt1), F.lit(False))
+    inside = F.coalesce(_among(df, days_between(dt, dt1)), F.lit(False))
     seen = Observation()
     df = df.observe(seen, F.count_if(~inside).alias("outside"))
     days = days_between(dt, dt1)
@@ -197,23 +208,94 @@ def replace_table(
     comments: Mapping[str, str] | None = None,
     clean: bool = True,
 ) -> DataFrame:
-    """Replace the whole table, columns included.  Files follow the scan's splits: no shuffle."""
+    """Replace the whole table, columns included.  Files follow the scan's splits: no shuffle.
+
+    The old table stays readable until the new one is written, and keeps its comment and
+    properties: an unpartitioned managed table is written beside it and takes its name; one
+    partitioned by ``dt`` alone, of the same columns, gets its partitions replaced at commit.
+    Other tables (external, or partitioned and of other columns) are overwritten by Spark,
+    which drops the old one first.
+    """
+    spark = df.sparkSession
     df = clean_text(df) if clean else df
     df = drift.with_comments(df, comments) if comments else df
+    if table_exists(spark, table):
+        held = partitions.described(spark, table)
+        by = [c.lower() for c in held.get("partition_columns", [])]
+        if held.get("type") == "MANAGED" and not by and not partition_by_day:
+            replace_by_name(df, table, fmt)
+            return spark.table(quoted(table))
+        if by == ["dt"] and partition_by_day and held.get("provider") == fmt and _same_columns(df, table):
+            _replace_partitions(df, table)
+            return spark.table(quoted(table))
     writer = df.write.format(fmt).mode("overwrite")
     writer = writer.partitionBy("dt") if partition_by_day else writer
     writer.saveAsTable(quoted(table))
-    return df.sparkSession.table(quoted(table))
+    return spark.table(quoted(table))
+
+
+def _same_columns(df: DataFrame, table: str) -> bool:
+    def kinds(schema: T.StructType) -> dict:
+        return {f.name.lower(): (f.dataType.simpleString(), f.metadata.get("comment", "")) for f in schema}
+
+    return kinds(df.schema) == kinds(df.sparkSession.table(quoted(table)).schema)
+
+
+def _replace_partitions(df: DataFrame, table: str) -> None:
+    spark = df.sparkSession
+    held = [r["partition"] for r in partitions.list_partitions(spark, table).collect()]
+    seen = Observation()
+    day = F.coalesce(F.col("dt").cast("string"), F.lit(partitions.NO_DAY))
+    rows = drift.in_table_order(df, spark.table(quoted(table)).schema)
+    observed = rows.observe(seen, F.collect_set(day).alias("days"))
+    with session_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        observed.write.mode("overwrite").insertInto(quoted(table))
+    filled = set(seen.get["days"])
+    partitions.drop_named(spark, table, [n for n in held if unquote(n).partition("=")[2] not in filled])
+
+
+def replace_by_name(df: DataFrame, table: str, fmt: str) -> None:
+    """Write the frame as a table beside an unpartitioned one and let it take the name, the
+    comment and the properties; if that fails, the old table has its name again."""
+    spark = df.sparkSession
+    held = partitions.described(spark, table)
+    tag = uuid.uuid4().hex[:12]
+    fresh, old = f"{table}__new_{tag}", f"{table}__old_{tag}"
+    try:
+        df.write.format(fmt).saveAsTable(quoted(fresh))
+        for key, value in held.get("table_properties", {}).items():
+            spark.sql(f"ALTER TABLE {quoted(fresh)} SET TBLPROPERTIES ({_text(key)} = {_text(value)})")
+        if held.get("comment"):
+            spark.sql(f"COMMENT ON TABLE {quoted(fresh)} IS {_text(held['comment'])}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(fresh)}")
+        raise
+    spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(old)}")
+    try:
+        spark.sql(f"ALTER TABLE {quoted(fresh)} RENAME TO {quoted(table)}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {quoted(old)} RENAME TO {quoted(table)}")
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(fresh)}")
+        raise
+    spark.sql(f"DROP TABLE {quoted(old)}")
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def write_if_absent(
     df: DataFrame, table: str, day: str | None = None, *, fmt: str = "parquet", **options
 ) -> DataFrame:
-    """Write only where there is no data yet: no table or, given a day, no partition of it."""
+    """Write only where there is no data yet: no table or, given a day, no partition of it.
+
+    Line breaks are stripped from text either way, unless ``clean`` is false.
+    """
     spark = df.sparkSession
     if not table_exists(spark, table):
         if day is None:
-            df.write.format(fmt).saveAsTable(quoted(table))
+            rows = clean_text(df) if options.get("clean", True) else df
+            rows.write.format(fmt).saveAsTable(quoted(table))
         else:
             replace_day(df, table, day, fmt=fmt, **options)
     elif day is not None and not partitions.partition_exists(spark, table, day):
@@ -229,7 +311,7 @@ def write_by_mode(
         return replace_day(df, table, day, fmt=fmt, **options)
     if mode is SaveMode.IGNORE:
         return write_if_absent(df, table, day, fmt=fmt, **options)
-    rows = df.where(F.col("dt") == check_day(day))
+    rows = df.where(_among(df, [check_day(day)]))
     return replace_table(rows, table, fmt=fmt, partition_by_day=True, **options)
 
 

@@ -86,6 +86,15 @@ def scan(
     return reader.option("dbtable", table).load()
 
 
+def quote_mark(store: Store) -> str:
+    """What the store's SQL puts around names that may be reserved words."""
+    return "`" if store.url.startswith(("jdbc:mysql:", "jdbc:clickhouse:")) else '"'
+
+
+def identifier(name: str, mark: str) -> str:
+    return mark + name.replace(mark, 2 * mark) + mark
+
+
 def split_options(column: str, splits: int, bounds: tuple) -> dict[str, str]:
     """Settings of a parallel read; none for an empty table, whose bounds are NULL."""
     if bounds[0] is None:
@@ -99,6 +108,7 @@ def split_options(column: str, splits: int, bounds: tuple) -> dict[str, str]:
 
 
 def _bounds(spark: SparkSession, store: Store, table: str, column: str) -> tuple:
+    column = identifier(column, quote_mark(store))
     query = f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}"
     row = spark.read.format("jdbc").options(**store.options()).option("query", query).load().first()
     return row[0], row[1]

@@ -43,8 +43,8 @@ def test_day_statements(spark):
     df = spark.createDataFrame([(1, "2024-01-01")], "id int, dt string")
     by_day = sink.day_statements(df, "t", "t_stage", ["2024-01-01", "2024-01-02"])
     assert by_day == [
-        ("DELETE FROM t WHERE dt IN (?, ?)", ("2024-01-01", "2024-01-02")),
-        ("INSERT INTO t (id, dt) SELECT id, dt FROM t_stage", ()),
+        ('DELETE FROM t WHERE "dt" IN (?, ?)', ("2024-01-01", "2024-01-02")),
+        ('INSERT INTO t ("id", "dt") SELECT "id", "dt" FROM t_stage', ()),
     ]
     assert sink.day_statements(df, "t", "t_stage", None)[0] == ("DELETE FROM t", ())
     with pytest.raises(ValueError):
@@ -54,12 +54,12 @@ def test_day_statements(spark):
 def test_upsert_statements(spark):
     df = spark.createDataFrame([(1, "a")], "id int, v string")
     assert sink.upsert_statement(df, "t", "s", ["id"], "mysql") == (
-        "INSERT INTO t (id, v) SELECT id, v FROM s "
-        "ON DUPLICATE KEY UPDATE id = VALUES(id), v = VALUES(v)"
+        "INSERT INTO t (`id`, `v`) SELECT `id`, `v` FROM s "
+        "ON DUPLICATE KEY UPDATE `id` = VALUES(`id`), `v` = VALUES(`v`)"
     )
     assert sink.upsert_statement(df, "t", "st", ["ID"], "standard") == (
-        "MERGE INTO t t USING st s ON t.ID = s.ID WHEN MATCHED THEN UPDATE SET t.v = s.v "
-        "WHEN NOT MATCHED THEN INSERT (id, v) VALUES (s.id, s.v)"
+        'MERGE INTO t t USING st s ON t."id" = s."id" WHEN MATCHED THEN UPDATE SET t."v" = s."v" '
+        'WHEN NOT MATCHED THEN INSERT ("id", "v") VALUES (s."id", s."v")'
     )
 
 
@@ -194,10 +194,61 @@ def test_replace_stages_the_days_then_swaps(spark, monkeypatch):
     assert written[0] == ("t", "append", [])
     assert [str(v) for v in written[1][2][0]] == ["2", "2.5000", "2024-01-02"]
     assert [s.split("_stage_")[0] for s, _ in ran] == [
-        "DELETE FROM t WHERE dt IN (?)",
-        "INSERT INTO t (id, x, dt) SELECT id, x, dt FROM t",
+        'DELETE FROM t WHERE "dt" IN (?)',
+        'INSERT INTO t ("id", "x", "dt") SELECT "id", "x", "dt" FROM t',
         "DROP TABLE IF EXISTS t",
     ]
     written.clear()
     sink.replace(df, STORE, "t", sink.SaveMode.OVERWRITE_TABLE)
     assert len(written[1][2]) == 3
+
+
+def test_reserved_words_are_quoted(spark):
+    df = spark.createDataFrame([(1, "x", "2024-01-01")], "id int, read string, dt string")
+    insert = sink.day_statements(df, "t", "s", None, "`")[1][0]
+    assert insert == "INSERT INTO t (`id`, `read`, `dt`) SELECT `id`, `read`, `dt` FROM s"
+    assert "`read` = VALUES(`read`)" in sink.upsert_statement(df, "t", "s", ["id"], "mysql")
+    assert source.identifier('a"b', '"') == '"a""b"'
+    assert source.quote_mark(source.mysql("h", "d", "u", "p")) == "`"
+
+
+@pytest.fixture
+def recorded(monkeypatch):
+    """What would be written and run, with an empty target."""
+    found = SimpleNamespace(written=[], ran=[])
+
+    class Writer:
+        def __init__(self, df, table):
+            self.df, self.table = df, table
+
+        def mode(self, mode):
+            return self
+
+        def save(self):
+            found.written.append((self.table.split("_stage_")[0], [tuple(r) for r in self.df.collect()]))
+
+    monkeypatch.setattr(sink, "_writer", lambda df, store, table, *_: Writer(df, table))
+    monkeypatch.setattr(sink, "run_in_store", lambda spark, store, s: found.ran.extend(s))
+    return found
+
+
+def test_ignore_writes_its_days_and_deletes_nothing(spark, monkeypatch, recorded):
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "id int, dt string")
+    monkeypatch.setattr(sink, "scan", lambda spark, store, table: df.limit(0))
+    sink.replace(df, STORE, "t", sink.SaveMode.IGNORE, days="2024-01-02")
+    assert recorded.written[-1][1] == [(2, "2024-01-02")]
+    assert not any("DELETE" in sql for sql, _ in recorded.ran)
+    recorded.written.clear()
+    monkeypatch.setattr(sink, "scan", lambda spark, store, table: df)
+    sink.replace(df, STORE, "t", sink.SaveMode.IGNORE, days="2024-01-02")
+    assert recorded.written == [("t", [])]
+
+
+def test_relational_upsert_refuses_null_keys_and_blanks_before_casting(spark, monkeypatch, recorded):
+    target = spark.createDataFrame([], "id int, t timestamp")
+    monkeypatch.setattr(sink, "scan", lambda spark, store, table: target)
+    rows = spark.createDataFrame([(1, " ")], "id int, t string")
+    sink.upsert(rows, STORE, "t", ["id"], ["id"])
+    assert recorded.written[-1][1] == [(1, None)]
+    with pytest.raises(Exception, match="key column id is NULL"):
+        sink.upsert(spark.createDataFrame([(None, "x")], "id int, v string"), STORE, "t", ["id"], ["id"])

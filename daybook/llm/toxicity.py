@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from daybook.llm.staging import Stages
 
-SAMPLE = 16_000
+SAMPLE = 12_000
 FEATURES = 4000
+CANDIDATES = 100_000  # words and beginnings of most toxic documents, from which the features are chosen
 LEAST_Z = 4.0
 _CLASSES = 64  # character classes of the model: 0 for what is no letter, 1-26 for a-z, the rest share 37
 _LAST = 0x323B0
@@ -44,10 +45,13 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou",
 }
 SEPARATORS = " .-_*~'\"·,/\\"
-IMITATES, DROPS, REPEATS, STAYS = np.log(0.3), np.log(0.3), np.log(0.5), np.log(0.02)
+IMITATES, DROPS, REPEATS, STAYS, STAYS_LEET = np.log(0.3), np.log(0.3), np.log(0.5), np.log(0.02), np.log(1e-4)
 
 _EDGES = re.compile(r"^[^\w@$!|+(€£*]+|[^\w@$]+$")
 _DISGUISED = re.compile(r"[^\W\d_].*[\d@$!|+(€£* ._\-~'\"·,/\\]|[\d@$!|+(€£* ._\-~'\"·,/\\].*[^\W\d_]|([^\W\d_])\1\1")
+_TRIPLE = re.compile(r"(.)\1\1")
+_PLAIN_EDGES = ".,;:?\"'()[]-"
+_PAIR_OF_SINGLES = re.compile(r"(?:^|\s)\S[ \t]\S(?!\S)")
 _SPACED = re.compile(r"(?:(?<=\s)|^)(?:[^\W_]|[@$!|+(€£*])(?:[ \t](?:[^\W_]|[@$!|+(€£*])(?=\s|$|[.,;:?])){2,}")
 
 
@@ -73,15 +77,24 @@ def trigram_counts(texts: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_CLASSES**3, np.int64)
+
+        def add(joined: str) -> None:
+            points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+            for at in range(2, len(points), _CHUNK):
+                kinds = table.value[np.minimum(points[at - 2 : at + _CHUNK], _LAST)].astype(np.int32)
+                triples = (kinds[:-2] << 12) | (kinds[1:-1] << 6) | kinds[2:]
+                np.add(total, np.bincount(triples, minlength=_CLASSES**3), out=total)
+
+        held, size = ["  "], 0  # texts are counted together, two blanks apart
         for batch in batches:
             for text in batch.column(0):
-                points = np.frombuffer((text.as_py() or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-                for at in range(0, len(points), _CHUNK):
-                    part = points[max(0, at - 2) : at + _CHUNK]
-                    kinds = table.value[np.minimum(part, _LAST)].astype(np.int32)
-                    if at == 0:
-                        kinds = np.concatenate([np.zeros(2, np.int32), kinds])
-                    total += np.bincount((kinds[:-2] << 12) | (kinds[1:-1] << 6) | kinds[2:], minlength=_CLASSES**3)
+                text = text.as_py() or ""
+                held.append(text)
+                size += len(text)
+                if size > _CHUNK:
+                    add("  ".join(held))
+                    held, size = ["  "], 0
+        add("  ".join(held))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["triple", "n"])
 
@@ -110,7 +123,7 @@ def restore(token: str, model: np.ndarray) -> str:
         if char.isalpha():
             options.append((char, 0.0))
         else:
-            options.append((char, STAYS))
+            options.append((char, STAYS_LEET if char in LEET else STAYS))
         options += [(letter, IMITATES) for letter in LEET.get(char, "")]
         if char in SEPARATORS and 0 < i < len(token) - 1:
             options.append(("", DROPS if char != " " else DROPS / 2))
@@ -134,6 +147,9 @@ def restore(token: str, model: np.ndarray) -> str:
 
 def words_of(raw: str, model: np.ndarray) -> list[str]:
     """The restored words of a white-space token of lower-case text, or of spaced-out letters."""
+    token = raw.strip(_PLAIN_EDGES)
+    if token.isalpha() and (len(token) - len(set(token)) < 2 or not _TRIPLE.search(token)):
+        return [token]
     token = _EDGES.sub("", raw)
     if not token:
         return []
@@ -152,7 +168,8 @@ def tokens_of(text: str) -> set[str]:
     """The different white-space tokens of a text, lower-cased, and its runs of spaced-out letters."""
     lower = text.lower()
     found = set(lower.split())
-    found.update(m.group() for m in _SPACED.finditer(lower))
+    if _PAIR_OF_SINGLES.search(lower):
+        found.update(m.group() for m in _SPACED.finditer(lower))
     return found
 
 
@@ -166,8 +183,9 @@ class Scorer:
     def _weigh(self, token: str) -> float:
         if len(self.known) >= _CACHE:
             self.known.clear()
-        weights = self.weights
-        total = sum(weights.get(f, 0.0) for w in words_of(token, self.model) for f in features_of(w))
+        weight, total = self.weights.get, 0.0
+        for word in words_of(token, self.model):
+            total += sum([weight(f, 0.0) for f in features_of(word)])
         self.known[token] = total
         return total
 
@@ -181,17 +199,21 @@ class Scorer:
 
 
 def _fit(rows: pd.DataFrame, features: int, prior: float) -> tuple[np.ndarray, float]:
-    """Logistic regression on sparse counts with a ridge, by Adam on all rows."""
+    """Logistic regression on sparse counts with a ridge, by Adam on all rows.
+
+    Toxic rows weigh more, by how rare they are: one word among many has to be enough.
+    """
     weights, bias = np.zeros(features), prior
     at = np.repeat(np.arange(len(rows)), [len(x) for x in rows["found"]])
     if not len(at):
         return weights, bias
     which = np.concatenate([np.asarray(x, np.int64) for x in rows["found"]])
     toxic = rows["toxic"].to_numpy(np.float64)
+    weigh = np.where(toxic == 1, max(1.0, (1 - toxic).sum() / max(1.0, toxic.sum())) ** 0.75, 1.0)
     mean, spread = np.zeros(features + 1), np.zeros(features + 1)
-    for step in range(1, 401):
+    for step in range(1, 501):
         margin = bias + np.bincount(at, weights[which], len(rows))
-        error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic
+        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) * weigh
         slope = np.append(np.bincount(which, error[at], features) + 0.02 * weights, error.sum())
         slope /= len(rows)
         mean, spread = 0.9 * mean + 0.1 * slope, 0.99 * spread + 0.01 * slope**2
@@ -239,10 +261,13 @@ def learn(
     yes, no = seen["toxic"], seen["n"] - seen["toxic"]
     if not yes or not no:
         return Scorer(model, {}, prior)
-    per_feature = examples.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
+    in_toxic = examples.where("toxic = 1").select(F.explode("features").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("a"))
+    candidates = stages.write(in_toxic.where("a >= 5").orderBy(F.desc("a"), "f").limit(CANDIDATES))
+    every = examples.select(F.explode("features").alias("f")).join(F.broadcast(candidates), "f")
+    per_feature = every.groupBy("f", "a").agg(F.count(F.lit(1)).alias("n"))
     p, q, both = F.col("a") / yes, (F.col("n") - F.col("a")) / no, F.col("n") / (yes + no)
     z = (p - q) / F.sqrt(both * (1 - both) * (1 / yes + 1 / no) + 1e-12)
-    best = per_feature.where("a >= 5").select("f", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "f").limit(FEATURES)
+    best = per_feature.select("f", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "f").limit(FEATURES)
     names = [r["f"] for r in best.collect()]
     place = {f: i for i, f in enumerate(names)}
 

@@ -1,0 +1,40 @@
+from __future__ import annotations
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from daybook.llm import bpe, simhash
+from daybook.llm.queries import tokenizer
+
+
+def test_stages_in_order(spark, small, tmp_path):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash_near_dedup", "mixing", "byte_bpe"]
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    columns, texts = docs.columns, {}
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        given = docs
+        stage(spark, docs, small).write.parquet(f"{tmp_path}/{n}")
+        docs = spark.read.parquet(f"{tmp_path}/{n}")
+        assert docs.columns == columns
+        ids = {r[0] for r in docs.select("doc_id").collect()}
+        assert ids <= {r[0] for r in given.select("doc_id").collect()}
+        if name == "simhash_near_dedup":
+            groups = simhash.near_duplicates(given)
+            assert ids == {r[0] for r in groups.select("component_id").distinct().collect()}
+            assert docs.count() == len(ids)
+        texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    ranks, pattern = tokenizer()
+    encoder = bpe.Encoder(ranks)
+    for r in corpus_pipeline.STAGES[-1][1](spark, docs, small).limit(20).collect():
+        assert b"".join(encoder.tokens[i] for i in r["ids"]).decode() == texts[r["doc_id"]]
+
+
+def test_stages_take_odd_and_no_rows(spark, odd_docs, no_docs, small):
+    for docs in (odd_docs, no_docs):
+        for _, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, small)
+            assert out.count() <= 3 * max(1, docs.count())
+
+
+def test_registered(spark):
+    names = set(entry.queries())
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names}

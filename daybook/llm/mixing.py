@@ -175,24 +175,26 @@ def fit_rates(members: DataFrame, targets: np.ndarray, *, lowest: float = 0.0, s
     k = len(targets)
     p, t = F.col("posteriors"), F.col("n_tokens").cast("double")
 
-    def over(values: list[Column]) -> np.ndarray:
-        found = members.agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"v{i}") for i, v in enumerate(values)]).first()
+    def over(rows: DataFrame, values: list[Column]) -> np.ndarray:
+        found = rows.agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"v{i}") for i, v in enumerate(values)]).first()
         return np.array(list(found), np.float64)
 
-    overlap = over([t * p[i] * p[j] for i in range(k) for j in range(k)]).reshape(k, k)
-    whole = max(1.0, overlap.sum())
-    scale = np.linalg.pinv(overlap / whole + 1e-9 * np.eye(k))
     gaps: list[np.ndarray] = []
     best: tuple[float, int, np.ndarray] | None = None
     while True:
-        totals = over([t * p[i] * _rate(p, gaps, lowest) for i in range(k)])
+        # totals, and the overlap of domains among documents that the bound does not hold
+        rated = members.withColumn("_rate", _rate(p, gaps, lowest))
+        free = F.when(F.col("_rate") > lowest, t).otherwise(F.lit(0.0))
+        values = [t * p[i] * F.col("_rate") for i in range(k)] + [free * p[i] * p[j] for i in range(k) for j in range(k)]
+        sums = over(rated, [*values, t])
+        totals, overlap, whole = sums[:k], sums[k:-1].reshape(k, k), max(1.0, sums[-1])
         left = (targets - totals) / whole
         error = float(np.abs(left).max())
         if best is None or error < best[0]:
             best = (error, len(gaps), totals)
         if error < CLOSE or len(gaps) >= steps:
             break
-        gaps = [*gaps, scale @ left]
+        gaps = [*gaps, np.linalg.pinv(overlap / whole + 1e-9 * np.eye(k)) @ left]
     return Fit(gaps[: best[1]], lowest, targets, best[2])
 
 

@@ -139,10 +139,10 @@ def _forest(fps: np.ndarray, open_: tuple[int, ...], flips: np.ndarray, max_bits
     found = []
 
     def join(i: int, j: int) -> None:
-        i, j = find(i), find(j)
-        if i != j:
-            parent[max(i, j)] = min(i, j)
-            found.append((int(fps[min(i, j)]), int(fps[max(i, j)])))
+        a, b = find(i), find(j)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            found.append((int(fps[i]), int(fps[j])))
 
     if len(fps) <= 2 * len(flips):  # few: compare each with the later ones
         for i in range(len(fps) - 1):

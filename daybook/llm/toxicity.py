@@ -85,16 +85,16 @@ def trigram_counts(texts: DataFrame) -> np.ndarray:
                 triples = (kinds[:-2] << 12) | (kinds[1:-1] << 6) | kinds[2:]
                 np.add(total, np.bincount(triples, minlength=_CLASSES**3), out=total)
 
-        held, size = ["  "], 0  # texts are counted together, two blanks apart
+        held, size = [""], 0  # texts are counted together, two blanks before and behind each
         for batch in batches:
             for text in batch.column(0):
                 text = text.as_py() or ""
                 held.append(text)
                 size += len(text)
                 if size > _CHUNK:
-                    add("  ".join(held))
-                    held, size = ["  "], 0
-        add("  ".join(held))
+                    add("  ".join([*held, ""]))
+                    held, size = [""], 0
+        add("  ".join([*held, ""]))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["triple", "n"])
 

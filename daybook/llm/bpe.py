@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LONG_PIECE = 256
-RUN_CHARS = 32_000_000
+RUN_CHARS = 20_000_000
 QUERY_PIECES = 40_000
 
 # One step: rows that still may merge, the best pair of each piece, and the rows with that pair contracted.  A row

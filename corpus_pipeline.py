@@ -28,10 +28,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document that names it, once."""
-    groups = simhash.near_duplicates(docs)
-    firsts = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first")).distinct()
-    chosen = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
-    return chosen.dropDuplicates(["doc_id"])
+    return simhash.keep_one(docs)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

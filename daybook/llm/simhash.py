@@ -29,7 +29,7 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.components import components
@@ -63,18 +63,24 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(set_bits.view("<u8")[0])
 
 
+def _mark(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col))
+
+
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` per row; ``fp`` is the fingerprint as a signed 64-bit number."""
+    """``doc_id, mark, fp`` per row; ``fp`` is the fingerprint as a signed 64-bit number, ``mark`` tells texts apart."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(2)
             values = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(values.view(np.int64))], ["doc_id", "mark", "fp"]
+            )
 
-    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    picked = docs.select(F.col(id_col).alias("doc_id"), _mark(text_col).alias("mark"), F.col(text_col).alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(each, f"doc_id {kind}, fp long")
+    return picked.mapInArrow(each, f"doc_id {kind}, mark long, fp long")
 
 
 def _masks(max_bits: int) -> list[np.uint64]:
@@ -164,7 +170,8 @@ def _forest(fps: np.ndarray, open_: tuple[int, ...], flips: np.ndarray, max_bits
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
 ) -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest document id reachable over links, for each row.
+    """``doc_id, mark, fp, component_id, root``: for each row the smallest document id reachable over links, and the
+    fingerprint that stands for its group.
 
     ``max_bits`` is 1 to 3; the index posts each fingerprint 8, 28 or 56 times.
     """
@@ -179,5 +186,22 @@ def near_duplicates(
         .select("fp", "first", F.coalesce("root", "fp").alias("root"))
     )
     names = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    per_fp = stages.write(named.join(names, "root").select("fp", "component_id"))
-    return marked.join(per_fp, "fp").select("doc_id", "fp", "component_id")
+    per_fp = stages.write(named.join(names, "root").select("fp", "component_id", "root"))
+    return marked.join(per_fp, "fp").select("doc_id", "mark", "fp", "component_id", "root")
+
+
+def keep_one(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
+) -> DataFrame:
+    """Of each group of near duplicates one row, with all its columns: that of the smallest id, nulls last.
+
+    A row is found by id and text, so documents that share an id (or have none) stay if their groups differ; of
+    repeated rows one stays.
+    """
+    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, max_bits=max_bits)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    firsts = groups.groupBy("root").agg(F.min(order).alias("first")).select(
+        F.col("first.doc_id").alias("_first_id"), F.col("first.mark").alias("_first_mark")
+    )
+    same = F.col(id_col).eqNullSafe(F.col("_first_id")) & (_mark(text_col) == F.col("_first_mark"))
+    return docs.join(firsts, same, "left_semi").dropDuplicates([id_col, text_col])

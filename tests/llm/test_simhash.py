@@ -118,6 +118,20 @@ def test_odd_rows(odd_docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark, odd_docs, no_docs):
+    rows = simhash.near_duplicates(odd_docs).collect()
+    kept = simhash.keep_one(odd_docs)
+    assert kept.columns == odd_docs.columns
+    found = kept.collect()
+    # a shared id, or none, does not make one group of two texts
+    assert len(found) == len({r["root"] for r in rows})
+    assert sorted(r["text"] for r in found if r["doc_id"] == 9) == ["another text of the same document", "same text here"]
+    assert [r["doc_id"] for r in found if not (r["text"] or "").strip()] == [4]
+    nameless = spark.createDataFrame([(None, "one two three"), (None, "four five six"), (None, None)], "doc_id long, text string")
+    assert simhash.keep_one(nameless).count() == 3
+    assert simhash.keep_one(no_docs).count() == 0
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(500, i) for i in range(600, 700)]

@@ -9,9 +9,12 @@ Ids are those of the rank file: a piece that is itself a token is that token; ot
 piece of more than ``LONG_PIECE`` bytes would make the recursion keep rows in proportion to its square, so such
 pieces are contracted by the same rule with a heap of ranks.
 
-Memory: texts are taken in runs of at most ``RUN_CHARS`` characters (one text at least), with a piece table and a
-DuckDB of their own, and queried ``QUERY_PIECES`` pieces at a time, so a task's memory follows these sizes and its
-longest text, not the partition.
+A worker remembers what the query gave for the first ``REMEMBERED`` pieces that it met, the common ones for the most
+part, for the runs and tasks that follow; all others are queried.
+
+Memory: texts are taken in runs of at most ``RUN_CHARS`` characters (one text at least), with a piece table of their
+own, and queried ``QUERY_PIECES`` pieces at a time, so a task's memory follows these sizes and its longest text, not
+the partition.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes.  Special tokens' strings are ordinary text.
 Repeated rows each get a row.  Extra columns are ignored.  No rows in, no rows out.
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 LONG_PIECE = 256
 RUN_CHARS = 20_000_000
 QUERY_PIECES = 40_000
+REMEMBERED = 200_000
 
 # One step: rows that still may merge, the best pair of each piece, and the rows with that pair contracted.  A row
 # knows its right neighbour (position and id), so a step needs no sort.
@@ -67,6 +71,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class _Remembered:
+    """Ids and decoded bytes of pieces that this process has queried, for one vocabulary at a time."""
+
+    ranks: dict[bytes, int] | None = None
+    pieces: dict[bytes, tuple[np.ndarray, bytes]] = {}
+
+    @classmethod
+    def of(cls, ranks: dict[bytes, int]) -> dict[bytes, tuple[np.ndarray, bytes]]:
+        if cls.ranks != ranks:
+            cls.ranks, cls.pieces = ranks, {}
+        return cls.pieces
+
+
 class Encoder:
     """A merge table in an in-process DuckDB, and the recursive query over it."""
 
@@ -74,6 +91,7 @@ class Encoder:
         import duckdb
 
         self.ranks = ranks
+        self.known = _Remembered.of(ranks)
         left, right, merged = [], [], []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -100,8 +118,11 @@ class Encoder:
         """Each piece's ids, and the bytes that these decode to."""
         ids: list = [None] * len(pieces)
         decoded: list = [b""] * len(pieces)
-        todo = []
+        known, todo = self.known, []
         for i, piece in enumerate(pieces):
+            if piece in known:
+                ids[i], decoded[i] = known[piece]
+                continue
             whole = self.ranks.get(piece)
             if whole is not None:
                 ids[i], decoded[i] = np.array([whole], np.uint32), self.tokens[whole]
@@ -121,6 +142,8 @@ class Encoder:
             for n, i in enumerate(some):
                 ids[i] = values[ends[n] : ends[n + 1]]
                 decoded[i] = b"".join(texts[ends[n] : ends[n + 1]])
+            for i in some[: max(0, REMEMBERED - len(known))]:
+                known[pieces[i]] = ids[i], decoded[i]
         return ids, decoded
 
     def _query(self, pieces: list[bytes]) -> pa.Table:

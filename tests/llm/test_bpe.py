@@ -54,6 +54,23 @@ def _shared():
     return _KNOWN[0]
 
 
+def test_remembered_pieces_are_those_of_the_vocabulary(encoder, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    bytes_only = {bytes([i]): i for i in range(256)}
+    texts = [b"qzqzqz", b"xyxyxyxy", b"wvwvwv", b"qpqpqp", b"jkjkjk"]
+    expected = [LIBRARY.encode_ordinary(t.decode()) for t in texts]
+    for _ in range(2):
+        plain = bpe.Encoder(bytes_only)  # what another vocabulary gave is forgotten
+        assert [i.tolist() for i in plain.encode(texts)[0]] == [list(t) for t in texts]
+        assert plain.encode(texts)[1] == texts
+        plain.close()
+        known = bpe.Encoder(RANKS)
+        for _ in range(2):
+            assert [i.tolist() for i in known.encode(texts)[0]] == expected
+        assert len(known.known) == 3
+        known.close()
+
+
 def test_pieces_just_below_and_above_the_long_limit(encoder):
     pieces = [b"ab" * (bpe.LONG_PIECE // 2 + d) for d in (-1, 0, 1)]
     ids, decoded = encoder.encode(pieces)

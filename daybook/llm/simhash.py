@@ -36,7 +36,7 @@ from daybook.llm.components import components
 from daybook.llm.staging import Stages
 
 SEED = 42
-_CHUNK = 1 << 20  # hashes counted at a time
+_CHUNK = 1 << 15  # shingles hashed at a time, so that a very long text needs little more than its words
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -46,20 +46,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     words = (text or "").encode().lower().split()  # bytes: ASCII letters and ASCII white space only
     if not words:
         return 0
-    joined = b" ".join(words)
-    ends = list(accumulate(len(w) + 1 for w in words))
-    starts = [0, *ends[:-1]]
-    if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        xxh64 = xxhash.xxh64_intdigest
-        hashes = [xxh64(joined[a : b - 1], SEED) for a, b in zip(starts, ends[shingle - 1 :])]
+    xxh64, total = xxhash.xxh64_intdigest, max(1, len(words) - shingle + 1)
     counts = np.zeros(64, np.int64)
-    values = np.array(hashes, "<u8")
-    for at in range(0, len(values), _CHUNK):
-        bits = np.unpackbits(values[at : at + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for at in range(0, total, _CHUNK):
+        own = words[at : at + _CHUNK + shingle - 1]
+        joined = b" ".join(own)
+        ends = list(accumulate(len(w) + 1 for w in own))
+        hashes = [xxh64(joined[a : b - 1], SEED) for a, b in zip([0, *ends], ends[min(shingle, len(own)) - 1 :])]
+        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.uint32)
-    set_bits = np.packbits(counts * 2 > len(values), bitorder="little")
+    set_bits = np.packbits(counts * 2 > total, bitorder="little")
     return int(set_bits.view("<u8")[0])
 
 

@@ -39,6 +39,13 @@ def test_fingerprint(text):
     assert simhash.fingerprint(text) == plain_fingerprint(text)
 
 
+@pytest.mark.parametrize("extra", [-1, 0, 1, 2, 3])
+def test_fingerprint_of_chunks(monkeypatch, extra):
+    monkeypatch.setattr(simhash, "_CHUNK", 8)
+    text = " ".join(f"w{i % 7}" for i in range(16 + extra))
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
 def test_spark_has_the_same_hash(spark):
     from pyspark.sql import functions as F
 

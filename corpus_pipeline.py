@@ -13,6 +13,8 @@ from daybook.llm import bpe, line_dedup, mixing, simhash, toxicity
 from daybook.llm.queries import TARGETS, quality_domains, tokenizer
 from daybook.llm.staging import Stages
 
+RUN_CHARS = 5_000_000  # of the last stage: executors' heaps are full by then, so its workers get less memory
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the scorer, learned from the labels, does not take for toxic; labelled ones are scored like all."""
@@ -43,7 +45,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with what decoding them gives as a digest: ``doc_id, n_tokens, ids, decoded_sha256``."""
-    return bpe.encode(docs, *tokenizer())
+    return bpe.encode(docs, *tokenizer(), run_chars=RUN_CHARS)
 
 
 STAGES = [

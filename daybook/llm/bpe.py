@@ -9,12 +9,12 @@ Ids are those of the rank file: a piece that is itself a token is that token; ot
 piece of more than ``LONG_PIECE`` bytes would make the recursion keep rows in proportion to its square, so such
 pieces are contracted by the same rule with a heap of ranks.
 
-A worker remembers what the query gave for the first ``REMEMBERED`` pieces that it met, the common ones for the most
-part, for the runs and tasks that follow; all others are queried.
+A worker remembers what the query gave for the pieces that it met first, the common ones for the most part, for the
+runs and tasks that follow; all others are queried.
 
-Memory: texts are taken in runs of at most ``RUN_CHARS`` characters (one text at least), with a piece table of their
-own, and queried ``QUERY_PIECES`` pieces at a time, so a task's memory follows these sizes and its longest text, not
-the partition.
+Memory: texts are taken in runs of at most ``run_chars`` characters (one text at least), with a piece table of their
+own; how many pieces a query takes and how many are remembered are fixed parts of it.  A task's memory follows
+``run_chars`` and its longest text, not the partition; smaller runs query more pieces anew.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes.  Special tokens' strings are ordinary text.
 Repeated rows each get a row.  Extra columns are ignored.  No rows in, no rows out.
@@ -34,8 +34,7 @@ from pyspark.sql import functions as F
 
 LONG_PIECE = 256
 RUN_CHARS = 20_000_000
-QUERY_PIECES = 40_000
-REMEMBERED = 200_000
+QUERIED, REMEMBERED = 500, 100  # pieces at a time, and kept: one for so many characters of a run
 
 # One step: rows that still may merge, the best pair of each piece, and the rows with that pair contracted.  A row
 # knows its right neighbour (position and id), so a step needs no sort.
@@ -87,9 +86,10 @@ class _Remembered:
 class Encoder:
     """A merge table in an in-process DuckDB, and the recursive query over it."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], run_chars: int = RUN_CHARS):
         import duckdb
 
+        self.queried, self.remembered = max(1, run_chars // QUERIED), run_chars // REMEMBERED
         self.ranks = ranks
         self.known = _Remembered.of(ranks)
         left, right, merged = [], [], []
@@ -131,8 +131,8 @@ class Encoder:
                 decoded[i] = b"".join(self.tokens[t] for t in ids[i].tolist())
             else:
                 todo.append(i)
-        for at in range(0, len(todo), QUERY_PIECES):
-            some = todo[at : at + QUERY_PIECES]
+        for at in range(0, len(todo), self.queried):
+            some = todo[at : at + self.queried]
             found = self._query([pieces[i] for i in some])
             flat = found["ids"].combine_chunks()
             values = flat.values.to_numpy().astype(np.uint32)
@@ -142,7 +142,7 @@ class Encoder:
             for n, i in enumerate(some):
                 ids[i] = values[ends[n] : ends[n + 1]]
                 decoded[i] = b"".join(texts[ends[n] : ends[n + 1]])
-            for i in some[: max(0, REMEMBERED - len(known))]:
+            for i in some[: max(0, self.remembered - len(known))]:
                 known[pieces[i]] = ids[i], decoded[i]
         return ids, decoded
 
@@ -236,14 +236,14 @@ class Splitter:
         return numbers
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+def _runs(batches: Iterator[pa.RecordBatch], run_chars: int) -> Iterator[tuple[list, list[str]]]:
     keys: list = []
     texts: list[str] = []
     chars = 0
     for batch in batches:
         for key, text in zip(batch.column(0), batch.column(1)):
             text = text.as_py() or ""
-            if texts and chars + len(text) > RUN_CHARS:
+            if texts and chars + len(text) > run_chars:
                 yield keys, texts
                 keys, texts, chars = [], [], 0
             keys.append(key.as_py())
@@ -283,7 +283,8 @@ def encode_run(texts: list[str], splitter: Splitter, encoder: Encoder) -> Iterat
 
 
 def tokenize(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, emit, schema: str, *, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, emit, schema: str, *, id_col: str = "doc_id", text_col: str = "text",
+    run_chars: int = RUN_CHARS,
 ) -> DataFrame:
     """``emit(ids, decoded)`` as a tuple of the columns of ``schema`` behind ``doc_id``, for each document.
 
@@ -299,8 +300,8 @@ def tokenize(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(out)
-        encoder = Encoder(vocabulary.value)
-        for keys, texts in _runs(batches):
+        encoder = Encoder(vocabulary.value, run_chars)
+        for keys, texts in _runs(batches, run_chars):
             rows = [(k, *emit(*x)) for k, x in zip(keys, encode_run(texts, Splitter(pattern), encoder))]
             for at in range(0, len(rows), 2000):
                 columns = list(zip(*islice(rows, at, at + 2000)))
@@ -310,7 +311,7 @@ def tokenize(
     return picked.mapInArrow(each, out)
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, **columns) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, **settings) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded_sha256`` of each document: ids as an array, the decoded bytes as a digest."""
 
     def emit(ids: np.ndarray, decoded: bytes):
@@ -318,10 +319,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, **columns) ->
 
         return len(ids), ids.astype(np.int32), sha256(decoded).hexdigest()
 
-    return tokenize(docs, ranks, pattern, emit, "n_tokens long, ids array<int>, decoded_sha256 string", **columns)
+    return tokenize(docs, ranks, pattern, emit, "n_tokens long, ids array<int>, decoded_sha256 string", **settings)
 
 
-def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, **columns) -> DataFrame:
+def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, **settings) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each document.
 
     The digests are lowercase hex: of the ids as little-endian unsigned 32-bit integers, and of the decoded bytes.
@@ -332,4 +333,4 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, **columns) -
 
         return len(ids), sha256(ids.astype("<u4").tobytes()).hexdigest(), sha256(decoded).hexdigest()
 
-    return tokenize(docs, ranks, pattern, emit, "n_tokens long, ids_sha256 string, decoded_sha256 string", **columns)
+    return tokenize(docs, ranks, pattern, emit, "n_tokens long, ids_sha256 string, decoded_sha256 string", **settings)

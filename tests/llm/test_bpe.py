@@ -54,8 +54,7 @@ def _shared():
     return _KNOWN[0]
 
 
-def test_remembered_pieces_are_those_of_the_vocabulary(encoder, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+def test_remembered_pieces_are_those_of_the_vocabulary():
     bytes_only = {bytes([i]): i for i in range(256)}
     texts = [b"qzqzqz", b"xyxyxyxy", b"wvwvwv", b"qpqpqp", b"jkjkjk"]
     expected = [LIBRARY.encode_ordinary(t.decode()) for t in texts]
@@ -64,7 +63,7 @@ def test_remembered_pieces_are_those_of_the_vocabulary(encoder, monkeypatch):
         assert [i.tolist() for i in plain.encode(texts)[0]] == [list(t) for t in texts]
         assert plain.encode(texts)[1] == texts
         plain.close()
-        known = bpe.Encoder(RANKS)
+        known = bpe.Encoder(RANKS, run_chars=3 * bpe.REMEMBERED)
         for _ in range(2):
             assert [i.tolist() for i in known.encode(texts)[0]] == expected
         assert len(known.known) == 3

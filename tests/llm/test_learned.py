@@ -154,6 +154,40 @@ def test_language_model_odd_rows(odd_docs, no_docs):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 for r in untrained)
 
 
+def test_language_model_learns_from_all_training_documents(spark):
+    ranks, pattern = tokenizer()
+    end = len(ranks)
+    rows = [(i, f"some words of text {i} and no more".encode(), i % 7 != 2, i * 5) for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text binary, trains boolean, draw long")
+    runs = lm_scoring._runs(docs, ranks, pattern).cache()
+    payloads = [lm_scoring._load(r["payload"]) for r in runs.select("payload").collect()]
+    turns = [sum(int(lm_scoring._chosen(p, t).sum()) for p in payloads) for t in range(lm_scoring.ROUNDS)]
+    assert sum(turns) == sum(r[2] for r in rows) and min(turns) > 0
+    encode = lm_scoring._encoder(ranks, pattern)
+    counts = np.zeros(end + 1)
+    for _, text, trains, _ in rows:
+        for word in text.decode().split() if trains else []:
+            counts[encode(" " + word)] += 1
+        counts[end] += trains
+    # every id of the training documents stands behind one neighbour
+    assert (lm_scoring.neighbour_counts(runs, counts, end).sum(axis=1) == counts).all()
+
+
+def test_training_takes_every_window(monkeypatch):
+    vocabulary = lm_scoring.Vocabulary(np.arange(500, 0, -1).astype(float), np.random.default_rng(0).random((500, lm_scoring.NEIGHBOURS)))
+    seen = []
+
+    def gradients(w, inputs, truth, counted):
+        seen.append(len(inputs))
+        return {k: np.zeros_like(v) for k, v in w.items()}
+
+    monkeypatch.setattr(lm_scoring, "_gradients", gradients)
+    monkeypatch.setattr(lm_scoring, "LEAST_STEPS", 1)
+    runs = [(np.zeros(n * 7, np.int32), np.full(n, 7)) for n in (100, 30)]
+    lm_scoring._trained(lm_scoring.initial(vocabulary), vocabulary, lambda: iter(runs), 499, 0)
+    assert sum(seen) == 130 and max(seen) == lm_scoring.BATCH
+
+
 def test_windows_score_every_id_once():
     lengths = np.array([1, 5, 32, 33, 56, 57, 200])
     places, inside, scored = lm_scoring._windows(lengths)

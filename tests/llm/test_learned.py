@@ -195,6 +195,15 @@ def test_windows_score_every_id_once():
     assert (hits == 1).all() and not (scored & ~inside).any()
 
 
+def test_scored_ids_have_half_a_window_before_them():
+    lengths = np.array([1, 32, 33, 49, 500])
+    places, _, scored = lm_scoring._windows(lengths)
+    starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+    for own, counted in zip(places, scored):
+        for at in np.flatnonzero(counted):
+            assert at >= min(lm_scoring.WINDOW // 2, own[at] - starts[own[at]])
+
+
 def test_predictions_are_causal_and_sum_to_one():
     counts = np.arange(2000, 0, -1).astype(float)
     vocabulary = lm_scoring.Vocabulary(counts, np.random.default_rng(0).random((2000, lm_scoring.NEIGHBOURS)))

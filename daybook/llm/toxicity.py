@@ -3,7 +3,8 @@
 Method: a token that looks disguised (digits or symbols among letters, a letter three times in a row, letters spaced out)
 becomes a lattice: each character stands for itself, for the letters it imitates, or, if it separates or repeats, for
 nothing.  Viterbi decoding finds the path that is likeliest under a character trigram model of the corpus times the
-channel's costs.  The restored tokens are scored by a logistic model on words and word beginnings.
+channel's costs, for tokens of any length; runs of one character count as three.  The restored tokens are scored by a
+logistic model on words and word beginnings.
 
 What is learned: the character model's counts cover all texts that ``learn`` is given.  The logistic model sees
 labelled documents only, at most about ``sample`` of them, chosen by a hash of their ids; its features are the
@@ -20,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,7 @@ LEAST_Z = 4.0
 _CLASSES = 64  # character classes of the model: 0 for what is no letter, 1-26 for a-z, the rest share 37
 _LAST = 0x323B0
 _CACHE = 400_000  # tokens whose weights a task remembers at a time
-_LONGEST = 40  # characters of a restored token that can make a word; longer ones are no disguise
+_COMMIT = 64  # characters after which decoding settles what all its paths have in common
 _CHUNK = 1 << 20
 
 # What characters imitate, and which separate letters.
@@ -48,7 +50,10 @@ SEPARATORS = " .-_*~'\"·,/\\"
 IMITATES, DROPS, REPEATS, STAYS, STAYS_LEET = np.log(0.3), np.log(0.3), np.log(0.5), np.log(0.02), np.log(1e-4)
 
 _EDGES = re.compile(r"^[^\w@$!|+(€£*]+|[^\w@$]+$")
-_DISGUISED = re.compile(r"[^\W\d_].*[\d@$!|+(€£* ._\-~'\"·,/\\]|[\d@$!|+(€£* ._\-~'\"·,/\\].*[^\W\d_]|([^\W\d_])\1\1")
+_LETTER = re.compile(r"[^\W\d_]")
+_SIGN = re.compile(r"[\d@$!|+(€£* ._\-~'\"·,/\\]")
+_LETTER_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+_LONG_RUN = re.compile(r"(.)\1{3,}")
 _TRIPLE = re.compile(r"(.)\1\1")
 _PLAIN_EDGES = ".,;:?\"'()[]-"
 _PAIR_OF_SINGLES = re.compile(r"(?:^|\s)\S[ \t]\S(?!\S)")
@@ -114,11 +119,22 @@ def character_model(counts: np.ndarray) -> np.ndarray:
     return np.log(triple).astype(np.float32)
 
 
+def _disguised(token: str) -> bool:
+    """Whether it has a letter and a digit or symbol, or a letter three times in a row; in time linear in its length."""
+    return bool(_LETTER.search(token) and _SIGN.search(token) or _LETTER_TRIPLE.search(token))
+
+
 def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest text behind a lower-case token (or letters with spaces between them)."""
-    # by the classes of the last two characters: (log probability, text)
+    """The likeliest text behind a lower-case token (or letters with spaces between them), of any length."""
+    token = _LONG_RUN.sub(r"\1\1\1", token)
+    settled: list[str] = []
+    # by the classes of the last two characters: (log probability, text behind what is settled)
     paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for i, char in enumerate(token):
+        if i and i % _COMMIT == 0:  # what all paths begin with is in the result whichever wins, so this changes nothing
+            common = commonprefix([text for _, text in paths.values()])
+            settled.append(common)
+            paths = {state: (score, text[len(common) :]) for state, (score, text) in paths.items()}
         options: list[tuple[str, float]] = []
         if char.isalpha():
             options.append((char, 0.0))
@@ -142,7 +158,7 @@ def restore(token: str, model: np.ndarray) -> str:
                     following[state] = (total, longer)
         paths = following
     ended = ((score + float(model[a, b, 0]), text) for (a, b), (score, text) in paths.items())
-    return max(ended, default=(0.0, token))[1]
+    return "".join(settled) + max(ended)[1]
 
 
 def words_of(raw: str, model: np.ndarray) -> list[str]:
@@ -154,7 +170,7 @@ def words_of(raw: str, model: np.ndarray) -> list[str]:
     if not token:
         return []
     plain = re.findall(r"[^\W\d_]+", token)
-    if len(token) <= _LONGEST and _DISGUISED.search(token):
+    if _disguised(token):
         return sorted({*plain, *re.findall(r"[^\W\d_]+", restore(token, model))})
     return plain
 

@@ -65,6 +65,34 @@ def test_disguises_are_restored():
     assert toxicity.words_of("...", model) == []
 
 
+def test_long_disguises_are_restored():
+    text = "you are a worthless loser and a piece of trash, an idiot, a stupid moron of scum " * 50
+    triples = np.zeros(toxicity._CLASSES**3)
+    kinds = [toxicity._class_of(c) for c in "  " + text]
+    for a, b, c in zip(kinds, kinds[1:], kinds[2:]):
+        triples[(a << 12) | (b << 6) | c] += 1
+    model = toxicity.character_model(triples)
+    spaced = "y o u a r e a w o r t h l e s s l o s e r"
+    assert spaced in toxicity.tokens_of(spaced)
+    for disguised, words in [
+        (spaced, {"worthless", "loser"}), ("you-are-a-w0rthless-p1ece-of-tr@sh-and-scum", {"worthless", "piece", "trash"}),
+        ("l" + "o" * 60 + "ser", {"loser"}), ("1d10t-" * 1000 + "l0ser", {"idiot", "loser"}),
+    ]:
+        assert words <= set(toxicity.words_of(disguised, model)), disguised[:50]
+
+
+def test_settled_text_does_not_change_what_is_restored(monkeypatch):
+    draw = np.random.default_rng(4)
+    model = toxicity.character_model(draw.integers(0, 50, toxicity._CLASSES**3).astype(float))
+    for n in (1, 63, 64, 65, 300):
+        token = "".join(draw.choice(list("abilos104$@|-. "), n))
+        monkeypatch.setattr(toxicity, "_COMMIT", 10**9)
+        whole = toxicity.restore(token, model)
+        for every in (1, 7, 64):
+            monkeypatch.setattr(toxicity, "_COMMIT", every)
+            assert toxicity.restore(token, model) == whole
+
+
 def test_triples_are_counted_within_texts(spark):
     rows = spark.createDataFrame([("ab",), (None,), ("",), ("b" * 10,)], "text string")
     three = toxicity.trigram_counts(rows).reshape((toxicity._CLASSES,) * 3)

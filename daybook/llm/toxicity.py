@@ -1,7 +1,7 @@
 """Toxicity scores on text restored by a noisy channel.
 
-Method: a token that looks disguised (digits or symbols among letters, a letter three times in a row, letters spaced out)
-becomes a lattice: each character stands for itself, for the letters it imitates, or, if it separates or repeats, for
+Method: a token that looks disguised (digits or symbols among letters, a letter three times in a row, letters spaced out,
+or only characters that imitate letters) becomes a lattice: each character stands for itself, for the letters it imitates, or, if it separates or repeats, for
 nothing.  Viterbi decoding finds the path that is likeliest under a character trigram model of the corpus times the
 channel's costs, for tokens of any length; runs of one character count as three.  The restored tokens are scored by a
 logistic model on words and word beginnings.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.staging import Stages
 
-SAMPLE = 12_000
+SAMPLE = 16_000
 FEATURES = 4000
 CANDIDATES = 100_000  # words and beginnings of most toxic documents, from which the features are chosen
 LEAST_Z = 4.0
@@ -46,6 +46,7 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou",
 }
+CODED = 3  # characters that imitate letters, in a token without letters that can be a word
 SEPARATORS = " .-_*~'\"·,/\\"
 IMITATES, DROPS, REPEATS, STAYS, STAYS_LEET = np.log(0.3), np.log(0.3), np.log(0.5), np.log(0.02), np.log(1e-4)
 
@@ -120,8 +121,13 @@ def character_model(counts: np.ndarray) -> np.ndarray:
 
 
 def _disguised(token: str) -> bool:
-    """Whether it has a letter and a digit or symbol, or a letter three times in a row; in time linear in its length."""
-    return bool(_LETTER.search(token) and _SIGN.search(token) or _LETTER_TRIPLE.search(token))
+    """Whether it has a letter and a digit or symbol, a letter three times in a row, or no letter but CODED imitations.
+
+    In time linear in the token's length.
+    """
+    if _LETTER.search(token):
+        return bool(_SIGN.search(token) or _LETTER_TRIPLE.search(token))
+    return sum(char in LEET for char in token) >= CODED
 
 
 def restore(token: str, model: np.ndarray) -> str:
@@ -180,6 +186,12 @@ def features_of(word: str) -> list[str]:
     return [f"={word}", *(word[:n] for n in range(3, min(7, len(word)) + 1))]
 
 
+def token_features(raw: str, model: np.ndarray) -> list[str]:
+    """Features of a token's words; of one without letters, which may be a number, the whole words only."""
+    words = words_of(raw, model)
+    return [f for w in words for f in features_of(w)] if _LETTER.search(raw) else [f"={w}" for w in words]
+
+
 def tokens_of(text: str) -> set[str]:
     """The different white-space tokens of a text, lower-cased, and its runs of spaced-out letters."""
     lower = text.lower()
@@ -199,9 +211,8 @@ class Scorer:
     def _weigh(self, token: str) -> float:
         if len(self.known) >= _CACHE:
             self.known.clear()
-        weight, total = self.weights.get, 0.0
-        for word in words_of(token, self.model):
-            total += sum([weight(f, 0.0) for f in features_of(word)])
+        weight = self.weights.get
+        total = sum([weight(f, 0.0) for f in token_features(token, self.model)], 0.0)
         self.known[token] = total
         return total
 
@@ -265,7 +276,7 @@ def learn(
                     if token not in known:
                         if len(known) >= _CACHE // 4:
                             known.clear()
-                        known[token] = [f for w in words_of(token, shared.value) for f in features_of(w)]
+                        known[token] = token_features(token, shared.value)
                     own.update(known[token])
                 found.append(sorted(own))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["toxic", "features"])

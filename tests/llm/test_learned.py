@@ -81,6 +81,20 @@ def test_long_disguises_are_restored():
         assert words <= set(toxicity.words_of(disguised, model)), disguised[:50]
 
 
+def test_words_without_letters_are_restored():
+    text = "what an ass, a pass over the grass, a boss " * 50
+    triples = np.zeros(toxicity._CLASSES**3)
+    kinds = [toxicity._class_of(c) for c in "  " + text]
+    for a, b, c in zip(kinds, kinds[1:], kinds[2:]):
+        triples[(a << 12) | (b << 6) | c] += 1
+    model = toxicity.character_model(triples)
+    for coded in ("455", "@$$", "4$$,"):
+        assert toxicity.token_features(coded, model) == ["=ass"], coded
+    assert toxicity.token_features("12", model) == []
+    assert {"=boss", "bos"} <= set(toxicity.token_features("b0$$", model))
+    assert toxicity.SAMPLE >= 16_000
+
+
 def test_settled_text_does_not_change_what_is_restored(monkeypatch):
     draw = np.random.default_rng(4)
     model = toxicity.character_model(draw.integers(0, 50, toxicity._CLASSES**3).astype(float))

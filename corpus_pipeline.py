@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import bpe, line_dedup, mixing, simhash, toxicity
-from daybook.llm.queries import TARGETS, quality_domains, tokenizer
+from daybook.llm.queries import KEPT, TARGETS, quality_domains, tokenizer
 from daybook.llm.staging import Stages
 
 RUN_CHARS = 5_000_000  # of the last stage: executors' heaps are full by then, so its workers get less memory
@@ -36,10 +36,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rate says, so that good and poor ones come to their target shares of all tokens.
 
-    The budget keeps the rate of what the classifier takes for good at about one or more.
+    The rate of what the classifier takes for good is one or more; the budget grows where that asks for more tokens.
     """
     labelled = quality_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    mixed, _ = mixing.mix(docs, labelled, TARGETS)
+    mixed, _ = mixing.mix(docs, labelled, TARGETS, kept=KEPT)
     return mixing.expand(docs, mixed)
 
 

@@ -6,6 +6,8 @@ posterior.  Projected-gradient least squares moves all rates from 1 until the to
 at ``lowest`` (0) or more: each step adds to every rate the posterior's product with the totals' gap (scaled by the
 domains' overlap), and cuts it at the bound.  A step is one distributed sum per domain; a rate follows from the steps'
 gaps, a few numbers each, so nothing but these sums reaches the driver and no rates are written between steps.
+Documents that the classifier takes for one of the domains ``kept`` have the bound 1 instead, and the budget is raised
+as far as these domains' tokens ask for, so that none of their documents is dropped at any share.
 
 The classifier sees at most about ``sample`` labelled documents, chosen by a hash of their ids; its features are byte
 trigram frequencies in ``BUCKETS`` buckets and a few shares that describe a text, so its size is fixed and it is
@@ -20,8 +22,9 @@ in, no rows out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -153,24 +156,28 @@ def memberships(docs: DataFrame, classifier: Classifier, *, id_col: str = "doc_i
     return picked.mapInArrow(each, f"doc_id {kind}, draw double, n_tokens long, posteriors array<double>")
 
 
-def _rate(posteriors: Column, gaps: list[np.ndarray], lowest: float) -> Column:
+def _bound(lowest: float | Column) -> Column:
+    return lowest if isinstance(lowest, Column) else F.lit(float(lowest))
+
+
+def _rate(posteriors: Column, gaps: list[np.ndarray], lowest: float | Column) -> Column:
     """A document's rate after the steps with these (scaled) gaps."""
     rate = F.lit(1.0)
     for gap in gaps:
         move = sum((posteriors[i] * F.lit(float(g)) for i, g in enumerate(gap)), F.lit(0.0))
-        rate = F.greatest(F.lit(float(lowest)), rate + move)
+        rate = F.greatest(_bound(lowest), rate + move)
     return rate
 
 
 @dataclass
 class Fit:
     gaps: list[np.ndarray]
-    lowest: float
+    lowest: float | Column
     targets: np.ndarray  # tokens per domain
     totals: np.ndarray  # expected tokens per domain at the fitted rates
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, *, lowest: float = 0.0, steps: int = STEPS) -> Fit:
+def fit_rates(members: DataFrame, targets: np.ndarray, *, lowest: float | Column = 0.0, steps: int = STEPS) -> Fit:
     """Rates whose expected domain totals match ``targets`` (tokens by domain); ``members`` is read once a step."""
     k = len(targets)
     p, t = F.col("posteriors"), F.col("n_tokens").cast("double")
@@ -184,7 +191,8 @@ def fit_rates(members: DataFrame, targets: np.ndarray, *, lowest: float = 0.0, s
     while True:
         # totals, and the overlap of domains among documents that the bound does not hold
         rated = members.withColumn("_rate", _rate(p, gaps, lowest))
-        free = F.when(F.col("_rate") > lowest, t).otherwise(F.lit(0.0))
+        # before the first step all may move, also those whose bound is where rates start
+        free = F.when(F.lit(not gaps) | (F.col("_rate") > _bound(lowest)), t).otherwise(F.lit(0.0))
         values = [t * p[i] * F.col("_rate") for i in range(k)] + [free * p[i] * p[j] for i in range(k) for j in range(k)]
         sums = over(rated, [*values, t])
         totals, overlap, whole = sums[:k], sums[k:-1].reshape(k, k), max(1.0, sums[-1])
@@ -201,22 +209,34 @@ def fit_rates(members: DataFrame, targets: np.ndarray, *, lowest: float = 0.0, s
 def mix(
     docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], *, id_col: str = "doc_id", text_col: str = "text",
     domain_col: str = "domain", budget: float = 1.0, lowest: float = 0.0, sample: int = SAMPLE,
+    kept: Collection[str] = (),
 ) -> tuple[DataFrame, Fit]:
     """``doc_id, draw, n_tokens, posteriors, rate, copies`` per row, and the fit.
 
     ``targets`` are shares of the mixture by domain (scaled to sum 1); ``budget`` is the mixture's size in times of the
-    documents' tokens.  ``copies`` is the rate rounded up or down at random, so that totals stay right on average.
+    documents' tokens, or more if the domains ``kept`` need it: documents that the classifier takes for one of these have
+    a rate of 1 or more.  ``copies`` is the rate rounded up or down at random, so that totals stay right on average.
     """
     stages = Stages(docs.sparkSession, "mixing")
     domains = sorted(targets)
     if not domains or min(targets.values()) < 0 or sum(targets.values()) <= 0:
         raise ValueError("targets are shares of at least one domain, none below 0")
+    if any(targets.get(d, 0) <= 0 for d in kept):
+        raise ValueError("domains that are kept have targets above 0")
     classifier = learn(docs, labelled, domains, id_col=id_col, text_col=text_col, domain_col=domain_col, sample=sample)
     members = stages.write(memberships(docs, classifier, id_col=id_col, text_col=text_col))
-    tokens = members.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    p, n = F.col("posteriors"), F.col("n_tokens")
+    sums = members.agg(F.sum(n), *[F.sum(n * p[i]) for i in range(len(domains))]).first()
+    tokens, *whole = [x or 0 for x in sums]
     shares = np.array([targets[d] for d in domains], np.float64)
-    fit = fit_rates(members, shares / shares.sum() * budget * tokens, lowest=lowest)
-    rated = members.withColumn("rate", _rate(F.col("posteriors"), fit.gaps, lowest))
+    shares /= shares.sum()
+    size = max([budget * tokens, *(whole[i] / shares[i] for i, d in enumerate(domains) if d in kept)])
+    bound: float | Column = lowest
+    if kept:
+        taken = [p[i] == F.array_max(p) for i, d in enumerate(domains) if d in kept]
+        bound = F.when(reduce(Column.__or__, taken), F.lit(max(1.0, lowest))).otherwise(F.lit(float(lowest)))
+    fit = fit_rates(members, shares * size, lowest=bound)
+    rated = members.withColumn("rate", _rate(p, fit.gaps, bound))
     return rated.withColumn("copies", F.floor(F.col("rate") + F.col("draw")).cast("long")), fit
 
 

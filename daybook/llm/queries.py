@@ -23,6 +23,7 @@ from daybook.llm import (
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
 # the mixture by quality as the labels table marks it
 TARGETS = {"good": 0.9, "poor": 0.1}
+KEPT = ("good",)  # domains of which no document is dropped
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -98,7 +99,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = quality_domains(_read(spark, sf_dir, "labels"))
-    mixed, _ = mixing.mix(_read(spark, sf_dir, "documents"), labelled, TARGETS)
+    mixed, _ = mixing.mix(_read(spark, sf_dir, "documents"), labelled, TARGETS, kept=KEPT)
     named = [F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(sorted(TARGETS))]
     return mixed.select("doc_id", "n_tokens", *named, "rate", "copies")
 

@@ -154,6 +154,24 @@ def test_rates_meet_targets_also_at_the_bound(spark):
             assert np.allclose(fit.totals, targets, rtol=1e-3)
 
 
+@pytest.mark.parametrize("good", [0.5, 0.86, 0.95, 0.99])
+def test_good_documents_are_kept_at_any_share(spark, monkeypatch, good):
+    draw = np.random.default_rng(6)
+    is_good = draw.random(3000) < good
+    p = np.where(is_good, draw.beta(12, 1, 3000), draw.beta(1, 12, 3000))
+    rows = [(i, float(draw.random()), int(t), [float(x), float(1 - x)]) for i, (t, x) in enumerate(zip(draw.integers(50, 500, 3000), p))]
+    members = spark.createDataFrame(rows, "doc_id long, draw double, n_tokens long, posteriors array<double>")
+    monkeypatch.setattr(mixing, "learn", lambda *a, **b: None)
+    monkeypatch.setattr(mixing, "memberships", lambda *a, **b: members)
+    mixed, fit = mixing.mix(members, members, {"good": 0.9, "poor": 0.1}, kept=("good",))
+    found = mixed.where("posteriors[0] >= 0.5").agg(F.min("rate").alias("rate"), F.min("copies").alias("copies")).first()
+    assert found["rate"] >= 1 and found["copies"] >= 1
+    assert mixed.agg(F.min("rate")).first()[0] >= 0
+    assert sum(fit.targets) >= sum(r[2] for r in rows) * (1 - 1e-9)
+    with pytest.raises(ValueError):
+        mixing.mix(members, members, {"good": 0.0, "poor": 1.0}, kept=("good",))
+
+
 def test_mixing_of_documents(spark, docs, odd_docs, no_docs):
     labelled = quality_domains(spark.read.parquet(f"{DATA}/labels.parquet"))
     targets = {"good": 0.8, "poor": 0.2}

@@ -99,9 +99,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = quality_domains(_read(spark, sf_dir, "labels"))
-    mixed, _ = mixing.mix(_read(spark, sf_dir, "documents"), labelled, TARGETS, kept=KEPT)
+    mixed, fit = mixing.mix(_read(spark, sf_dir, "documents"), labelled, TARGETS, kept=KEPT)
     named = [F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(sorted(TARGETS))]
-    return mixed.select("doc_id", "n_tokens", *named, "rate", "copies")
+    # the same in every row: tokens wanted of each domain, and expected at the fitted rates
+    wanted = [F.lit(float(x)).alias(f"target_{d}") for d, x in zip(sorted(TARGETS), fit.targets)]
+    reached = [F.lit(float(x)).alias(f"total_{d}") for d, x in zip(sorted(TARGETS), fit.totals)]
+    return mixed.select("doc_id", "n_tokens", *named, "rate", "copies", *wanted, *reached)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.llm import langid, lm_scoring, mixing, toxicity
-from daybook.llm.queries import quality_domains, tokenizer
+from daybook.llm.queries import op9_mixing, quality_domains, tokenizer
 
 DATA = "/root/testdata/sf0.01"
 
@@ -190,6 +190,15 @@ def test_mixing_of_documents(spark, docs, odd_docs, no_docs):
         mixing.mix(docs, labelled, {"good": -1.0})
 
 
+def test_mixing_query_returns_targets_and_totals(spark, small):
+    rows = op9_mixing(spark, small).collect()
+    for d in ("good", "poor"):
+        assert len({(r[f"target_{d}"], r[f"total_{d}"]) for r in rows}) == 1
+        expected = sum(r["rate"] * r["n_tokens"] * r[f"p_{d}"] for r in rows)
+        assert math.isclose(rows[0][f"total_{d}"], expected, rel_tol=1e-6)
+    assert sum(rows[0][f"target_{d}"] for d in ("good", "poor")) > 0
+
+
 def test_language_model_and_base(docs):
     scored = {r["doc_id"]: r for r in lm_scoring.scores(docs.limit(300), fold(7) != 2, *tokenizer()).collect()}
     rows = docs.limit(300).withColumn("trains", fold(7) != 2).collect()

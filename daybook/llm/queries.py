@@ -19,6 +19,7 @@ from daybook.llm import (
     topk,
     toxicity,
 )
+from daybook.session import new_path
 
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
 # the mixture by quality as the labels table marks it
@@ -108,7 +109,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.place(_read(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+    docs = _read(spark, sf_dir, "documents")
+    return sharding.write(docs, "doc_id", SHARDS, new_path(spark, "shards")).select("doc_id", "slot", "shard")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,7 +7,8 @@ parts to within one slot, and when a shard joins or leaves few other slots chang
 takes so many turns a round.
 
 The table's size is a parameter and does not depend on the rows, so the table is broadcast; placing a row is one
-lookup, without a shuffle.
+lookup, without a shuffle.  ``write`` places whole rows and writes them, a folder of Parquet files for each shard: one
+shuffle by shard, whose large parts are split over several tasks and files, each of which can be split by row groups.
 
 Defined cases: a null key is placed like the empty text; equal keys share a shard; rows are neither added nor lost;
 other columns pass through.  No rows in, no rows out.  No shards, a repeated name, a size that is not prime or below
@@ -77,3 +78,15 @@ def place(
     marked = rows.withColumn(slot_col, slot_of(F.col(f"`{key}`"), size))
     # size rows, whatever the number of documents
     return marked.join(F.broadcast(slots), F.col(slot_col) == F.col("_slot")).drop("_slot").withColumnRenamed("_shard", shard_col)
+
+
+def write(
+    rows: DataFrame, key: str, shards: Sequence[str], path: str, *, size: int = SIZE, weights: Mapping[str, int] | None = None,
+    slot_col: str = "slot", shard_col: str = "shard",
+) -> DataFrame:
+    """The placed rows as read back from ``path``, where they are written whole, a folder ``shard=...`` for each shard."""
+    if "" in shards:
+        raise ValueError("a shard that has a folder needs a name")
+    placed = place(rows, key, shards, size=size, weights=weights, slot_col=slot_col, shard_col=shard_col)
+    placed.hint("rebalance", F.col(shard_col)).write.partitionBy(shard_col).parquet(path)
+    return rows.sparkSession.read.schema(placed.schema).parquet(path)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.llm import order_minhash, sharding, topk
+from daybook.llm import order_minhash, queries, sharding, topk
 
 
 def brute_top(rows, k=5, every=50):
@@ -106,6 +106,29 @@ def test_placement(spark, odd_docs, no_docs):
         sharding.place(odd_docs.withColumn("Slot", F.lit(1)), "doc_id", SHARDS)
 
 
+def test_whole_rows_are_written_by_shard(spark, odd_docs, no_docs, tmp_path):
+    back = sharding.write(odd_docs, "doc_id", SHARDS, f"{tmp_path}/odd", size=1009)
+    assert back.columns == [*odd_docs.columns, "slot", "shard"]
+    as_text = lambda rows: sorted(map(str, map(tuple, rows)))
+    assert as_text(back.collect()) == as_text(sharding.place(odd_docs, "doc_id", SHARDS, size=1009).collect())
+    for shard in {r["shard"] for r in back.collect()}:
+        own = spark.read.parquet(f"{tmp_path}/odd/shard={shard}")
+        assert as_text(own.collect()) == as_text(back.where(F.col("shard") == shard).drop("shard").collect())
+    assert sharding.write(no_docs, "doc_id", SHARDS, f"{tmp_path}/none").count() == 0
+    with pytest.raises(ValueError):
+        sharding.write(odd_docs, "doc_id", ["a", ""], f"{tmp_path}/bad")
+
+
+def test_sharding_query_writes_documents(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "new_path", lambda *a: f"{tmp_path}/shards")
+    out = queries.op10_sharding(spark, small)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert out.columns == ["doc_id", "slot", "shard"]
+    assert sorted(out.collect()) == sorted(sharding.place(docs.select("doc_id"), "doc_id", queries.SHARDS).collect())
+    written = spark.read.parquet(f"{tmp_path}/shards").select(*docs.columns)
+    assert sorted(map(str, written.collect())) == sorted(map(str, docs.collect()))
+
+
 def plain_signature(text):
     """By the definition, with the operator's element and tuple hashes."""
     items = order_minhash.elements(text)

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
     bpe,
+    centroids,
+    fill_middle,
     langid,
     line_dedup,
     lm_scoring,
     mixing,
     order_minhash,
+    secret_scan,
     sharding,
     simhash,
     topk,
@@ -113,9 +117,40 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.write(docs, "doc_id", SHARDS, new_path(spark, "shards")).select("doc_id", "slot", "shard")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_read(spark, sf_dir, "documents"))
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    numbers = [number(kind).alias(f"n_{name}") for kind, name in enumerate(secret_scan.BASE)]
+    base, spans = (secret_scan.as_text(F.col(c)) for c in ("base", "spans"))
+    return found.select("doc_id", *numbers, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(_read(spark, sf_dir, "embeddings"))
+    digests = [sha256(",".join(map(str, c)).encode()).hexdigest() for c in found.centroids]
+    return found.rows.select(
+        F.col("id").alias("vec_id"), "cluster", "distance",
+        found.of_cluster(found.inertia, "bigint").alias("cluster_inertia"),
+        F.lit(sum(found.inertia)).cast("long").alias("inertia"),
+        found.of_cluster(digests, "string").alias("centroid_sha256"),
+    )
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(_read(spark, sf_dir, "documents"))
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_language_id, op2_line_dedup, op3_simhash, op4_order_minhash, op5_lm_scoring, op6_toxicity, op7_top_k,
-        op8_bpe, op9_mixing, op10_sharding,
+        op8_bpe, op9_mixing, op10_sharding, op11_secret_scan, op12_centroids, op13_fill_middle,
     ]
     return {f.__name__: f for f in named}

@@ -67,8 +67,8 @@ def nearest(vector: Column, centroids: list[list[int]]) -> Column:
     listed = ", ".join(f"array({', '.join(f'{x}L' for x in c)})" for c in centroids)
 
     def distance(centroid: Column) -> Column:
-        squares = F.zip_with(vector, centroid, lambda a, b: (a - b) * (a - b))
-        return F.aggregate(squares, F.lit(0).cast("long"), lambda total, square: total + square)
+        gaps = F.zip_with(vector, centroid, lambda a, b: a - b)
+        return F.aggregate(gaps, F.lit(0).cast("long"), lambda total, gap: total + gap * gap)
 
     return F.array_min(
         F.transform(F.expr(f"array({listed})"), lambda c, n: F.struct(distance(c).alias("distance"), n.alias("cluster")))

@@ -10,7 +10,8 @@ Components become integers ``floor(scale * x)``, so scores are exact: sums of pr
 the largest possible sum is below 2**53, else in integers of any length; bounds are widened by their rounding error.
 
 A shard holds at most about ``shard_rows`` vectors and a block ``block_rows`` queries: a task's memory follows these and
-the number of dimensions.  Blocks meet shards by an equi-join on the block number.
+the number of dimensions.  Every pair of a block and a shard is a piece of work of its own: both halves are dealt by the
+pair's number, so that all tasks have equally many pairs, and meet there in sorted order, one pair in memory at a time.
 
 Defined cases: vectors that are null or hold a null, NaN or infinite component take no part, neither as queries nor as
 candidates; vectors of different lengths are compared over no pair (each length is a search of its own); ties go to
@@ -34,6 +35,8 @@ from daybook.llm.staging import Stages
 SHARD_ROWS = 8192
 BLOCK_ROWS = 2048
 LEAF = 64
+MOST_TASKS = 10_000  # pairs beyond this number share tasks
+_PACK = 1024  # shards whose balls are looked at together, to find a query's first shard
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
@@ -148,73 +151,110 @@ def top_k(
         order = tree.pop("order")
         reach = np.sqrt((found**2).sum(axis=1)).max()
         data = _pack(**tree, vectors=found[order], ids=group["id"].to_numpy()[order], reach=reach)
-        return pd.DataFrame({"shard": [key[0]], "dims": [key[1]], "tree": [data]})
+        ball = _pack(centre=tree["centres"][0], radius=tree["radii"][0])
+        return pd.DataFrame({"part": [key[0]], "dims": [key[1]], "payload": [data], "ball": [ball]})
+
+    def pack(key, group: pd.DataFrame) -> pd.DataFrame:
+        balls = [_unpack(b) for b in group["ball"]]
+        data = _pack(
+            shards=group["part"].to_numpy(), centres=np.stack([b["centre"] for b in balls]), radii=np.stack([b["radius"] for b in balls])
+        )
+        return pd.DataFrame({"part": [key[0]], "dims": [key[1]], "payload": [data]})
 
     def gather(key, group: pd.DataFrame) -> pd.DataFrame:
         found = _whole(group["v"].tolist(), scale).reshape(len(group), key[1])
-        return pd.DataFrame({"block": [key[0]], "dims": [key[1]], "asked": [_pack(ids=group["id"].to_numpy(), vectors=found)]})
+        return pd.DataFrame({"block": [key[0]], "dims": [key[1]], "payload": [_pack(ids=group["id"].to_numpy(), vectors=found)]})
 
     part = F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int")
     trees = stages.write(
-        vectors.withColumn("shard", part).groupBy("shard", "dims").applyInPandas(plant, "shard int, dims int, tree binary")
+        vectors.withColumn("part", part).groupBy("part", "dims").applyInPandas(plant, "part int, dims int, payload binary, ball binary")
     )
-    block = F.pmod(F.xxhash64(F.lit(1), "id", "v"), F.lit(blocks)).cast("int")
-    queries = stages.write(
-        vectors.where("asks").withColumn("block", block).groupBy("block", "dims")
-        .applyInPandas(gather, "block int, dims int, asked binary")
+    packs = stages.write(
+        trees.select(F.floor(F.col("part") / _PACK).cast("int").alias("pack"), "part", "dims", "ball")
+        .groupBy("pack", "dims").applyInPandas(pack, "part int, dims int, payload binary")
     )
-    spread = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    met = spread.join(queries, ["block", "dims"])
+    block = F.pmod(F.xxhash64(F.lit(1), "id", "v"), F.lit(blocks)).cast("int")
+    blocked = vectors.where("asks").withColumn("block", block)
+    queries = stages.write(blocked.groupBy("block", "dims").applyInPandas(gather, "block int, dims int, payload binary"))
 
-    # the shard where a query's bound is highest
-    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for shard, dims, tree, asked_ in zip(frame["shard"], frame["dims"], frame["tree"], frame["asked"]):
-                tree, own = _unpack(tree), _unpack(asked_)
-                bound = own["vectors"] @ tree["centres"][0] + np.sqrt((own["vectors"] ** 2).sum(axis=1)) * tree["radii"][0]
-                yield pd.DataFrame({"query_id": own["ids"], "dims": dims, "shard": shard, "bound": bound})
-
-    homes = stages.write(
-        met.mapInPandas(reach, "query_id long, dims int, shard int, bound double")
-        .groupBy("query_id", "dims").agg(F.max_by("shard", F.struct("bound", "shard")).alias("home"))
+    def all_pairs(parts: DataFrame, lists: DataFrame) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+        return parts.select("part", "dims", every).join(lists, ["block", "dims"])
+
+    nothing = F.expr("array()").cast(_WANTED).alias("wanted")
+    bounds = _meet(
+        all_pairs(packs, queries.select("block", "dims", nothing)), packs, queries, -(-shards // _PACK), blocks, _bounds,
+        "query_id long, dims int, shard int, bound double",
     )
+    # the shard where a query's bound is highest
+    homes = stages.write(bounds.groupBy("query_id", "dims").agg(F.max_by("shard", F.struct("bound", "shard")).alias("home")))
+    ids = blocked.select(F.col("id").alias("query_id"), "dims", "block").distinct()
 
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for shard, tree, asked_, home in zip(frame["shard"], frame["tree"], frame["asked"], frame["homes"]):
-                home = {h["query_id"] for h in home}
-                yield _searched(_unpack(tree), _unpack(asked_), k, {}, lambda q: q in home)
+    def searched(pairs: DataFrame, at_home: bool) -> DataFrame:
+        def handle(shard: int, dims: int, tree: dict, asked: dict, wanted: list) -> pd.DataFrame:
+            floors = {w["query_id"]: w["floor"] for w in wanted if (w["home"] == shard) == at_home}
+            return _searched(tree, asked, k, floors)
 
-    def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for shard, tree, asked_, floors in zip(frame["shard"], frame["tree"], frame["asked"], frame["floors"]):
-                floors = {f["query_id"]: (f["home"], f["floor"]) for f in floors}
-                yield _searched(_unpack(tree), _unpack(asked_), k, {q: f for q, (_, f) in floors.items()}, lambda q: floors[q][0] != shard)
+        return _meet(pairs, trees, queries, shards, blocks, handle, "query_id long, vec_id long, score long")
 
-    schema = "query_id long, vec_id long, score long"
-    blocked = vectors.where("asks").select(F.col("id").alias("query_id"), "dims", block.alias("block")).distinct()
     # at most block_rows queries in a list
-    at_home = homes.join(blocked, ["query_id", "dims"]).groupBy("block", "dims", F.col("home").alias("shard")).agg(
-        F.collect_list(F.struct("query_id")).alias("homes")
+    lowest = F.lit(float("-inf")).alias("floor")
+    first = homes.join(ids, ["query_id", "dims"]).groupBy("block", "dims", F.col("home").alias("part")).agg(
+        F.collect_list(F.struct("query_id", "home", lowest)).alias("wanted")
     )
-    early = stages.write(met.join(at_home, ["block", "dims", "shard"]).mapInPandas(first, schema))
+    early = stages.write(searched(first, True))
     kth = early.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n"))
-    known = homes.join(blocked, ["query_id", "dims"]).join(kth, "query_id", "left").select(
-        "block", "dims", "query_id", "home", F.when(F.col("n") >= k, F.col("floor").cast("double")).otherwise(F.lit(float("-inf"))).alias("floor")
+    floor = F.when(F.col("n") >= k, F.col("floor").cast("double")).otherwise(F.lit(float("-inf"))).alias("floor")
+    known = homes.join(ids, ["query_id", "dims"]).join(kth, "query_id", "left").groupBy("block", "dims").agg(
+        F.collect_list(F.struct("query_id", "home", floor)).alias("wanted")
     )
-    floors = known.groupBy("block", "dims").agg(F.collect_list(F.struct("query_id", "home", "floor")).alias("floors"))
-    late = met.join(floors, ["block", "dims"]).mapInPandas(rest, schema)
+    late = searched(all_pairs(trees, known), False)
     ranked = early.unionByName(late).withColumn(
         "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     )
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _searched(tree, asked, k, floors, wanted) -> pd.DataFrame:
+_WANTED = "array<struct<query_id:bigint,home:int,floor:double>>"
+
+
+def _meet(pairs: DataFrame, parts: DataFrame, queries: DataFrame, n_parts: int, blocks: int, handle, schema: str) -> DataFrame:
+    """``handle(part, dims, part's arrays, block's arrays, wanted)`` for every pair of ``pairs``."""
+    n = max(1, min(n_parts * blocks, MOST_TASKS))
+    number = (F.col("block").cast("long") * n_parts + F.col("part")).alias("pair")
+    asked = pairs.join(queries, ["block", "dims"]).select(number, "part", "dims", F.lit(0).alias("kind"), "payload", "wanted")
+    held = pairs.select("part", "dims", "block").join(parts, ["part", "dims"]).select(
+        number, "part", "dims", F.lit(1).alias("kind"), "payload", F.lit(None).cast(_WANTED).alias("wanted")
+    )
+    dealt = asked.unionByName(held).repartitionById(n, F.pmod("pair", F.lit(n)).cast("int")).sortWithinPartitions("pair", "dims", "kind")
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, wanted = None, None
+        for frame in batches:
+            for part, dims, kind, payload, listed in zip(*[frame[c] for c in ("part", "dims", "kind", "payload", "wanted")]):
+                if kind == 0:
+                    block, wanted = _unpack(payload), listed
+                else:
+                    yield handle(part, dims, _unpack(payload), block, wanted)
+
+    return dealt.mapInPandas(each, schema)
+
+
+def _bounds(_, dims: int, balls: dict, asked: dict, wanted) -> pd.DataFrame:
+    """The highest bound of each query of a block among the shards of a pack."""
+    vectors = asked["vectors"]
+    bound = vectors @ balls["centres"].T + np.sqrt((vectors**2).sum(axis=1))[:, None] * balls["radii"]
+    best = bound.argmax(axis=1)
+    return pd.DataFrame(
+        {"query_id": asked["ids"], "dims": dims, "shard": balls["shards"][best], "bound": bound[np.arange(len(best)), best]}
+    )
+
+
+def _searched(tree: dict, asked: dict, k: int, floors: dict[int, float]) -> pd.DataFrame:
     found = [
         (int(q), i, score)
         for q, vector in zip(asked["ids"], asked["vectors"])
-        if wanted(int(q))
-        for score, i in search(tree, vector, int(q), k, floors.get(int(q), -np.inf))
+        if int(q) in floors
+        for score, i in search(tree, vector, int(q), k, floors[int(q)])
     ]
     return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "int64"})

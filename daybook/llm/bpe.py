@@ -9,12 +9,13 @@ Ids are those of the rank file: a piece that is itself a token is that token; ot
 piece of more than ``LONG_PIECE`` bytes would make the recursion keep rows in proportion to its square, so such
 pieces are contracted by the same rule with a heap of ranks.
 
-A worker remembers what the query gave for the pieces that it met first, the common ones for the most part, for the
-runs and tasks that follow; all others are queried.
+A worker keeps its database with the merge table, and what the query gave for the pieces that it met first, the
+frequent ones for the most part, for the runs and tasks that follow; all other pieces are queried.
 
 Memory: texts are taken in runs of at most ``run_chars`` characters (one text at least), with a piece table of their
-own; how many pieces a query takes and how many are remembered are fixed parts of it.  A task's memory follows
-``run_chars`` and its longest text, not the partition; smaller runs query more pieces anew.
+own; how many pieces are remembered is a fixed part of it.  A query takes pieces, by length, until its recursion may
+keep ``_STEP_ROWS`` rows.  A task's memory follows ``run_chars`` and its longest text, not the partition; smaller runs
+query more pieces anew.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes.  Special tokens' strings are ordinary text.
 Repeated rows each get a row.  Extra columns are ignored.  No rows in, no rows out.
@@ -25,16 +26,19 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.staging import tidy
+
 LONG_PIECE = 256
 RUN_CHARS = 20_000_000
-QUERIED, REMEMBERED = 500, 100  # pieces at a time, and kept: one for so many characters of a run
+REMEMBERED = 100  # one piece for so many characters of a run
+_STEP_ROWS = 2_000_000  # the sum of squared lengths of a query's pieces
 
 # One step: rows that still may merge, the best pair of each piece, and the rows with that pair contracted.  A row
 # knows its right neighbour (position and id), so a step needs no sort.
@@ -89,7 +93,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], run_chars: int = RUN_CHARS):
         import duckdb
 
-        self.queried, self.remembered = max(1, run_chars // QUERIED), run_chars // REMEMBERED
+        self.remembered = run_chars // REMEMBERED
         self.ranks = ranks
         self.known = _Remembered.of(ranks)
         left, right, merged = [], [], []
@@ -102,7 +106,7 @@ class Encoder:
                     merged.append(rank)
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "100MB"})
         pairs = np.array(left, np.int64) << 32 | np.array(right, np.int64)
         table = pa.table({"pair": pairs, "merged": np.array(merged, np.int32)})
         words = pa.table({"id": pa.array(list(self.tokens), pa.int32()), "bytes": pa.array(list(self.tokens.values()), pa.binary())})
@@ -114,6 +118,15 @@ class Encoder:
     def close(self) -> None:
         self.db.close()
 
+    @classmethod
+    def of(cls, ranks: dict[bytes, int], run_chars: int) -> Encoder:
+        """This process's encoder for the vocabulary; one is kept at a time."""
+        kept = cls.__dict__.get("kept")
+        if kept is None or kept.ranks != ranks:
+            kept = cls.kept = cls(ranks, run_chars)
+        kept.remembered = run_chars // REMEMBERED
+        return kept
+
     def encode(self, pieces: list[bytes]) -> tuple[list[np.ndarray], list[bytes]]:
         """Each piece's ids, and the bytes that these decode to."""
         ids: list = [None] * len(pieces)
@@ -131,8 +144,14 @@ class Encoder:
                 decoded[i] = b"".join(self.tokens[t] for t in ids[i].tolist())
             else:
                 todo.append(i)
-        for at in range(0, len(todo), self.queried):
-            some = todo[at : at + self.queried]
+        remembered = todo[: max(0, self.remembered - len(known))]
+        todo.sort(key=lambda i: len(pieces[i]))
+        squares = np.cumsum([len(pieces[i]) ** 2 for i in todo], dtype=np.int64)
+        at = 0
+        while at < len(todo):
+            before = squares[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(squares, before + _STEP_ROWS, "right")))
+            some, at = todo[at:stop], stop
             found = self._query([pieces[i] for i in some])
             flat = found["ids"].combine_chunks()
             values = flat.values.to_numpy().astype(np.uint32)
@@ -140,10 +159,10 @@ class Encoder:
             parts = found["parts"].combine_chunks()
             texts = parts.values.to_pylist()
             for n, i in enumerate(some):
-                ids[i] = values[ends[n] : ends[n + 1]]
+                ids[i] = values[ends[n] : ends[n + 1]].copy()
                 decoded[i] = b"".join(texts[ends[n] : ends[n + 1]])
-            for i in some[: max(0, self.remembered - len(known))]:
-                known[pieces[i]] = ids[i], decoded[i]
+        for i in remembered:
+            known[pieces[i]] = ids[i], decoded[i]
         return ids, decoded
 
     def _query(self, pieces: list[bytes]) -> pa.Table:
@@ -268,17 +287,18 @@ def _ranges(numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def encode_run(texts: list[str], splitter: Splitter, encoder: Encoder) -> Iterator[tuple[np.ndarray, bytes]]:
     """Ids and decoded bytes of each text."""
-    rows = [splitter.chunks_of(t) for t in texts]
+    rows = [np.array(splitter.chunks_of(t), np.int32) for t in texts]
     ids, decoded = encoder.encode([p.encode() for p in splitter.pieces])
     flat, ends = _gather(ids)
-    pieces, piece_ends = _gather([np.array(p, np.int64) for p in splitter.of_chunk])
-    pieces = pieces.astype(np.int64)
+    counts = np.fromiter(map(len, splitter.of_chunk), np.int64, len(splitter.of_chunk))
+    piece_ends = np.concatenate([[0], np.cumsum(counts)])
+    pieces = np.fromiter(chain.from_iterable(splitter.of_chunk), np.int64, piece_ends[-1])
     del ids
     for row in rows:
-        if not row:
+        if not len(row):
             yield np.zeros(0, np.uint32), b""
             continue
-        own = pieces[_ranges(np.array(row), piece_ends)]
+        own = pieces[_ranges(row, piece_ends)]
         yield flat[_ranges(own, ends)], b"".join([decoded[p] for p in own.tolist()])
 
 
@@ -300,15 +320,15 @@ def tokenize(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(out)
-        encoder = Encoder(vocabulary.value, run_chars)
+        encoder = Encoder.of(vocabulary.value, run_chars)
         for keys, texts in _runs(batches, run_chars):
-            rows = [(k, *emit(*x)) for k, x in zip(keys, encode_run(texts, Splitter(pattern), encoder))]
-            for at in range(0, len(rows), 2000):
-                columns = list(zip(*islice(rows, at, at + 2000)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
-        encoder.close()
+            found = encode_run(texts, Splitter(pattern), encoder)
+            rows = ((k, *emit(*x)) for k, x in zip(keys, found))
+            while some := list(islice(rows, 500)):
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*some), arrow)]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return picked.mapInArrow(each, out)
+    return picked.mapInArrow(tidy(each), out)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, **settings) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.session import new_path
@@ -30,3 +33,28 @@ class Stages:
     def drop(self, df: DataFrame) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(df._stage_path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tidy(each: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function for ``mapInArrow`` after whose last batch the worker hands its free memory back to the machine.
+
+    Spark uses a worker again for other tasks: what one stage needed for a while would count against the next.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from each(batches)
+        _release()
+
+    return run
+
+
+def _release() -> None:
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library, which has no such call
+        pass

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.staging import Stages
+from daybook.llm.staging import Stages, tidy
 
 SAMPLE = 16_000
 FEATURES = 4000
@@ -38,7 +38,7 @@ LEAST_Z = 4.0
 _CLASSES = 64  # character classes of the model: 0 for what is no letter, 1-26 for a-z, the rest share 37
 _LAST = 0x323B0
 _CACHE = 400_000  # tokens whose weights a task remembers at a time
-_COMMIT = 64  # characters after which decoding settles what all its paths have in common
+_COMMIT = 64  # characters after which decoding settles what all its paths share
 _CHUNK = 1 << 20
 
 # What characters imitate, and which separate letters.
@@ -138,9 +138,9 @@ def restore(token: str, model: np.ndarray) -> str:
     paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for i, char in enumerate(token):
         if i and i % _COMMIT == 0:  # what all paths begin with is in the result whichever wins, so this changes nothing
-            common = commonprefix([text for _, text in paths.values()])
-            settled.append(common)
-            paths = {state: (score, text[len(common) :]) for state, (score, text) in paths.items()}
+            prefix = commonprefix([text for _, text in paths.values()])
+            settled.append(prefix)
+            paths = {state: (score, text[len(prefix) :]) for state, (score, text) in paths.items()}
         options: list[tuple[str, float]] = []
         if char.isalpha():
             options.append((char, 0.0))
@@ -283,7 +283,7 @@ def learn(
 
     # the sample's ids are bounded by ``sample``, so they are broadcast
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id").select("toxic", "text")
-    examples = stages.write(texts.mapInArrow(extract, "toxic int, features array<string>"))
+    examples = stages.write(texts.mapInArrow(tidy(extract), "toxic int, features array<string>"))
     seen = examples.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     yes, no = seen["toxic"], seen["n"] - seen["toxic"]
     if not yes or not no:
@@ -303,7 +303,7 @@ def learn(
             found = [[place[f] for f in x.as_py() if f in place] for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["toxic", "found"])
 
-    rows = examples.mapInArrow(pick, "toxic int, found array<int>").toPandas()
+    rows = examples.mapInArrow(tidy(pick), "toxic int, found array<int>").toPandas()
     stages.drop(examples)
     weights, bias = _fit(rows, len(names), prior)
     return Scorer(model, dict(zip(names, weights.tolist())), bias)
@@ -323,7 +323,7 @@ def score(docs: DataFrame, scorer: Scorer, *, id_col: str = "doc_id", text_col:
                 [batch.column(0), pa.array(found), pa.array((found >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"]
             )
 
-    return picked.mapInArrow(each, f"doc_id {kind}, score double, predicted int")
+    return picked.mapInArrow(tidy(each), f"doc_id {kind}, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, scorer: Scorer, *, text_col: str = "text") -> DataFrame:
@@ -336,4 +336,4 @@ def keep_clean(docs: DataFrame, scorer: Scorer, *, text_col: str = "text") -> Da
         for batch in batches:
             yield batch.filter(pa.array([own.score(t.as_py()) < 0.5 for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(each, docs.schema)
+    return docs.mapInArrow(tidy(each), docs.schema)

@@ -11,11 +11,12 @@ all its lines but those of the largest document id that holds it.
 Defined cases: a null or empty text is one empty line and is returned empty.  Rows with one document id are one
 document when documents are counted; each row keeps its own bitmap, found by id and text, so repeated rows come
 out alike.  A null id counts as one more document, smaller than any other.  Other columns pass through untouched
-(``apply_bitmaps``) or are ignored.  No rows in, no rows out.
+(``apply_bitmaps``), but for ``n_lines`` and ``n_dropped``, whose places the counts take where these are asked for; or
+they are ignored.  No rows in, no rows out.
 
 Skew: a key may hold any share of the lines.  Lines of a key are streamed in slices of ``DOCS_PER_SLICE``
-document ids, so that no task needs all of them; slices are pre-aggregated before they meet, and the join that
-carries decisions back to the lines is a plain equi-join, which adaptive execution splits.
+document ids, so that no task needs all of them; slices are pre-aggregated before they meet, and decisions go back to the
+lines by key and slice.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ def keep_bitmaps(
     stages = Stages(docs.sparkSession, "line-dedup")
     hashes = stages.write(
         line_hashes(docs, id_col=id_col, text_col=text_col, min_chars=min_chars).withColumn(
-            "_slice", F.floor(F.col("_id") / DOCS_PER_SLICE)
+            "_slice", F.coalesce(F.floor(F.col("_id") / DOCS_PER_SLICE), F.lit(-1))
         )
     )
     # Hashes in range partitions, by document and position within a key: the window finds its rows clustered and
@@ -79,16 +80,20 @@ def keep_bitmaps(
     new_doc = F.when(F.row_number().over(occurrence) == 1, 1).when(
         F.col("_id").eqNullSafe(F.lag("_id").over(occurrence)), 0
     ).otherwise(1)
-    runs = stages.write(ranged.select("_h1", "_h2", "_id", "_row", "_pos", new_doc.alias("_new_doc")))
+    runs = stages.write(ranged.select("_h1", "_h2", "_slice", "_id", "_row", "_pos", new_doc.alias("_new_doc")))
     stages.drop(hashes)
+    # one row for each key and slice, so that a key with any share of the lines has few; those of shared keys go back to
+    # the lines by slice as well, and no task gets all lines of a key
+    held = stages.write(
+        runs.where("_new_doc = 1").groupBy("_h1", "_h2", "_slice").agg(F.count(F.lit(1)).alias("_docs"), F.max("_id").alias("_last"))
+    )
     shared = (
-        runs.where("_new_doc = 1")
-        .groupBy("_h1", "_h2")
-        .agg(F.count(F.lit(1)).alias("_docs"), F.max("_id").alias("_keeper"))
+        held.groupBy("_h1", "_h2")
+        .agg(F.sum("_docs").alias("_docs"), F.max("_last").alias("_keeper"))
         .where(F.col("_docs") >= min_docs)
-        .select("_h1", "_h2", "_keeper")
     )
-    lost = runs.join(shared, ["_h1", "_h2"]).where(~F.col("_id").eqNullSafe(F.col("_keeper")))
+    keepers = held.join(shared.select("_h1", "_h2", "_keeper"), ["_h1", "_h2"]).select("_h1", "_h2", "_slice", "_keeper")
+    lost = runs.join(keepers, ["_h1", "_h2", "_slice"]).where(~F.col("_id").eqNullSafe(F.col("_keeper")))
     words = lost.groupBy("_id", "_row", F.expr(f"_pos div {_BITS}").cast("int").alias("_word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, _pos % {_BITS})")).alias("_bits")
     )
@@ -97,11 +102,14 @@ def keep_bitmaps(
     )
     bitmaps = stages.write(bitmaps)
     stages.drop(runs)
+    stages.drop(held)
     return bitmaps
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with ``text_col`` cut to its kept lines, and ``n_lines`` (before), ``n_dropped`` beside it."""
+def apply_bitmaps(
+    docs: DataFrame, bitmaps: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", counts: bool = True
+) -> DataFrame:
+    """The documents with ``text_col`` cut to its kept lines, and with ``counts`` ``n_lines`` (before) and ``n_dropped``."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
     inner_id, inner_text = f"_doc.`{id_col}`", f"_doc.`{text_col}`"
     marks = bitmaps.select(F.col("_id").alias("_mark_id"), F.col("_row").alias("_mark_row"), "dropped")
@@ -122,14 +130,14 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, *, id_col: str = "doc_id"
         F.lit(0).cast("long"),
     )
     n_lines = (F.length(_text(inner_text)) - F.length(F.replace(_text(inner_text), F.lit("\n"))) + 1).cast("long")
+    numbers = {"n_lines": n_lines, "n_dropped": gone} if counts else {}
+    own = [c for c in docs.columns if c.lower() not in numbers]
     return joined.select(
-        *[(text if c == text_col else F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns],
-        n_lines.alias("n_lines"),
-        gone.alias("n_dropped"),
+        *[(text if c == text_col else F.col(f"_doc.`{c}`")).alias(c) for c in own], *[n.alias(c) for c, n in numbers.items()]
     )
 
 
-def dedup_lines(docs: DataFrame, **settings) -> DataFrame:
+def dedup_lines(docs: DataFrame, counts: bool = True, **settings) -> DataFrame:
     """Documents without the lines that others keep for them; see the module docstring."""
     columns = {k: v for k, v in settings.items() if k in ("id_col", "text_col")}
-    return apply_bitmaps(docs, keep_bitmaps(docs, **settings), **columns)
+    return apply_bitmaps(docs, keep_bitmaps(docs, **settings), counts=counts, **columns)

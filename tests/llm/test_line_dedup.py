@@ -72,3 +72,20 @@ def test_bitmaps_hold_positions_beyond_a_word(spark):
     assert found(docs) == brute(rows)
     words = {w for r in line_dedup.keep_bitmaps(docs).collect() for w in r["dropped"]}
     assert words == {0, 1, 2}
+
+
+def test_columns_with_names_of_the_counts(odd_docs):
+    docs = odd_docs.selectExpr("*", "'mine' AS n_lines", "7 AS N_Dropped", "1 AS dropped", "2 AS _doc")
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == [*odd_docs.columns, "dropped", "_doc", "n_lines", "n_dropped"]
+    assert {r["n_lines"] for r in out.collect()} == {r["n_lines"] for r in line_dedup.dedup_lines(odd_docs).collect()}
+    kept = line_dedup.dedup_lines(docs, counts=False)
+    assert kept.columns == docs.columns
+    assert {(r["n_lines"], r["N_Dropped"]) for r in kept.collect()} == {("mine", 7)}
+
+
+def test_null_ids_beside_negative_ones(spark):
+    hot = "a line of more than twenty characters"
+    rows = [(i, hot) for i in (None, None, -1, -1000, -1025, -3, 5)] + [(None, "another line of twenty and more")] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(docs) == brute(rows)

@@ -74,10 +74,12 @@ def place(
         raise ValueError(f"the rows already have columns {sorted(taken)}; give other names")
     spark = rows.sparkSession
     table = lookup_table(shards, size, weights)
-    slots = spark.createDataFrame([(i, shards[s]) for i, s in enumerate(table)], "_slot long, _shard string")
-    marked = rows.withColumn(slot_col, slot_of(F.col(f"`{key}`"), size))
+    slots = spark.createDataFrame([(i, shards[s]) for i, s in enumerate(table)], "slot long, shard string")
+    # the rows' own columns stay in a struct, so that no name of theirs can meet one of the join's
+    marked = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), slot_of(F.col(f"`{key}`"), size).alias("slot"))
     # size rows, whatever the number of documents
-    return marked.join(F.broadcast(slots), F.col(slot_col) == F.col("_slot")).drop("_slot").withColumnRenamed("_shard", shard_col)
+    placed = marked.join(F.broadcast(slots), "slot")
+    return placed.select("_row.*", F.col("slot").alias(slot_col), F.col("shard").alias(shard_col))
 
 
 def write(

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.components import components
-from daybook.llm.staging import Stages
+from daybook.llm.staging import Stages, tidy
 
 SEED = 42
 _CHUNK = 1 << 15  # shingles hashed at a time, so that a very long text needs little more than its words
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     picked = docs.select(F.col(id_col).alias("doc_id"), _mark(text_col).alias("mark"), F.col(text_col).alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(each, f"doc_id {kind}, mark long, fp long")
+    return picked.mapInArrow(tidy(each), f"doc_id {kind}, mark long, fp long")
 
 
 def _masks(max_bits: int) -> list[np.uint64]:
@@ -125,7 +125,7 @@ def links(nodes: DataFrame, max_bits: int = 2) -> DataFrame:
                 [pa.array(np.array(a, np.uint64).view(np.int64)), pa.array(np.array(b, np.uint64).view(np.int64))], ["a", "b"]
             )
 
-    return postings.mapInArrow(verify, "a long, b long")
+    return postings.mapInArrow(tidy(verify), "a long, b long")
 
 
 def _forest(fps: np.ndarray, open_: tuple[int, ...], flips: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -192,12 +192,19 @@ def keep_one(
     """Of each group of near duplicates one row, with all its columns: that of the smallest id, nulls last.
 
     A row is found by id and text, so documents that share an id (or have none) stay if their groups differ; of
-    repeated rows one stays.
+    rows equal in id and text the one whose columns sort first stays (any one, if a column's type has no order).
     """
     groups = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, max_bits=max_bits)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    firsts = groups.groupBy("root").agg(F.min(order).alias("first")).select(
-        F.col("first.doc_id").alias("_first_id"), F.col("first.mark").alias("_first_mark")
-    )
-    same = F.col(id_col).eqNullSafe(F.col("_first_id")) & (_mark(text_col) == F.col("_first_mark"))
-    return docs.join(firsts, same, "left_semi").dropDuplicates([id_col, text_col])
+    firsts = groups.groupBy("root").agg(F.min(order).alias("first")).select("first.doc_id", "first.mark")
+    # the documents' own columns stay in a struct, so that no name of theirs can meet one of the join's
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    own_id, own_text = f"_doc.`{id_col}`", f"_doc.`{text_col}`"
+    same = F.col(own_id).eqNullSafe(F.col("doc_id")) & (_mark(own_text) == F.col("mark"))
+    kept = rows.join(firsts, same, "left_semi").groupBy(F.col(own_id).alias("id"), F.col(own_text).alias("text"))
+    # of rows equal in id and text the one that sorts first stays, whatever task it comes from
+    others = F.struct(F.lit(0).alias("_"), *[F.col(f"_doc.`{c}`") for c in docs.columns if c not in (id_col, text_col)])
+    ordered = not any("map<" in kind or kind == "variant" for _, kind in docs.dtypes)
+    one = kept.agg((F.min(others) if ordered else F.first(others)).alias("_doc"))
+    names = {id_col: "id", text_col: "text"}
+    return one.select(*[F.col(names.get(c, f"_doc.`{c}`")).alias(c) for c in docs.columns])

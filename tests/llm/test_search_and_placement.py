@@ -182,3 +182,10 @@ def test_neighbours(spark, odd_docs, no_docs, parts):
         assert alone["near_next"] == 1
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_placement_beside_columns_of_any_name(spark):
+    rows = spark.createDataFrame([(1, "a", "b", 2)], "doc_id long, _slot string, _shard string, _row int")
+    placed = sharding.place(rows, "doc_id", ["one", "two"])
+    assert placed.columns == [*rows.columns, "slot", "shard"]
+    assert tuple(placed.first())[:4] == (1, "a", "b", 2)

@@ -145,3 +145,14 @@ def test_components_of_a_chain_and_a_star(spark):
     pairs = spark.createDataFrame(chain + star + [(900, 900), (7, 8), (8, 7)], "a long, b long")
     found = {r["node"]: r["root"] for r in components.components(pairs, Stages(spark, "test")).collect()}
     assert found == {**{i: 100 for i in range(100, 161)}, **{i: 500 for i in [500, *range(600, 700)]}, 7: 7, 8: 7}
+
+
+def test_rows_equal_in_id_and_text_stay_by_order(spark, odd_docs):
+    rows = [(1, "some words to stay", n, "x") for n in (5, 3, 9)] + [(2, "quite another text of words", 1, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _first_id int, _first_mark string").repartition(3)
+    out = simhash.keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "some words to stay", 3, "x"), (2, "quite another text of words", 1, "y")]
+    clashing = odd_docs.selectExpr("*", "1 AS _doc", "2 AS id", "3 AS mark", "map('a', 1) AS root")
+    kept = simhash.keep_one(clashing)
+    assert kept.columns == clashing.columns and kept.count() == simhash.keep_one(odd_docs).count()

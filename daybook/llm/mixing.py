@@ -3,21 +3,24 @@
 Method: a softmax classifier learned from a table of labelled documents predicts for every document the posterior of
 each domain.  A document's rate is how many times it is wanted; a domain's expected total is the sum of rate x tokens x
 posterior.  Projected-gradient least squares moves all rates from 1 until the totals match the targets, with rates kept
-at ``lowest`` (0) or more: each step adds to every rate the posterior's product with the totals' gap (scaled by the
-domains' overlap), and cuts it at the bound.  A step is one distributed sum per domain; a rate follows from the steps'
-gaps, a few numbers each, so nothing but these sums reaches the driver and no rates are written between steps.
-Documents that the classifier takes for one of the domains ``kept`` have the bound 1 instead, and the budget is raised
-as far as these domains' tokens ask for, so that none of their documents is dropped at any share.
+between ``lowest`` (0) and ``most`` (3): each step adds to every rate the posterior's product with the totals' gap and
+cuts it at the bounds.  The gap is scaled by the overlap of the domains among documents that no bound holds, which takes
+few steps; once a bound stands in the way, by one number for all domains, told from the last two gaps.  The rates of
+the least squared error count.  A step is one distributed sum per domain; a rate follows from the steps' gaps, a few
+numbers each, so nothing but these sums reaches the driver and no rates are written between steps.
+Documents that the classifier takes for one of the domains ``kept`` have the lower bound 1 instead, and the budget is
+raised as far as these domains' tokens ask for, so that none of their documents is dropped at any share.  Targets that
+cannot be met within the bounds are left as near as least squares comes; ``Fit.unmet`` has what is missing.
 
 The classifier sees at most about ``sample`` labelled documents, chosen by a hash of their ids; its features are byte
 trigram frequencies in ``BUCKETS`` buckets and a few shares that describe a text, so its size is fixed and it is
 broadcast.  Everything else covers all documents.
 
-Defined cases: a null or empty text has no tokens, no weight in the totals, the class shares of the sample as posteriors
-and a rate like any other.  Without labelled documents all domains of the targets are equally likely.  A domain without
-a target has target 0; one that no document belongs to is reported as a gap, as are totals that cannot be met.  Repeated
-rows each have a rate; whole copies are drawn by id and text.  Other columns pass through ``expand`` untouched.  No rows
-in, no rows out.
+Defined cases: a null or empty text, or one of white space, has no tokens and no weight in the totals, so its rate is 1;
+without any bytes its posteriors are the class shares of the sample.  Without labelled documents all domains of the
+targets are equally likely.  A domain without a target has target 0; one that no document belongs to is reported as a
+gap, as are totals that cannot be met.  Repeated rows each have a rate; whole copies are drawn by id and text.  Other
+columns pass through ``expand`` untouched.  No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -32,12 +35,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.staging import Stages
+from daybook.llm.staging import Stages, tidy
 
 SAMPLE = 8000
 BUCKETS = 512
 STEPS = 40
 CLOSE = 1e-6
+MOST = 3.0  # times that one document may come
 _CHUNK = 1 << 20
 
 
@@ -98,7 +102,7 @@ def learn(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["domain", "features"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id")
-    rows = texts.select("domain", "text").mapInArrow(extract, "domain string, features binary").toPandas()
+    rows = texts.select("domain", "text").mapInArrow(tidy(extract), "domain string, features binary").toPandas()
     size = BUCKETS + 8
     k = len(domains)
     if rows.empty:
@@ -153,20 +157,23 @@ def memberships(docs: DataFrame, classifier: Classifier, *, id_col: str = "doc_i
                     ["doc_id", "draw", "n_tokens", "posteriors"],
                 )
 
-    return picked.mapInArrow(each, f"doc_id {kind}, draw double, n_tokens long, posteriors array<double>")
+    return picked.mapInArrow(tidy(each), f"doc_id {kind}, draw double, n_tokens long, posteriors array<double>")
 
 
 def _bound(lowest: float | Column) -> Column:
     return lowest if isinstance(lowest, Column) else F.lit(float(lowest))
 
 
-def _rate(posteriors: Column, gaps: list[np.ndarray], lowest: float | Column) -> Column:
-    """A document's rate after the steps with these (scaled) gaps."""
+def _rate(
+    posteriors: Column, gaps: list[np.ndarray], lowest: float | Column, most: float = np.inf, tokens: Column | None = None
+) -> Column:
+    """A document's rate after the steps with these (scaled) gaps; 1 if it has no tokens."""
     rate = F.lit(1.0)
     for gap in gaps:
         move = sum((posteriors[i] * F.lit(float(g)) for i, g in enumerate(gap)), F.lit(0.0))
         rate = F.greatest(_bound(lowest), rate + move)
-    return rate
+        rate = F.least(F.lit(float(most)), rate) if most < np.inf else rate
+    return rate if tokens is None else F.when(tokens > 0, rate).otherwise(F.lit(1.0))
 
 
 @dataclass
@@ -175,40 +182,67 @@ class Fit:
     lowest: float | Column
     targets: np.ndarray  # tokens per domain
     totals: np.ndarray  # expected tokens per domain at the fitted rates
+    most: float = np.inf
 
+    @property
+    def unmet(self) -> np.ndarray:
+        """Tokens that each domain lacks (or, below 0, has too many of)."""
+        return self.targets - self.totals
 
-def fit_rates(members: DataFrame, targets: np.ndarray, *, lowest: float | Column = 0.0, steps: int = STEPS) -> Fit:
+    def rate(self) -> Column:
+        return _rate(F.col("posteriors"), self.gaps, self.lowest, self.most, F.col("n_tokens"))
+
+
+def fit_rates(
+    members: DataFrame, targets: np.ndarray, *, lowest: float | Column = 0.0, most: float = np.inf, steps: int = STEPS
+) -> Fit:
     """Rates whose expected domain totals match ``targets`` (tokens by domain); ``members`` is read once a step."""
     k = len(targets)
     p, t = F.col("posteriors"), F.col("n_tokens").cast("double")
+    pairs = [(i, j) for i in range(k) for j in range(k)]
 
-    def over(rows: DataFrame, values: list[Column]) -> np.ndarray:
-        found = rows.agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"v{i}") for i, v in enumerate(values)]).first()
-        return np.array(list(found), np.float64)
+    def sums(gaps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        rated = members.withColumn("_rate", _rate(p, gaps, lowest, most))
+        # before the first step all may move, also those whose bound is where rates start
+        free = F.lit(not gaps) | ((F.col("_rate") > _bound(lowest)) & (F.col("_rate") < most))
+        moving = F.when(free, t).otherwise(F.lit(0.0))
+        values = [t * p[i] * F.col("_rate") for i in range(k)]
+        values += [weight * p[i] * p[j] for weight in (t, moving) for i, j in pairs]
+        found = rated.agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"v{i}") for i, v in enumerate([*values, t])]).first()
+        found = np.array(list(found), np.float64)
+        every, some = found[k:-1].reshape(2, k, k)
+        return found[:k], every, some, max(1.0, found[-1])
 
     gaps: list[np.ndarray] = []
-    best: tuple[float, int, np.ndarray] | None = None
-    while True:
-        # totals, and the overlap of domains among documents that the bound does not hold
-        rated = members.withColumn("_rate", _rate(p, gaps, lowest))
-        # before the first step all may move, also those whose bound is where rates start
-        free = F.when(F.lit(not gaps) | (F.col("_rate") > _bound(lowest)), t).otherwise(F.lit(0.0))
-        values = [t * p[i] * F.col("_rate") for i in range(k)] + [free * p[i] * p[j] for i in range(k) for j in range(k)]
-        sums = over(rated, [*values, t])
-        totals, overlap, whole = sums[:k], sums[k:-1].reshape(k, k), max(1.0, sums[-1])
-        left = (targets - totals) / whole
-        error = float(np.abs(left).max())
-        if best is None or error < best[0]:
-            best = (error, len(gaps), totals)
-        if error < CLOSE or len(gaps) >= steps:
+    best, held, totals = np.inf, gaps, None
+    quick, error_before, left_before, stale = True, np.inf, None, 0
+    for _ in range(steps):
+        now, every, some, whole = sums(gaps)
+        left, every, some = (targets - now) / whole, every / whole, some / whole
+        error = float((left**2).sum())
+        stale = 0 if error < best * (1 - 1e-6) else stale + 1
+        if error < best:
+            best, held, totals, best_step = error, gaps, now, (left, every, some)
+        if np.sqrt(best) < CLOSE or stale > 5:
             break
-        gaps = [*gaps, np.linalg.pinv(overlap / whole + 1e-9 * np.eye(k)) @ left]
-    return Fit(gaps[: best[1]], lowest, targets, best[2])
+        if quick and error > error_before / 2:  # a bound stands in the way: go on from the best rates by plain steps
+            quick, gaps, left_before, (left, every, some) = False, held, None, best_step
+        if quick:
+            step = np.linalg.pinv(some + 1e-9 * np.eye(k)) @ left
+        else:  # of a length after Barzilai and Borwein, once there is a step to tell it from
+            step = left / max(1e-9, float(np.linalg.eigvalsh(every).max()))
+            change = left - left_before if left_before is not None else np.zeros(k)
+            if change.any():
+                step = left * min(1e3, max(1.0, (change @ change) / max(1e-12, change @ some @ change)))
+            left_before = left
+        error_before = error
+        gaps = [*gaps, step]
+    return Fit(held, lowest, targets, totals, most)
 
 
 def mix(
     docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], *, id_col: str = "doc_id", text_col: str = "text",
-    domain_col: str = "domain", budget: float = 1.0, lowest: float = 0.0, sample: int = SAMPLE,
+    domain_col: str = "domain", budget: float = 1.0, lowest: float = 0.0, most: float = MOST, sample: int = SAMPLE,
     kept: Collection[str] = (),
 ) -> tuple[DataFrame, Fit]:
     """``doc_id, draw, n_tokens, posteriors, rate, copies`` per row, and the fit.
@@ -217,6 +251,8 @@ def mix(
     documents' tokens, or more if the domains ``kept`` need it: documents that the classifier takes for one of these have
     a rate of 1 or more.  ``copies`` is the rate rounded up or down at random, so that totals stay right on average.
     """
+    if not max(1.0, lowest) <= most < float("inf"):
+        raise ValueError("most is a finite number, at least 1 and at least lowest")
     stages = Stages(docs.sparkSession, "mixing")
     domains = sorted(targets)
     if not domains or min(targets.values()) < 0 or sum(targets.values()) <= 0:
@@ -235,8 +271,8 @@ def mix(
     if kept:
         taken = [p[i] == F.array_max(p) for i, d in enumerate(domains) if d in kept]
         bound = F.when(reduce(Column.__or__, taken), F.lit(max(1.0, lowest))).otherwise(F.lit(float(lowest)))
-    fit = fit_rates(members, shares * size, lowest=bound)
-    rated = members.withColumn("rate", _rate(p, fit.gaps, bound))
+    fit = fit_rates(members, shares * size, lowest=bound, most=most)
+    rated = members.withColumn("rate", fit.rate())
     return rated.withColumn("copies", F.floor(F.col("rate") + F.col("draw")).cast("long")), fit
 
 
@@ -247,4 +283,5 @@ def expand(docs: DataFrame, mixed: DataFrame, *, id_col: str = "doc_id", text_co
     # repeated rows have the same copies, so one of them is enough to look these up
     wanted = mixed.where("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("draw").alias("_draw")).agg(F.max("copies").alias("_copies"))
     found = rows.join(wanted, F.col(f"_doc.`{id_col}`").eqNullSafe(F.col("_id")) & (draw == F.col("_draw")))
-    return found.select("_doc.*", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+    # a document comes ``most`` times at most
+    return found.select("_doc", F.explode(F.array_repeat(F.lit(True), F.col("_copies").cast("int"))).alias("_copy")).select("_doc.*")

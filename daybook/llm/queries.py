@@ -26,9 +26,9 @@ from daybook.llm import (
 from daybook.session import new_path
 
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
-# the mixture by quality as the labels table marks it
-TARGETS = {"good": 0.9, "poor": 0.1}
-KEPT = ("good",)  # domains of which no document is dropped
+# the mixture by language, as far as the labels table marks documents as good, and what it marks as poor
+TARGETS = {"de": 0.17, "en": 0.45, "es": 0.13, "fr": 0.17, "poor": 0.08}
+KEPT = ("de", "en", "es", "fr")  # domains of which no document is dropped
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,6 +54,13 @@ def quality_domains(labels: DataFrame) -> DataFrame:
     )
 
 
+def language_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Ids and domains of the labelled documents: the language of good ones, ``poor`` for the others."""
+    languages = docs.select("doc_id", "lang").where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    marked = labels.where("quality IN (0, 1)").select("doc_id", "quality").join(languages, "doc_id")
+    return marked.select("doc_id", F.when(F.col("quality") == 1, F.col("lang")).otherwise("poor").alias("domain"))
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     filters = langid.learn(docs.where(_fold(5) != 0))
@@ -103,8 +110,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = quality_domains(_read(spark, sf_dir, "labels"))
-    mixed, fit = mixing.mix(_read(spark, sf_dir, "documents"), labelled, TARGETS, kept=KEPT)
+    docs = _read(spark, sf_dir, "documents")
+    mixed, fit = mixing.mix(docs, language_domains(docs, _read(spark, sf_dir, "labels")), TARGETS, kept=KEPT)
     named = [F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(sorted(TARGETS))]
     # the same in every row: tokens wanted of each domain, and expected at the fitted rates
     wanted = [F.lit(float(x)).alias(f"target_{d}") for d, x in zip(sorted(TARGETS), fit.targets)]

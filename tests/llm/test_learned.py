@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.llm import langid, lm_scoring, mixing, toxicity
-from daybook.llm.queries import op9_mixing, quality_domains, tokenizer
+from daybook.llm.queries import KEPT, TARGETS, op9_mixing, quality_domains, tokenizer
 
 DATA = "/root/testdata/sf0.01"
 
@@ -192,11 +192,71 @@ def test_mixing_of_documents(spark, docs, odd_docs, no_docs):
 
 def test_mixing_query_returns_targets_and_totals(spark, small):
     rows = op9_mixing(spark, small).collect()
-    for d in ("good", "poor"):
+    assert len(TARGETS) >= 3
+    for d in TARGETS:
         assert len({(r[f"target_{d}"], r[f"total_{d}"]) for r in rows}) == 1
         expected = sum(r["rate"] * r["n_tokens"] * r[f"p_{d}"] for r in rows)
         assert math.isclose(rows[0][f"total_{d}"], expected, rel_tol=1e-6)
-    assert sum(rows[0][f"target_{d}"] for d in ("good", "poor")) > 0
+    assert sum(rows[0][f"target_{d}"] for d in TARGETS) > 0
+    for r in rows:
+        assert 0 <= r["rate"] <= mixing.MOST and r["copies"] in (int(r["rate"]), int(r["rate"]) + 1)
+        best = max(TARGETS, key=lambda d: r[f"p_{d}"])
+        assert r["rate"] >= 1 or best not in KEPT
+    # a real move: some domain's documents come more often, and some less
+    assert max(r["rate"] for r in rows) > 1.2 and min(r["rate"] for r in rows) < 0.95
+
+
+def least_squares(tokens, p, targets, low, high):
+    """Box-bounded least squares by coordinate descent: one rate at a time to its own optimum, until none moves."""
+    rates = np.ones(len(tokens))
+    rows = p * tokens[:, None]
+    gap = targets - rows.T @ rates
+    for _ in range(300):
+        moved = 0.0
+        for i, row in enumerate(rows):
+            if tokens[i]:
+                new = np.clip(rates[i] + row @ gap / (row @ row), low[i], high)
+                gap -= row * (new - rates[i])
+                moved, rates[i] = max(moved, abs(new - rates[i])), new
+        if moved < 1e-9:
+            break
+    return rows.T @ rates
+
+
+@pytest.mark.parametrize("shares", [(0.4, 0.3, 0.3), (0.7, 0.2, 0.1), (0.05, 0.05, 0.9), (0.0, 0.0, 1.0)])
+@pytest.mark.parametrize("kept", [False, True])
+def test_totals_are_those_of_another_solver(spark, shares, kept):
+    draw = np.random.default_rng(9)
+    p = draw.dirichlet((0.9, 0.4, 0.3), 250)
+    tokens = draw.integers(0, 300, 250) * draw.integers(0, 2, 250)
+    rows = [(i, int(t), [float(x) for x in q]) for i, (t, q) in enumerate(zip(tokens, p))]
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, posteriors array<double>")
+    low = (p.argmax(axis=1) == 0) * 1.0 if kept else np.zeros(250)
+    column = F.when(F.col("posteriors")[0] == F.array_max("posteriors"), 1.0).otherwise(0.0) if kept else 0.0
+    targets = np.array(shares) * tokens.sum()
+    fit = mixing.fit_rates(members, targets, lowest=column, most=mixing.MOST)
+    plain = least_squares(tokens.astype(float), p, targets, low, mixing.MOST)
+    assert ((targets - fit.totals) ** 2).sum() <= ((targets - plain) ** 2).sum() + (1e-3 * tokens.sum()) ** 2
+    assert np.allclose(fit.totals, plain, atol=5e-3 * tokens.sum())
+    assert np.allclose(fit.unmet, targets - fit.totals)
+    found = members.withColumn("rate", fit.rate()).collect()
+    assert all(r["rate"] == 1 for r in found if not r["n_tokens"])
+    assert all(low[r["doc_id"]] <= r["rate"] <= mixing.MOST for r in found)
+
+
+def test_repetition_is_bounded(spark):
+    rows = [(0, "good words here " * 3000, "a", 1)] + [(i, "bad", "b", 2) for i in range(1, 8)] + [(9, " \n ", "a", 3), (10, None, "b", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _copy string, _doc int")
+    labelled = docs.select("doc_id", F.col("_copy").alias("domain"))
+    mixed, fit = mixing.mix(docs, labelled, {"a": 0.5, "b": 0.5}, kept=("a",), most=2.0)
+    assert mixed.agg(F.max("copies")).first()[0] <= 2
+    assert fit.unmet[1] > 1000
+    out = mixing.expand(docs, mixed)
+    assert out.columns == docs.columns
+    assert {r["doc_id"]: r["n"] for r in out.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id > 8").collect()} == {9: 1, 10: 1}
+    for most in (0.5, float("inf"), float("nan")):
+        with pytest.raises(ValueError):
+            mixing.mix(docs, labelled, {"a": 1.0}, most=most)
 
 
 def test_language_model_and_base(docs):

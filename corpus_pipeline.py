@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import bpe, line_dedup, mixing, simhash, toxicity
-from daybook.llm.queries import KEPT, TARGETS, quality_domains, tokenizer
+from daybook.llm.queries import KEPT, TARGETS, language_domains, tokenizer
 from daybook.llm.staging import Stages
 
 RUN_CHARS = 5_000_000  # of the last stage: executors' heaps are full by then, so its workers get less memory
@@ -24,8 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that another document keeps for them; ``n_chars`` follows the text."""
-    kept = line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return kept.select(*docs.columns)
+    return line_dedup.dedup_lines(docs, counts=False).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,11 +33,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate says, so that good and poor ones come to their target shares of all tokens.
+    """Documents as often as their rate says, so that languages and poor texts come near their target shares of all tokens.
 
-    The rate of what the classifier takes for good is one or more; the budget grows where that asks for more tokens.
+    The rate of what the classifier takes for a good text of some language is one or more; the budget grows where that
+    asks for more tokens.  No document comes more than ``mixing.MOST`` times.
     """
-    labelled = quality_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labelled = language_domains(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     mixed, _ = mixing.mix(docs, labelled, TARGETS, kept=KEPT)
     return mixing.expand(docs, mixed)
 

@@ -266,6 +266,11 @@ ORACLE: dict[str, str] = {
                      dt = '{DAY}' AND dh = '07' AND event_id % 2 = 0 AS changed
               FROM (SELECT event_id, value, {_DT} AS dt, strftime(ts, '%H') AS dh FROM events
                     WHERE {_DT} BETWEEN '2024-01-14' AND '2024-01-16'))""",
+    "upsert_pruned": f"""
+        SELECT event_id, user_id, event_type,
+               CASE WHEN moved THEN 0.0 WHEN user_id % 50 = 1 THEN value + 1 ELSE value END AS value, props, {_TS},
+               CASE WHEN moved THEN strftime(ts + INTERVAL 1 DAY, '%Y-%m-%d') ELSE {_DT} END AS dt
+        FROM (SELECT *, {_DT} = '{DAY}' AND event_type = 'error' AS moved FROM events)""",
     "upsert_by_key_days": f"""
         SELECT event_id, user_id, event_type,
                CASE WHEN moved THEN value + 1 ELSE value END AS value, props, {_TS},

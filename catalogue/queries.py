@@ -686,6 +686,19 @@ def upsert_by_key_days(spark: SparkSession, sf: str) -> DataFrame:
     return loaded.select(*EVENT, _time_text("ts"), "dt")
 
 
+@_query
+def upsert_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    table = _events_table(spark, sf)
+    events = _events(spark, sf)
+    one_user = events.where(F.col("user_id") % 50 == 1).withColumn("value", F.col("value") + 1)
+    upsert_sink.upsert(one_user, table, ["event_id"], ["ts"], key_filter=True)
+    # by now every partition has a filter; some of a day's events move to the next day
+    moved = events.where((F.col("dt") == DAY) & (F.col("event_type") == "error"))
+    batch = moved.withColumns({"dt": F.date_add(F.to_date("dt"), 1).cast("string"), "value": F.lit(0.0)})
+    loaded = upsert_sink.upsert(batch, table, ["event_id"], ["ts"], key_filter=True)
+    return loaded.select(*EVENT, _time_text("ts"), "dt")
+
+
 # -- summaries -----------------------------------------------------------------------------
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation
@@ -13,6 +11,7 @@ from daybook.operators import drift, partitions
 from daybook.operators.frames import required
 from daybook.operators.summaries import latest_rows
 from daybook.session import quoted, session_settings, staged
+from daybook.sinks import keyfilter
 from daybook.sinks.warehouse import merging, replace_by_name, sized
 
 
@@ -22,6 +21,7 @@ def upsert(
     keys: list[str],
     order_by: list[str],
     blank_as_null: bool = True,
+    key_filter: bool = False,
 ) -> DataFrame:
     """Insert the frame's rows, replacing rows of equal key.
 
@@ -32,6 +32,9 @@ def upsert(
     A partitioned table is rewritten only in the partitions that receive a row or hold one
     that is replaced.  An unpartitioned managed one is written anew beside the old one and
     takes its name, comment and properties.  An external one is staged and overwritten in place.
+
+    With ``key_filter`` filters of the keys are kept beside a partitioned table (:mod:`daybook.sinks.keyfilter`): only
+    partitions that can hold a key of the batch are read to find those that do.
     """
     spark = df.sparkSession
     target = spark.table(quoted(table))
@@ -43,7 +46,12 @@ def upsert(
     with staged(latest) as new:
         by = [c.lower() for c in partitions.partition_columns(spark, table)]
         if by:
-            _rewrite_partitions(target, new, table, keys, by)
+            filtered = key_filter and not set(by) <= set(keys)  # such keys name their partition themselves
+            hits = keyfilter.possible(new, table, keys, by) if filtered else None
+            within = target if hits is None else keyfilter.of_partitions(target, by, hits)
+            _rewrite_partitions(target, within, new, table, keys, by)
+            if filtered:
+                keyfilter.refresh(spark, table, keys, by)
         else:
             _rewrite(target, new, table, keys)
     return spark.table(quoted(table))
@@ -55,35 +63,28 @@ def _merged(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").select(*old.columns).unionByName(new)
 
 
-def _rewrite_partitions(target: DataFrame, new: DataFrame, table: str, keys: list[str], by: list[str]) -> None:
+def _rewrite_partitions(
+    target: DataFrame, within: DataFrame, new: DataFrame, table: str, keys: list[str], by: list[str]
+) -> None:
     """Rewrite the partitions that receive a row or hold one that is replaced, in one dynamic overwrite.
 
-    Unless the keys name the whole partition, finding those that hold one scans the keys of all rows.
+    Unless the keys name the whole partition, finding those that hold one scans the keys of all rows of ``within``: the
+    target, or the part of it that can hold a key.
     """
     spark = target.sparkSession
     touched = new.select(*by)
     if not set(by) <= set(keys):
-        touched = touched.union(target.join(new.select(*keys), keys, "left_semi").select(*by))
+        touched = touched.union(within.join(new.select(*keys), keys, "left_semi").select(*by))
     # one row per partition, as text with the catalog's stand-in for NULL
     names = F.struct(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(partitions.NO_DAY)).alias(c) for c in by])
     found = [tuple(r["p"]) for r in touched.select(names.alias("p")).distinct().collect()]
     if not found:
         return
-    # the first level prunes the scan; the rest is told apart by a join with the short list
-    first = target.schema[_cased(target, by[0])].dataType
-    days = [F.lit(p[0]).cast(first) for p in set((p[0],) for p in found) if p[0] != partitions.NO_DAY]
-    affected = F.col(by[0]).isin(days) if days else F.lit(False)
-    if any(p[0] == partitions.NO_DAY for p in found):
-        affected = affected | F.col(by[0]).isNull()
-    held = target.where(affected)
-    if len(by) > 1:
-        wanted = spark.createDataFrame(found, ", ".join(f"`_p{i}` string" for i in range(len(by))))
-        same = [names.getField(c) == F.col(f"_p{i}") for i, c in enumerate(by)]
-        held = held.join(wanted, reduce(and_, same), "left_semi")
+    held = keyfilter.of_partitions(target, by, [list(p) for p in found])
     rows = drift.in_table_order(_merged(held, new, keys), target.schema)
     seen = Observation()
     # A dynamic overwrite may read the partitions it replaces: their files go at commit, not before.
-    observed = sized(rows, by_day=len(days) > 1).observe(seen, F.collect_set(names).alias("filled"))
+    observed = sized(rows, by_day=len({p[0] for p in found}) > 1).observe(seen, F.collect_set(names).alias("filled"))
     settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic"} | merging(by_day=len(found) > 1)
     with session_settings(spark, settings):
         observed.write.mode("overwrite").insertInto(quoted(table))
@@ -92,10 +93,6 @@ def _rewrite_partitions(target: DataFrame, new: DataFrame, table: str, keys: lis
     partitions.drop_named(spark, table, levels)
 
 
-def _cased(df: DataFrame, name: str) -> str:
-    return next(c for c in df.columns if c.lower() == name.lower())
-
-
 def _rewrite(target: DataFrame, new: DataFrame, table: str, keys: list[str]) -> None:
     merged = drift.in_table_order(_merged(target, new, keys), target.schema)
     spark = target.sparkSession

@@ -259,6 +259,7 @@ def replace_by_name(df: DataFrame, table: str, fmt: str) -> None:
     comment and the properties; if that fails, the old table has its name again."""
     spark = df.sparkSession
     held = partitions.described(spark, table)
+    df = _described_as(df, spark.table(quoted(table)).schema)
     tag = uuid.uuid4().hex[:12]
     fresh, old = f"{table}__new_{tag}", f"{table}__old_{tag}"
     try:
@@ -280,6 +281,20 @@ def replace_by_name(df: DataFrame, table: str, fmt: str) -> None:
     spark.sql(f"DROP TABLE {quoted(old)}")
 
 
+def _described_as(df: DataFrame, old: T.StructType) -> DataFrame:
+    """The frame with the old columns' comments and defaults, but for comments that it brings itself."""
+    kept = {
+        f.name.lower(): {k: v for k, v in f.metadata.items() if k in ("comment", "CURRENT_DEFAULT", "EXISTS_DEFAULT")}
+        for f in old
+    }
+
+    def column(field: T.StructField) -> Column:
+        own = {k: v for k, v in field.metadata.items() if k != "comment" or v}
+        return F.col(f"`{field.name}`").alias(field.name, metadata=kept.get(field.name.lower(), {}) | own)
+
+    return df.select([column(f) for f in df.schema])
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

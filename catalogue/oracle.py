@@ -55,6 +55,11 @@ _DDL = " UNION ALL ".join(
 
 ORACLE: dict[str, str] = {
     "load_all": f"SELECT *, '{DAY}' AS dt FROM customer",
+    "split_by_quantiles": """
+        SELECT l_orderkey, l_linenumber, l_extendedprice,
+               CAST(CASE WHEN l_orderkey % 3 = 0 THEN 7 WHEN l_orderkey % 10 <> 1 THEN l_partkey END AS VARCHAR) AS l_key,
+               1 AS n_splits, true AS even
+        FROM lineitem""",
     "load_new": f"""
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
                {_SECOND.format('o_orderdate')} AS o_orderdate, o_orderpriority,
@@ -266,6 +271,13 @@ ORACLE: dict[str, str] = {
                      dt = '{DAY}' AND dh = '07' AND event_id % 2 = 0 AS changed
               FROM (SELECT event_id, value, {_DT} AS dt, strftime(ts, '%H') AS dh FROM events
                     WHERE {_DT} BETWEEN '2024-01-14' AND '2024-01-16'))""",
+    "sink_swap_location": f"""
+        SELECT {_EVENT}, {_TS}, strftime(ts + INTERVAL 1 DAY, '%Y-%m-%d') AS dt FROM events WHERE {_DT} <> '{DAY}'""",
+    "sink_replace_range_outside": f"""
+        SELECT event_id, user_id, event_type, CASE WHEN event_type = 'click' THEN value + 2 ELSE value END AS value,
+               props, {_TS}, {_DT} AS dt
+        FROM events
+        WHERE event_type = 'click' OR event_type = 'view' AND {_DT} NOT BETWEEN '{DAY}' AND '2024-01-18'""",
     "upsert_pruned": f"""
         SELECT event_id, user_id, event_type,
                CASE WHEN moved THEN 0.0 WHEN user_id % 50 = 1 THEN value + 1 ELSE value END AS value, props, {_TS},

@@ -7,7 +7,8 @@ read back.  Times are returned as text so that both engines show them alike.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,12 @@ from daybook.operators import changes, drift, frames, partitions, summaries
 from daybook.plans import export, load
 from daybook.session import new_database, new_path, quoted
 from daybook.sinks import files as file_sinks
+from daybook.sinks import locations
 from daybook.sinks import upsert as upsert_sink
 from daybook.sinks import warehouse
 from daybook.sources import extract
 from daybook.sources import files as file_sources
+from daybook.sources import splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +133,21 @@ def load_all(spark: SparkSession, sf: str) -> DataFrame:
     return load.load_tables(read, new_database(spark), "customer", DAY)["customer"]
 
 
+@_query
+def split_by_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line with the number of splits that it is in, on a column of which one value and NULL hold many rows."""
+    lines = _read(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice",
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).when(F.col("l_orderkey") % 10 != 1, F.col("l_partkey")).alias("l_key"),
+    )
+    conditions = splits.quantile_splits(lines, "l_key", 16, "l_orderkey")
+    inside = [F.coalesce(F.expr(c).cast("int"), F.lit(0)) for c in conditions]
+    sizes = lines.agg(*[F.sum(i) for i in inside]).first()
+    even = max(sizes) <= 1.5 * sum(sizes) / 16
+    counted = lines.withColumn("n_splits", reduce(add, inside))
+    return _as_text(counted, "l_key").withColumn("even", F.lit(even))
+
+
 @_query
 def load_new(spark: SparkSession, sf: str) -> DataFrame:
     loaded = load.load_tables(
@@ -626,6 +644,32 @@ def propagate_changed_days(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(quoted(target)).select(*EVENT, _time_text("ts"), "last_update_time", "dt")
 
 
+@_query
+def sink_swap_location(spark: SparkSession, sf: str) -> DataFrame:
+    """An external table by day, replaced as a whole: other rows, a day less, a day more."""
+    table = f"{new_database(spark)}.events"
+    place = new_path(spark, "external")
+    events = _events(spark, sf)
+    events.where(F.col("event_type") != "error").write.partitionBy("dt").parquet(place)
+    columns = events.schema.toDDL()
+    spark.sql(f"CREATE TABLE {quoted(table)} ({columns}) USING parquet PARTITIONED BY (dt) LOCATION '{place}'")
+    spark.sql(f"MSCK REPAIR TABLE {quoted(table)}")
+    later = events.where(F.col("dt") != DAY).withColumn("dt", F.date_add(F.to_date("dt"), 1).cast("string"))
+    locations.swap(later, table)
+    return spark.table(quoted(table)).select(*EVENT, _time_text("ts"), "dt")
+
+
+@_query
+def sink_replace_range_outside(spark: SparkSession, sf: str) -> DataFrame:
+    """A range loaded twice: rows of days outside it are there once, as the second run has them."""
+    events = _events(spark, sf)
+    table = _events_table(spark, sf, events.where(F.col("event_type") == "view"))
+    for add in (1, 2):
+        late = events.where(F.col("event_type") == "click").withColumn("value", F.col("value") + add)
+        warehouse.replace_range(late, table, DAY, "2024-01-18")
+    return spark.table(quoted(table)).select(*EVENT, _time_text("ts"), "dt")
+
+
 @_query
 def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
     table = f"{new_database(spark)}.customer"

@@ -19,7 +19,8 @@ from daybook.functions import dates
 from daybook.model import SaveMode, check_day, check_range, days_between
 from daybook.operators import drift, partitions
 from daybook.operators.frames import clean_text
-from daybook.session import quoted, session_settings
+from daybook.session import quoted, session_settings, staged
+from daybook.sinks import locations
 
 EVOLVE = "evolve"  # new columns are added to the table
 DROP_NEW = "drop"  # new columns are left out
@@ -181,9 +182,11 @@ def replace_range(
     on_new: str = DROP_NEW,
     clean: bool = True,
     rebalance: bool = True,
+    batch: str | None = None,
 ) -> DataFrame:
     """Replace a day range by rows that carry their own ``dt``; by default new columns are
-    left out.  Rows of other days, and of none, are kept as well: they are appended."""
+    left out.  Rows of other days, and of none, are kept as well: they are appended, once for
+    each ``batch`` id (the range, unless given), so that a range can be loaded again."""
     spark = df.sparkSession
     dt, dt1 = check_range(dt, dt1)
     df = clean_text(df, skip=["dt"]) if clean else df
@@ -192,10 +195,11 @@ def replace_range(
     df = df.observe(seen, F.count_if(~inside).alias("outside"))
     days = days_between(dt, dt1)
     result = _replace(df, table, inside, days, fmt, on_new, None, rebalance)
-    if seen.get["outside"]:
+    batch = batch or f"{dt}.{dt1}"
+    if seen.get["outside"] or locations.holds_batch(spark, table, batch):
         rows = _reconciled(df.where(~inside), table, on_new)
         rows = sized(rows, by_day=True) if rebalance else rows
-        rows.write.mode("append").insertInto(quoted(table))
+        locations.append_once(rows, table, batch)
     return result
 
 
@@ -212,9 +216,10 @@ def replace_table(
 
     The old table stays readable until the new one is written, and keeps its comment and
     properties: an unpartitioned managed table is written beside it and takes its name; one
-    partitioned by ``dt`` alone, of the same columns, gets its partitions replaced at commit.
-    Other tables (external, or partitioned and of other columns) are overwritten by Spark,
-    which drops the old one first.
+    partitioned by ``dt`` alone, of the same columns, gets its partitions replaced at commit; an
+    external one of the same columns gets new locations.  Other tables (of other columns or
+    partitioning) are overwritten by Spark, which drops the old one first, but only once the new rows
+    have been written to the shared folder: a failure to compute them leaves the old ones.
     """
     spark = df.sparkSession
     df = clean_text(df) if clean else df
@@ -228,10 +233,20 @@ def replace_table(
         if by == ["dt"] and partition_by_day and held.get("provider") == fmt and _same_columns(df, table):
             _replace_partitions(df, table)
             return spark.table(quoted(table))
+        if held.get("provider") == fmt and by == (["dt"] if partition_by_day else []) and _same_columns(df, table):
+            locations.swap(df, table)
+            return spark.table(quoted(table))
+        with staged(df) as rows:
+            _overwrite(_described_as(rows, df.schema), table, fmt, partition_by_day)
+    else:
+        _overwrite(df, table, fmt, partition_by_day)
+    return spark.table(quoted(table))
+
+
+def _overwrite(df: DataFrame, table: str, fmt: str, partition_by_day: bool) -> None:
     writer = df.write.format(fmt).mode("overwrite")
     writer = writer.partitionBy("dt") if partition_by_day else writer
     writer.saveAsTable(quoted(table))
-    return spark.table(quoted(table))
 
 
 def _same_columns(df: DataFrame, table: str) -> bool:

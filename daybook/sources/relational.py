@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.model import days_between, next_day
+from daybook.sources.splits import quantile_splits
 
 
 @dataclass(frozen=True)
@@ -65,15 +66,23 @@ def scan(
     splits: int = 1,
     bounds: tuple | None = None,
     predicates: Sequence[str] | None = None,
+    even: bool = False,
+    tie_column: str | None = None,
     fetch_size: int = 10_000,
 ) -> DataFrame:
     """A table of the store; filters and column choice made later are pushed into its query.
 
     One reader by default.  ``split_on`` (a numeric, date or timestamp column) with
     ``splits`` reads ranges of that column in parallel; its bounds are asked of the
-    store unless given.  Where values bunch up, pass ``predicates`` instead: SQL
-    conditions that cover the table without overlap, one reader each.
+    store unless given.  Where values bunch up, ``even`` reads the column once beforehand and
+    splits at its quantiles, values that hold more than a split's rows by ``tie_column`` as well
+    (:mod:`daybook.sources.splits`); or pass ``predicates``: SQL conditions that cover the table
+    without overlap, one reader each.
     """
+    if even and split_on and splits > 1 and not predicates:
+        whole = scan(spark, store, table, split_on=split_on, splits=splits, bounds=bounds, fetch_size=fetch_size)
+        needed = whole.select(*dict.fromkeys(c for c in (split_on, tie_column) if c))
+        predicates = quantile_splits(needed, split_on, splits, tie_column, quote_mark(store))
     if predicates:
         properties = {k: v for k, v in store.options().items() if k != "url"}
         properties["fetchsize"] = str(fetch_size)

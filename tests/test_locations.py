@@ -1,0 +1,140 @@
+"""Swapped locations and appends that count once, also after failures."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.operators import partitions
+from daybook.session import new_database, new_path, quoted
+from daybook.sinks import locations, warehouse
+
+ROWS = [(1, "a", "2024-01-01"), (2, "b", "2024-01-02"), (3, "c", None)]
+SCHEMA = "id int, v string, dt string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def content(spark, table):
+    return sorted((tuple(r) for r in spark.table(quoted(table)).collect()), key=repr)
+
+
+def failing(spark):
+    rows = frame(spark, [(i, "x", "2024-01-02") for i in range(50)])
+    return rows.withColumn("v", F.when(F.col("id") == 49, F.raise_error(F.lit("broken")).cast("string")).otherwise(F.col("v")))
+
+
+@pytest.fixture(params=["plain", "by day"])
+def external(spark, request):
+    table, place = f"{new_database(spark, 'test')}.t", new_path(spark, "external")
+    by = request.param == "by day"
+    writer = frame(spark, ROWS).write
+    (writer.partitionBy("dt") if by else writer).parquet(place)
+    partitioned = "PARTITIONED BY (dt)" if by else ""
+    spark.sql(f"CREATE TABLE {quoted(table)} ({SCHEMA}) USING parquet {partitioned} LOCATION '{place}' TBLPROPERTIES ('kept' = 'so')")
+    if by:
+        spark.sql(f"MSCK REPAIR TABLE {quoted(table)}")
+    assert content(spark, table) == sorted(ROWS, key=repr)
+    return table, place, by
+
+
+def test_external_tables_get_new_locations(spark, external):
+    table, place, by = external
+    rows = [(7, "x", "2024-01-02"), (8, "it's", "2024-03-01"), (9, None, None)]
+    for _ in range(2):
+        if by:  # a whole replacement by day would stay in its place
+            locations.swap(frame(spark, rows), table)
+        else:
+            warehouse.replace_table(frame(spark, rows), table)
+        assert content(spark, table) == sorted(rows, key=repr)
+        held = partitions.described(spark, table)
+        assert held["type"] == "EXTERNAL" and held["table_properties"]["kept"] == "so"
+        assert held["location"].startswith(f"file:{place}__") or held["location"].startswith(f"{place}__")
+    assert not Path(place.removeprefix("file:")).exists()
+    if by:
+        names = sorted(r[0] for r in partitions.list_partitions(spark, table).collect())
+        assert names == ["dt=2024-01-02", "dt=2024-03-01", "dt=__HIVE_DEFAULT_PARTITION__"]
+
+
+def test_a_failing_write_leaves_the_old_rows(spark, external):
+    table, place, by = external
+    beside = set(Path(place.removeprefix("file:")).parent.iterdir())
+    with pytest.raises(Exception, match="broken"):
+        warehouse.replace_table(failing(spark), table, partition_by_day=by)
+    assert content(spark, table) == sorted(ROWS, key=repr)
+    with pytest.raises(Exception, match="broken"):  # other columns
+        warehouse.replace_table(failing(spark).withColumn("more", F.lit(1)), table, partition_by_day=by)
+    with pytest.raises(Exception, match="broken"):  # other partitioning
+        warehouse.replace_table(failing(spark), table, partition_by_day=not by)
+    assert content(spark, table) == sorted(ROWS, key=repr)
+    assert set(Path(place.removeprefix("file:")).parent.iterdir()) == beside
+
+
+def test_a_failing_swap_is_taken_back(spark, external, monkeypatch):
+    table, place, by = external
+    inner, calls = locations._Undo.run, []
+
+    def run(self, statement, back):
+        calls.append(statement)
+        if len(calls) == (2 if by else 1):
+            raise RuntimeError("catalog down")
+        inner(self, statement, back)
+
+    monkeypatch.setattr(locations._Undo, "run", run)
+    with pytest.raises(RuntimeError, match="catalog down"):
+        locations.swap(frame(spark, [(5, "n", "2024-01-05"), (6, "n", "2024-01-01")]), table)
+    assert content(spark, table) == sorted(ROWS, key=repr)
+    assert partitions.described(spark, table)["location"].rstrip("/").endswith(place.rpartition("/")[2])
+
+
+def test_repartitioned_managed_table(spark):
+    table = f"{new_database(spark, 'test')}.t"
+    warehouse.replace_table(frame(spark, ROWS), table, partition_by_day=True)
+    with pytest.raises(Exception, match="broken"):
+        warehouse.replace_table(failing(spark), table)
+    assert content(spark, table) == sorted(ROWS, key=repr)
+    warehouse.replace_table(frame(spark, ROWS[:2]).withColumn("more", F.lit(1)), table, comments={"v": "a text"})
+    assert content(spark, table) == [(1, "a", "2024-01-01", 1), (2, "b", "2024-01-02", 1)]
+    assert partitions.partition_columns(spark, table) == []
+    assert {r[0]: r[2] for r in spark.sql(f"DESCRIBE {quoted(table)}").collect()}["v"] == "a text"
+
+
+def test_rows_outside_a_range_are_there_once(spark):
+    table = f"{new_database(spark, 'test')}.t"
+    warehouse.replace_days(frame(spark, [(0, "old", "2024-01-09")]), table, ["2024-01-09"])
+    rows = [*ROWS, (4, "other", "2024-01-09"), (5, "new day", "2024-01-10")]
+    for _ in range(3):
+        warehouse.replace_range(frame(spark, rows), table, "2024-01-01", "2024-01-02")
+        assert content(spark, table) == sorted([*rows, (0, "old", "2024-01-09")], key=repr)
+    # another range is another batch; the same one without such rows takes them out again
+    warehouse.replace_range(frame(spark, [(6, "again", "2024-01-09")]), table, "2024-01-03", "2024-01-04")
+    assert (6, "again", "2024-01-09") in content(spark, table) and (4, "other", "2024-01-09") in content(spark, table)
+    warehouse.replace_range(frame(spark, ROWS[:2]), table, "2024-01-01", "2024-01-02")
+    assert content(spark, table) == sorted([*ROWS[:2], (0, "old", "2024-01-09"), (6, "again", "2024-01-09")], key=repr)
+    assert "dt=2024-01-10" not in [r[0] for r in partitions.list_partitions(spark, table).collect()]
+
+
+def test_an_append_that_failed_half_way(spark, monkeypatch):
+    table = f"{new_database(spark, 'test')}.t"
+    warehouse.replace_days(frame(spark, ROWS[:1]), table, ["2024-01-01"])
+    late = frame(spark, [(7, "x", "2024-01-01"), (8, "y", "2024-01-05"), (9, "z", "2024-01-06")])
+    inner = partitions._spec
+
+    def broken(name):
+        if name == "dt=2024-01-06":
+            raise OSError("catalog down")
+        return inner(name)
+
+    monkeypatch.setattr(partitions, "_spec", broken)
+    with pytest.raises(OSError):
+        locations.append_once(late, table, "night-1")
+    monkeypatch.setattr(partitions, "_spec", inner)
+    assert locations.append_once(late, table, "night-1") >= 3
+    assert content(spark, table) == [(1, "a", "2024-01-01"), (7, "x", "2024-01-01"), (8, "y", "2024-01-05"), (9, "z", "2024-01-06")]
+    for bad in ("", "a/b", "x y"):
+        with pytest.raises(ValueError):
+            locations.append_once(late, table, bad)

@@ -237,6 +237,11 @@ ORACLE: dict[str, str] = {
         SELECT DISTINCT strftime(created, '%Y-%m-%d') AS ct
         FROM (SELECT *, {_CREATED} AS created FROM events)
         WHERE {_DT} = '{DAY}' AND created IS NOT NULL""",
+    "changed_days_by_digest": f"""
+        SELECT 2 AS run, dt, CASE WHEN dt = last THEN 0 ELSE n END AS n
+        FROM (SELECT {_DT} AS dt, count(*) AS n, count(*) FILTER (event_type = 'error') AS errors,
+                     max({_DT}) OVER () AS last FROM events GROUP BY 1)
+        WHERE dt = last OR dt = '{DAY}' AND errors > 0""",
     "changed_days_sql": f"{_CHANGED} ORDER BY date",
     "propagate_changed_days": f"""
         WITH changed AS ({_CHANGED})

@@ -15,6 +15,7 @@ from daybook.session import quoted
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 _DROPS_PER_STATEMENT = 500
+_DAYS_ASKED = 7
 
 
 def described(spark: SparkSession, table: str) -> dict:
@@ -46,7 +47,11 @@ def partition_exists(spark: SparkSession, table: str, day: str) -> bool:
 
 
 def _partitions_of(spark: SparkSession, table: str, days: Sequence[str]) -> list[str]:
-    """Partition names of the days, asked of the catalog day by day."""
+    """Partition names of the days: a few are asked of the catalog one by one, more with one listing."""
+    if len(days) > _DAYS_ASKED:
+        wanted = set(days)
+        names = [r["partition"] for r in list_partitions(spark, table).collect()]
+        return [n for n in names if unquote(n.split("/")[0]).partition("=")[2] in wanted]
 
     def shown(day: str) -> list[str]:
         value = "null" if day == NO_DAY else f"'{day}'"

@@ -9,12 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.functions.dates import in_day_list
 from daybook.model import check_range, days_between, pair_tables, require_text
 from daybook.operators.changes import found_days
+from daybook.operators.digests import SCHEMA, day_digests, different_days, held_digests
 from daybook.operators.frames import stamp_export_time
 from daybook.session import quoted
+from daybook.sinks.warehouse import replace_table
 from daybook.sources.extract import rows_of_days
 
 DayWriter = Callable[[DataFrame, list[str]], object]
@@ -109,3 +112,34 @@ def export_changed_days(
         rows = held.where(in_day_list(held, exported))
         write(stamp_export_time(rows, run_time), exported)
     return exported
+
+
+def export_changed_content(
+    spark: SparkSession,
+    table: str,
+    write: DayWriter,
+    state: str,
+    dt: str,
+    dt1: str | None = None,
+    *,
+    run_time: str,
+    without: tuple[str, ...] = (),
+) -> list[str]:
+    """Export the days of a range whose rows differ from those of their last export, in one write.
+
+    The table ``state`` keeps a digest of each exported day; it is changed after the write, so that a failing
+    export is made again.  Columns ``without`` (times of the load, for one) do not count as content.  A day
+    that has lost all its rows is handed to the writer as well, without rows.  Returns the exported days.
+    """
+    wanted = days_between(dt, dt1)
+    now = day_digests(rows_of_days(spark.table(quoted(table)), dt, dt1), without)
+    held = held_digests(spark, state)
+    # a row for each day that differs
+    changed = {r["dt"]: tuple(r) for r in different_days(now, held.where(F.col("dt").isin(wanted))).collect()}
+    if changed:
+        days = sorted(changed)
+        source = spark.table(quoted(table))
+        write(stamp_export_time(source.where(in_day_list(source, days)), run_time), days)
+        fresh = spark.createDataFrame([r for r in changed.values() if r[1] is not None], SCHEMA)
+        replace_table(held.where(~F.col("dt").isin(days)).unionByName(fresh).coalesce(1), state)
+    return sorted(changed)

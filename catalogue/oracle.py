@@ -150,6 +150,10 @@ ORACLE: dict[str, str] = {
         SELECT event_id, t, CASE WHEN {_PARSED} IS NOT NULL THEN 1 ELSE 0 END AS valid
         FROM (SELECT *, {_DIRTY} AS t FROM events)""",
     "iso_weekday": "SELECT o_orderkey, isodow(o_orderdate) AS weekday FROM orders",
+    "stream_windows": f"""
+        SELECT {_DT} AS dt, {_SECOND.format("time_bucket(INTERVAL 6 HOUR, ts)")} AS window_start, event_type,
+               count(*) AS n, sum(value) AS total, max(event_id) AS last_id
+        FROM events GROUP BY ALL""",
     "tumbling_window_start": f"""
         SELECT event_id,
                {_SECOND.format("time_bucket(INTERVAL 1 DAY, ts, INTERVAL '-8 hours')")} AS window_start

@@ -25,6 +25,7 @@ from daybook.sinks import warehouse
 from daybook.sources import extract
 from daybook.sources import files as file_sources
 from daybook.sources import splits
+from daybook.streaming import days as days_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -386,6 +387,24 @@ def tumbling_window_start(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", _second_text("start").alias("window_start"))
 
 
+@_query
+def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Six-hour windows kept up from a stream of files: two of events in time, then late ones, over three runs."""
+    database, place = new_database(spark), new_path(spark, "landing")
+    table, summary = f"{database}.events", f"{database}.windows"
+    events = _read(spark, sf, "events")
+    late = (F.col("event_id") % 7 == 0) | (F.col("event_type") == "error")
+    early = F.col("ts") < F.lit(DAY).cast("timestamp_ntz")
+    totals = {"total": F.sum("value"), "last_id": F.max("event_id")}
+    on_days = days_stream.summarise_days(table, summary, "ts", "6 hours", ["event_type"], totals, spark=spark)
+    for part in (~late & early, ~late & ~early, late):
+        events.where(part).write.mode("append").parquet(place)
+        rows = spark.readStream.schema(events.schema).parquet(place)
+        days_stream.follow(rows, table, "ts", f"{place}-checkpoint", on_days=on_days).awaitTermination()
+    loaded = spark.table(quoted(summary))
+    return loaded.select("dt", _second_text("window_start").alias("window_start"), "event_type", "n", "total", "last_id")
+
+
 # -- cleaning and combining ----------------------------------------------------------------
 
 

@@ -203,6 +203,19 @@ def replace_range(
     return result
 
 
+def append_once(
+    df: DataFrame, table: str, batch: str, *, fmt: str = "parquet", on_new: str = EVOLVE, clean: bool = True
+) -> DataFrame:
+    """Append rows that carry their own ``dt`` to a table by day; of one ``batch`` id they are there once,
+    however often it is run.  The table is created if missing."""
+    spark = df.sparkSession
+    df = clean_text(df, skip=["dt"]) if clean else df
+    if not table_exists(spark, table):
+        _create_by_day(df, table, fmt)
+    locations.append_once(sized(_reconciled(df, table, on_new), by_day=True), table, batch)
+    return spark.table(quoted(table))
+
+
 def replace_table(
     df: DataFrame,
     table: str,

@@ -1,0 +1,110 @@
+"""Streams into day tables: late files, restarts, batches that run twice."""
+
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.operators import partitions
+from daybook.session import new_database, new_path, quoted
+from daybook.sinks import locations
+from daybook.streaming import days
+
+SCHEMA = "id int, kind string, ts timestamp_ntz"
+
+
+def at(day, hour, minute=0):
+    return datetime.datetime(2024, 1, day, hour, minute)
+
+
+@pytest.fixture
+def place(spark):
+    database, folder = new_database(spark, "test"), new_path(spark, "landing")
+
+    class Place:
+        table, summary, landing, checkpoint = f"{database}.events", f"{database}.windows", folder, f"{folder}-checkpoint"
+
+        def land(self, rows):
+            spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+        def run(self, on_days=None, **settings):
+            rows = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+            days.follow(rows, self.table, "ts", self.checkpoint, on_days=on_days, **settings).awaitTermination()
+
+        def windows(self):
+            return days.summarise_days(self.table, self.summary, "ts", "1 hour", ["kind"], spark=spark)
+
+        def rows(self):
+            return sorted((r["id"], r["dt"]) for r in spark.table(quoted(self.table)).collect())
+
+        def counts(self):
+            return sorted((r["dt"], r["window_start"].hour, r["kind"], r["n"]) for r in spark.table(quoted(self.summary)).collect())
+
+        def files(self, table):
+            return set(spark.table(quoted(table)).inputFiles())
+
+    return Place()
+
+
+def test_late_files_change_only_their_days(spark, place):
+    place.land([(1, "a", at(1, 5)), (2, "a", at(1, 5, 59)), (3, "b", at(2, 0)), (4, "b", None)])
+    place.run(place.windows())
+    assert place.rows() == [(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-02"), (4, None)]
+    assert place.counts() == [("2024-01-01", 5, "a", 2), ("2024-01-02", 0, "b", 1)]
+    before = place.files(place.table), place.files(place.summary)
+    place.run(place.windows())  # nothing new
+    assert (place.files(place.table), place.files(place.summary)) == before
+    place.land([(5, "a", at(1, 5, 30))])
+    place.run(place.windows())
+    assert place.counts() == [("2024-01-01", 5, "a", 3), ("2024-01-02", 0, "b", 1)]
+    assert before[0] <= place.files(place.table)
+    untouched = {f for f in before[1] if "dt=2024-01-02" in f}
+    assert untouched and untouched <= place.files(place.summary)
+
+
+def test_a_batch_that_fails_runs_again_without_trace(spark, place):
+    place.land([(1, "a", at(1, 5))])
+    place.run(place.windows())
+    place.land([(2, "a", at(1, 6)), (3, "c", at(3, 1))])
+
+    def broken(found):
+        raise OSError("summary down")
+
+    with pytest.raises(Exception, match="summary down"):
+        place.run(broken)
+    assert [i for i, _ in place.rows()] == [1, 2, 3]  # appended, not yet committed by the stream
+    place.run(place.windows())
+    assert [i for i, _ in place.rows()] == [1, 2, 3]
+    assert place.counts() == [("2024-01-01", 5, "a", 1), ("2024-01-01", 6, "a", 1), ("2024-01-03", 1, "c", 1)]
+
+
+def test_several_streams_and_new_columns(spark, place):
+    place.land([(1, "a", at(1, 5))])
+    place.run()
+    other = new_path(spark, "other")
+    spark.createDataFrame([(9, at(1, 7), "x\ny")], "id int, ts timestamp_ntz, note string").write.parquet(other)
+    for _ in range(2):
+        rows = spark.readStream.schema("id int, ts timestamp_ntz, note string").parquet(other)
+        days.follow(rows, place.table, "ts", f"{other}-checkpoint", name="other").awaitTermination()
+    found = sorted((r["id"], r["kind"], r["note"]) for r in spark.table(quoted(place.table)).collect())
+    assert found == [(1, "a", None), (9, "", "xy")]
+    assert locations.holds_batch(spark, place.table, "stream.0") and locations.holds_batch(spark, place.table, "other.0")
+
+
+def test_an_empty_source(spark, place):
+    spark.createDataFrame([], SCHEMA).write.parquet(place.landing)
+    place.run(place.windows())
+    assert not spark.catalog.tableExists(quoted(place.table))
+
+
+def test_windows_without_rows_go(spark, place):
+    place.land([(1, "a", at(1, 5)), (2, "b", at(1, 23, 59))])
+    place.run(place.windows())
+    rows = spark.table(quoted(place.table)).where("id = 1")
+    assert days.window_counts(rows, "ts", "1 hour", ["kind"], {"most": F.max("id")}).collect()[0]["most"] == 1
+    locations.swap(rows, place.table)
+    place.windows()(["2024-01-01"])
+    assert place.counts() == [("2024-01-01", 5, "a", 1)]
+    assert [r[0] for r in partitions.list_partitions(spark, place.summary).collect()] == ["dt=2024-01-01"]

@@ -104,8 +104,10 @@ def links(nodes: DataFrame, max_bits: int = 2) -> DataFrame:
             for k, open_ in enumerate(left)
         ]
     )
+    # few bytes become many postings: spread them over the tasks of a shuffle first, whatever their size
+    spread = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     postings = (
-        nodes.select("fp", F.explode(posts).alias("post"))
+        spread.select("fp", F.explode(posts).alias("post"))
         .groupBy("post")
         .agg(F.collect_list("fp").alias("members"))
         .where(F.size("members") > 1)

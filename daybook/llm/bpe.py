@@ -156,13 +156,16 @@ class Encoder:
             flat = found["ids"].combine_chunks()
             values = flat.values.to_numpy().astype(np.uint32)
             ends = flat.offsets.to_numpy()
+            # the parts of all pieces lie end to end, in order, so that a piece's bytes are one stretch of theirs
             parts = found["parts"].combine_chunks()
-            texts = parts.values.to_pylist()
+            joined, cuts = _bytes_of(parts.values)
+            cuts = cuts[parts.offsets.to_numpy()].tolist()
+            ends = ends.tolist()
             for n, i in enumerate(some):
-                ids[i] = values[ends[n] : ends[n + 1]].copy()
-                decoded[i] = b"".join(texts[ends[n] : ends[n + 1]])
+                ids[i] = values[ends[n] : ends[n + 1]]
+                decoded[i] = joined[cuts[n] : cuts[n + 1]]
         for i in remembered:
-            known[pieces[i]] = ids[i], decoded[i]
+            known[pieces[i]] = ids[i].copy(), decoded[i]
         return ids, decoded
 
     def _query(self, pieces: list[bytes]) -> pa.Table:
@@ -183,6 +186,13 @@ class Encoder:
             self.db.unregister("start")
 
 
+def _bytes_of(values: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The values of a binary array end to end, and where they begin and end."""
+    values = values.cast(pa.large_binary())
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+    return values.buffers()[2].to_pybytes(), offsets
+
+
 def _contract_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one long piece: leftmost pair of minimum rank first, by a heap over linked positions."""
     n = len(piece)
@@ -227,31 +237,41 @@ class Splitter:
         import regex
 
         self.pattern = regex.compile(pattern)
-        self.chunks: dict[str, int] = {}
+        self.chunks: dict[str, int] = {}  # at a text's start, or whole texts
+        self.after: dict[str, int] = {}  # behind a space, which belongs to them
         self.pieces: dict[str, int] = {}
         self.of_chunk: list[list[int]] = []
-        self.clean: list[bool] = []
+        self.unclean: set[int] = set()  # chunks that other white space begins or ends, and empty ones
 
-    def _chunk(self, chunk: str) -> int:
+    def _add(self, chunk: str, body: str) -> int:
         number = len(self.of_chunk)
-        self.chunks[chunk] = number
-        body = chunk[1:] if chunk[:1] == " " else chunk
-        self.clean.append(bool(body) and not body[0].isspace() and not body[-1].isspace())
+        if not body or body[0].isspace() or body[-1].isspace():
+            self.unclean.add(number)
         pieces = self.pieces
         self.of_chunk.append([pieces.setdefault(p, len(pieces)) for p in self.pattern.findall(chunk)])
         return number
 
+    def _first(self, chunk: str) -> int:
+        number = self.chunks.get(chunk)
+        if number is None:
+            number = self.chunks[chunk] = self._add(chunk, chunk)
+        return number
+
     def chunks_of(self, text: str) -> list[int]:
         if not text:
             return []
         first, *rest = text.split(" ")
-        known, add, clean = self.chunks, self._chunk, self.clean
-        numbers = [known[first] if first in known else add(first)]
-        for chunk in rest:
-            number = known.get(chunk := " " + chunk)
-            numbers.append(add(chunk) if number is None else number)
-        if rest and not all([clean[n] for n in numbers]):
-            return [known[text] if text in known else add(text)]
+        after = self.after
+        numbers = [self._first(first), *map(after.get, rest)]
+        if None in numbers:
+            for i, number in enumerate(numbers):
+                if number is None:
+                    chunk = rest[i - 1]
+                    if chunk not in after:
+                        after[chunk] = self._add(" " + chunk, chunk)
+                    numbers[i] = after[chunk]
+        if rest and not self.unclean.isdisjoint(numbers):
+            return [self._first(text)]
         return numbers
 
 

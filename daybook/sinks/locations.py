@@ -30,6 +30,11 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
+def place_beside(place: str) -> str:
+    """An unused path beside a table's files."""
+    return f"{place.rstrip('/')}__{uuid.uuid4().hex[:12]}"
+
+
 def _folders(spark: SparkSession, root: str, depth: int) -> dict[str, str]:
     """Partition name (``dt=2024-01-01/dh=05``, escaped as in paths) to folder, for what was written under ``root``."""
     system, found = _file_system(spark, root)
@@ -74,7 +79,7 @@ def swap(df: DataFrame, table: str, *, keep_old: bool = False) -> str:
     held = partitions.described(spark, table)
     by = held.get("partition_columns", [])
     old_place = held["location"]
-    place = f"{old_place.rstrip('/')}__{uuid.uuid4().hex[:12]}"
+    place = place_beside(old_place)
     rows = drift.in_table_order(df, spark.table(quoted(table)).schema)
     old_parts = [r["partition"] for r in partitions.list_partitions(spark, table).collect()] if by else []
     old_places = {name: partition_location(spark, table, name) for name in old_parts}
@@ -143,7 +148,7 @@ def append_once(df: DataFrame, table: str, batch: str) -> int:
     if [c.lower() for c in held.get("partition_columns", [])] != ["dt"]:
         raise ValueError(f"{table} is not partitioned by dt alone")
     mark = _batch_mark(batch)
-    place = f"{held['location'].rstrip('/')}__{uuid.uuid4().hex[:12]}"
+    place = place_beside(held["location"])
     rows = drift.in_table_order(df, spark.table(quoted(table)).schema)
     try:
         rows.write.format(held["provider"]).partitionBy("dt").save(place)

@@ -1,0 +1,181 @@
+"""Types that grow with what batches bring."""
+
+from __future__ import annotations
+
+import datetime
+import glob
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from daybook.operators import partitions
+from daybook.session import new_database, new_path, quoted
+from daybook.sinks import warehouse, widening
+
+pytestmark = pytest.mark.usefixtures("spark")  # types are parsed by it
+
+KINDS = ["tinyint", "smallint", "int", "bigint", "decimal(9,2)", "decimal(30,4)", "float", "double", "date",
+         "timestamp_ntz", "timestamp", "boolean", "string", "array<int>", "array<bigint>", "array<struct<a:int>>",
+         "map<string,int>", "map<string,double>", "struct<a:int,b:string>", "struct<a:bigint,b:string>", "struct<c:int>"]
+
+
+def kind(text):
+    return T.DataType.fromDDL(text)
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "expected", "exactly"),
+    [
+        ("tinyint", "int", "int", "int"),
+        ("int", "bigint", "bigint", "bigint"),
+        ("bigint", "decimal(9,2)", "decimal(22,2)", "decimal(22,2)"),
+        ("decimal(9,2)", "decimal(6,4)", "decimal(11,4)", "decimal(11,4)"),
+        ("decimal(38,0)", "decimal(9,2)", "double", "string"),
+        ("bigint", "double", "double", "string"),
+        ("int", "float", "double", "double"),
+        ("smallint", "float", "float", "float"),
+        ("decimal(9,2)", "float", "double", "double"),
+        ("date", "timestamp", "timestamp", "timestamp"),
+        ("date", "timestamp_ntz", "timestamp_ntz", "timestamp_ntz"),
+        ("date", "int", "string", "string"),
+        ("boolean", "int", "string", "string"),
+        ("array<int>", "array<bigint>", "array<bigint>", "array<bigint>"),
+        ("array<struct<a:int>>", "array<int>", "string", "string"),
+        ("struct<a:int,b:string>", "struct<A:bigint,b:string>", "struct<a:bigint,b:string>", "struct<a:bigint,b:string>"),
+        ("struct<a:int,b:string>", "struct<c:int>", "string", "string"),
+        ("map<string,int>", "map<string,double>", "map<string,double>", "map<string,double>"),
+        ("map<int,int>", "map<bigint,int>", "string", "string"),
+        ("void", "int", "int", "int"),
+    ],
+)
+def test_common_type(a, b, expected, exactly):
+    assert widening.common_type(kind(a), kind(b)).simpleString() == expected
+    assert widening.common_type(kind(a), kind(b), exact=True).simpleString() == exactly
+
+
+def test_lattice_laws():
+    join = widening.common_type
+    for a in map(kind, KINDS):
+        assert join(a, a) == a
+        for b in map(kind, KINDS):
+            assert join(a, b).simpleString() == join(b, a).simpleString()
+            both = join(a, b)
+            assert join(both, a) == both and join(both, b) == both, (a, b, both)
+    with pytest.raises(ValueError):
+        join(T.BinaryType(), T.StringType())
+
+
+VALUES = {
+    "tinyint": "cast(-7 as tinyint)", "smallint": "cast(-300 as smallint)", "int": "-70000", "bigint": "-5000000000L",
+    "decimal(9,2)": "cast(-1234567.89 as decimal(9,2))", "float": "cast(-0.5 as float)", "double": "-0.25D", "date": "date'2024-01-05'",
+}
+
+
+@pytest.mark.parametrize("held", sorted(VALUES))
+def test_files_said_to_be_read_as_is_are(spark, held):
+    path = new_path(spark, "as-is")
+    spark.range(3).selectExpr(f"if(id = 1, null, {VALUES[held]}) AS x", "id").write.parquet(path)
+    targets = [*VALUES, "decimal(5,0)", "decimal(10,0)", "decimal(20,0)", "decimal(24,4)", "timestamp_ntz"]
+    tried = [t for t in targets if widening.read_as_is(kind(held), kind(t))]
+    assert held in tried
+    for target in tried:
+        read = spark.read.schema(f"x {target}, id bigint").parquet(path)
+        expected = spark.range(3).selectExpr(f"cast(if(id = 1, null, {VALUES[held]}) as {target}) AS x", "id")
+        assert sorted(map(repr, read.collect())) == sorted(map(repr, expected.collect())), target
+        assert read.where(f"x = cast({VALUES[held]} as {target})").count() == 2
+
+
+def external(spark, columns, rows, by="dt"):
+    database, place = new_database(spark, "test"), new_path(spark, "external")
+    table = f"{database}.grows"
+    part = f"PARTITIONED BY ({by})" if by else ""
+    spark.sql(f"CREATE TABLE {quoted(table)} ({columns}) USING parquet {part} LOCATION '{place}' "
+              "COMMENT 'it''s kept' TBLPROPERTIES ('kept_by' = 'a\\'b')")
+    spark.createDataFrame(rows, columns.replace(" COMMENT 'the id'", "")).write.insertInto(quoted(table))
+    return table, place
+
+
+def held(spark, table):
+    return sorted((tuple(r) for r in spark.table(quoted(table)).collect()), key=repr)
+
+
+def test_external_table_is_described_anew_without_writing(spark):
+    rows = [(1, 1.5, "2024-01-01"), (2, 2.5, "2024-01-02"), (3, None, None)]
+    table, place = external(spark, "id int COMMENT 'the id', x float, dt string", rows)
+    before = sorted(glob.glob(f"{place}/**/*.parquet", recursive=True))
+    assert widening.widen(spark, table, T.StructType.fromDDL("ID bigint, x double, other int")) == {"id": "bigint", "x": "double"}
+    assert sorted(glob.glob(f"{place}/**/*.parquet", recursive=True)) == before
+    assert held(spark, table) == sorted(rows, key=repr)
+    described = partitions.described(spark, table)
+    assert described["comment"] == "it's kept" and described["table_properties"]["kept_by"] == "a'b"
+    assert spark.table(quoted(table)).schema["id"].metadata["comment"] == "the id"
+    assert widening.widen(spark, table, T.StructType.fromDDL("id int, x float")) == {}
+    big = spark.createDataFrame([(2**40, 0.1, "2024-01-02")], "id bigint, x double, dt string")
+    widening.replace_days(big, table, ["2024-01-02"])
+    assert held(spark, table) == sorted([rows[0], rows[2], (2**40, 0.1, "2024-01-02")], key=repr)
+
+
+def test_external_table_is_rewritten_where_files_do_not_fit(spark):
+    rows = [(1, Decimal("1.50"), "2024-01-01"), (2, None, "2024-01-02")]
+    table, place = external(spark, "id int, x decimal(9,2), dt string", rows)
+    assert widening.widen(spark, table, T.StructType.fromDDL("id string, x double")) == {"id": "string", "x": "double"}
+    assert held(spark, table) == [("1", 1.5, "2024-01-01"), ("2", None, "2024-01-02")]
+    assert not glob.glob(f"{place}/**/*.parquet", recursive=True)
+
+
+@pytest.mark.parametrize("rewrite", [False, True])
+def test_failure_leaves_the_external_table(spark, monkeypatch, rewrite):
+    rows = [(1, "2024-01-01"), (2, "2024-01-02")]
+    table, _ = external(spark, "id int, dt string", rows)
+    true_define, calls = widening._define, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise OSError("catalog down")
+        true_define(*args)
+
+    monkeypatch.setattr(widening, "_define", failing)
+    with pytest.raises(OSError):
+        widening.widen(spark, table, T.StructType.fromDDL("id string" if rewrite else "id bigint"))
+    assert held(spark, table) == rows
+    assert spark.table(quoted(table)).schema["id"].dataType == T.IntegerType()
+
+
+def test_external_without_partitions_and_empty(spark):
+    for rows in ([(1,), (None,)], []):
+        table, _ = external(spark, "id int", rows, by=None)
+        widening.widen(spark, table, T.StructType.fromDDL("id bigint"))
+        widening.widen(spark, table, T.StructType.fromDDL("id string"))
+        assert held(spark, table) == sorted([(None if r[0] is None else str(r[0]),) for r in rows], key=repr)
+
+
+@pytest.mark.parametrize("by_day", [False, True])
+def test_managed_table(spark, by_day):
+    table = f"{new_database(spark, 'test')}.grows"
+    first = spark.createDataFrame([(1, datetime.date(2024, 1, 1), [1], "2024-01-01"), (2, None, None, "2024-01-02")],
+                                  "id int, day date, l array<int>, dt string")
+    warehouse.replace_table(first, table, partition_by_day=by_day, comments={"id": "the id"})
+    spark.sql(f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ('kept_by' = 'me')")
+    grown = widening.widen(spark, table, T.StructType.fromDDL("id decimal(6,2), day timestamp_ntz, l struct<a:int>, dt date"))
+    assert grown == {"id": "decimal(12,2)", "day": "timestamp_ntz", "l": "string"}
+    assert held(spark, table) == [
+        (Decimal("1.00"), datetime.datetime(2024, 1, 1), "[1]", "2024-01-01"), (Decimal("2.00"), None, None, "2024-01-02")]
+    assert spark.table(quoted(table)).schema["id"].metadata["comment"] == "the id"
+    assert partitions.described(spark, table)["table_properties"]["kept_by"] == "me"
+
+
+def test_batches_of_changing_types(spark):
+    table = f"{new_database(spark, 'test')}.grows"
+    days = [f"2024-01-0{n}" for n in range(1, 6)]
+    batches = [("int", 7), ("bigint", 2**40), ("int", 9), ("struct<a:int,b:int>", (1, None)), ("string", "x")]
+    for day, (type_, value) in zip(days, batches):
+        batch = spark.createDataFrame([(value, day)], f"v {type_}, dt string")
+        widening.replace_days(batch, table, [day], fmt="parquet")
+    assert held(spark, table) == sorted(
+        zip(["7", str(2**40), "9", '{"a":1,"b":null}', "x"], days), key=repr)
+    extra = spark.createDataFrame([("y", [1, 2], days[0])], "v string, more array<int>, dt string")
+    widening.replace_days(extra, table, [days[0]])
+    assert spark.table(quoted(table)).where(F.col("more") == "[1,2]").count() == 1

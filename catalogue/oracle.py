@@ -210,6 +210,25 @@ ORACLE: dict[str, str] = {
                CASE WHEN {_DT} = '{DAY}' THEN CAST(isodow(ts) AS VARCHAR) END AS weekday,
                {_TS}, {_DT} AS dt
         FROM events""",
+    "evolve_widen_types": f"""
+        WITH e AS (SELECT *, {_DT} AS dt, {_DT} = '{DAY}' AS wide FROM events)
+        SELECT 'external' AS kind,
+               CAST(CASE WHEN wide THEN event_id + 1099511627776 ELSE event_id END AS VARCHAR) AS event_id,
+               CAST(CAST(CASE WHEN wide THEN user_id * 1.0625 ELSE user_id * 1.25 END AS DECIMAL(20, 4)) AS VARCHAR) AS amount,
+               CAST(NULL AS VARCHAR) AS happened, dt
+        FROM e
+        UNION ALL
+        SELECT 'managed',
+               CASE WHEN wide THEN 'e' || (event_id + 1099511627776) ELSE CAST(event_id AS VARCHAR) END,
+               CAST(CAST(CASE WHEN wide THEN user_id * 1.0625 ELSE user_id * 1.25 END AS DECIMAL(20, 4)) AS VARCHAR),
+               CASE WHEN wide THEN {_SECOND.format('ts')} ELSE dt || ' 00:00:00' END, dt
+        FROM e""",
+    "snapshot_as_of": """
+        SELECT o_orderkey,
+               CASE WHEN o_custkey % 4 = d.n AND o_orderkey % 3 = 0 THEN 'C' ELSE o_orderstatus END AS o_orderstatus,
+               o_totalprice, d.dt
+        FROM orders, (VALUES (0, '2024-01-01'), (1, '2024-01-02'), (2, '2024-01-03'), (3, '2024-01-04')) d(n, dt)
+        WHERE o_orderkey % 5 <= d.n + 2 AND o_orderkey % 7 <> d.n""",
     "evolve_fill_missing": f"""
         SELECT event_id, CASE WHEN {_DT} <> '{DAY}' THEN CAST(user_id AS VARCHAR) END AS user_id, event_type, value,
                CASE WHEN {_DT} <> '{DAY}' THEN props ELSE '' END AS props, {_TS}, {_DT} AS dt

@@ -19,9 +19,9 @@ from daybook.operators import changes, drift, frames, partitions, summaries
 from daybook.plans import export, load
 from daybook.session import new_database, new_path, quoted
 from daybook.sinks import files as file_sinks
-from daybook.sinks import locations
+from daybook.sinks import history, locations
 from daybook.sinks import upsert as upsert_sink
-from daybook.sinks import warehouse
+from daybook.sinks import warehouse, widening
 from daybook.sources import extract
 from daybook.sources import files as file_sources
 from daybook.sources import splits
@@ -540,6 +540,21 @@ def snapshot_per_day(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as they stood on four days, from their intervals: they come on their day, close, and leave."""
+    table = f"{new_database(spark)}.orders"
+    orders = _read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey")
+    days = ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
+    for n, day in enumerate(days):
+        closed = (F.col("o_custkey") % 4 == n) & (F.col("o_orderkey") % 3 == 0)
+        state = orders.where((F.col("o_orderkey") % 5 <= n + 2) & (F.col("o_orderkey") % 7 != n))
+        state = state.withColumn("o_orderstatus", F.when(closed, F.lit("C")).otherwise(F.col("o_orderstatus")))
+        history.file_snapshot(state.drop("o_custkey"), table, day)
+    each = [history.as_of(spark, table, day).withColumn("dt", F.lit(day)) for day in days]
+    return reduce(DataFrame.unionByName, each)
+
+
 # -- schema drift --------------------------------------------------------------------------
 
 
@@ -552,6 +567,45 @@ def evolve_add_columns(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*EVENT, F.col("Weekday").alias("weekday"), _time_text("ts"), "dt")
 
 
+@_query
+def evolve_widen_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Narrow columns that a later batch outgrows: an external table described anew, a managed one rewritten."""
+    events = _events(spark, sf)
+    narrow = events.select(
+        F.col("event_id").cast("int").alias("event_id"),
+        (F.col("user_id") * 1.25).cast("decimal(9,2)").alias("amount"),
+        F.to_date("ts").alias("happened"),
+        "dt",
+    )
+    wide = events.where(F.col("dt") == DAY).select(
+        (F.col("event_id") + 2**40).alias("event_id"),
+        (F.col("user_id") * 1.0625).cast("decimal(20,4)").alias("amount"),
+        F.col("ts").cast("timestamp_ntz").alias("happened"),
+        "dt",
+    )
+    external, managed = (f"{new_database(spark)}.{name}" for name in ("external", "managed"))
+    place = new_path(spark, "external")
+    columns = narrow.drop("happened").schema.toDDL()
+    spark.sql(f"CREATE TABLE {quoted(external)} ({columns}) USING parquet PARTITIONED BY (dt) LOCATION '{place}'")
+    warehouse.replace_days(narrow.drop("happened"), external, _days(narrow))
+    widening.replace_days(wide.drop("happened"), external, [DAY])
+    warehouse.replace_days(narrow, managed, _days(narrow))
+    texts = wide.withColumn("event_id", F.concat(F.lit("e"), F.col("event_id")))
+    widening.replace_days(texts, managed, [DAY])
+
+    def shown(table: str, happened: Column) -> DataFrame:
+        rows = spark.table(quoted(table))
+        return rows.select(
+            F.lit(table.rpartition(".")[2]).alias("kind"),
+            F.col("event_id").cast("string").alias("event_id"),
+            F.col("amount").cast("string").alias("amount"),
+            happened.alias("happened"),
+            "dt",
+        )
+
+    return shown(external, F.lit(None).cast("string")).union(shown(managed, _second_text("happened")))
+
+
 @_query
 def evolve_fill_missing(spark: SparkSession, sf: str) -> DataFrame:
     table = _events_table(spark, sf)

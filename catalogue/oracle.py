@@ -13,6 +13,12 @@ _EVENT = "event_id, user_id, event_type, value, props"
 _MIXED = f"""CASE WHEN event_type IN ('click', 'error') THEN strftime(ts, '%Y%m%d')
        WHEN event_type = 'view' THEN {_DT} ELSE {_SECOND.format('ts')} END"""
 
+_CUSTOMERS = """
+        SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name,
+               CAST(c_nationkey AS VARCHAR) AS nation, CAST(c_acctbal AS VARCHAR) AS balance,
+               CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS segment
+        FROM customer"""
+
 _DIRTY = f"""CASE WHEN user_id % 11 = 0 THEN NULL
        WHEN event_type = 'error' THEN {_SECOND.format('ts')} || ' +'
        WHEN event_type = 'view' THEN regexp_replace({_SECOND.format('ts')}, '-01-', '-13-', 'g')
@@ -99,11 +105,8 @@ ORACLE: dict[str, str] = {
         SELECT event_id, user_id, event_type, value
         FROM events JOIN allowed ON user_id = institution
         WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 23:59:59'""",
-    "csv_all_string_load": """
-        SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name,
-               CAST(c_nationkey AS VARCHAR) AS nation, CAST(c_acctbal AS VARCHAR) AS balance,
-               CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS segment
-        FROM customer""",
+    "csv_all_string_load": _CUSTOMERS,
+    "xlsx_all_string_load": _CUSTOMERS,
     "cn_date_to_dt": f"""
         SELECT event_id,
                CASE event_type

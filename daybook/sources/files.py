@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from daybook.sources import worksheets
+
 
 def text_schema(names: str) -> T.StructType:
-    """``"a,b,c"`` as a schema of three nullable strings."""
+    """``"a,b,c"`` as a schema of nullable strings."""
     return T.StructType([T.StructField(n.strip(), T.StringType()) for n in names.split(",")])
 
 
@@ -19,11 +21,9 @@ def read_csv(spark: SparkSession, path: str, names: str, **options: str) -> Data
     return reader.options(**options).csv(path)
 
 
-def read_excel(spark: SparkSession, path: str, names: str, **options: str) -> DataFrame:
-    """A worksheet through the spreadsheet connector, if the user put it on the class path."""
-    reader = spark.read.format("com.crealytics.spark.excel").schema(text_schema(names))
-    reader = reader.option("header", True).option("treatEmptyValuesAsNulls", True)
-    return reader.options(**options).load(path)
+def read_excel(spark: SparkSession, path: str, names: str, sheet: str | int = 0, header: bool = True) -> DataFrame:
+    """A worksheet of ``.xlsx`` files, by name or position, every column text under the given names; empty cells are NULL."""
+    return worksheets.read(spark, path, text_schema(names).names, sheet, header)
 
 
 def parquet_reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:

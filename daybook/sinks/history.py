@@ -52,6 +52,32 @@ def _value(f: T.StructField) -> Column:
     return column
 
 
+def intervals(held: DataFrame, df: DataFrame, day: str) -> DataFrame:
+    """What the partitions ``OPEN`` and ``day`` hold once the frame is the snapshot of the day."""
+    schema = T.StructType([f for f in held.schema if f.name.lower() not in INTERVAL])
+    values = [_value(f) for f in schema]
+    none = F.lit(0).cast("long")
+    # as the days before have left it: rows gone on this day are open again, rows come on it were not there
+    before = held.where(F.col("valid_to").isin(OPEN, day) & (F.col("valid_from") < day))
+    before = before.select(*values, F.col("copies").alias("_then"), none.alias("_now"), F.to_date("valid_from").alias("_since"))
+    now = drift.in_table_order(drift.fill_missing_columns(df, schema), schema)
+    now = now.select(*values, none.alias("_then"), F.lit(1).cast("long").alias("_now"), F.lit(None).cast("date").alias("_since"))
+    # the day as DATE: a text's maximum would sort the rows instead of hashing them
+    both = before.unionByName(now).groupBy(*[f"`{n}`" for n in schema.names]).agg(
+        F.sum("_then").alias("_then"), F.sum("_now").alias("_now"), F.max("_since").cast("string").alias("_since")
+    )
+
+    def interval(copies: str, since: Column, until: str) -> Column:
+        return F.struct(F.col(copies).alias("copies"), since.alias("valid_from"), F.lit(until).alias("valid_to"))
+
+    same = F.col("_then") == F.col("_now")
+    gone = F.when((F.col("_then") > 0) & ~same, interval("_then", F.col("_since"), day))
+    there = F.when(F.col("_now") > 0, interval("_now", F.when(same, F.col("_since")).otherwise(F.lit(day)), OPEN))
+    names = [F.col(f"`{n}`") for n in schema.names]
+    found = both.select(*names, F.explode(F.array_compact(F.array(gone, there))).alias("_interval"))
+    return found.select(*names, *[F.col(f"_interval.{c}").alias(c) for c in INTERVAL])
+
+
 def file_snapshot(df: DataFrame, table: str, day: str, *, fmt: str = "parquet") -> DataFrame:
     """Make the history say that on ``day`` the snapshot is exactly the frame's rows.
 
@@ -70,27 +96,7 @@ def file_snapshot(df: DataFrame, table: str, day: str, *, fmt: str = "parquet")
     unknown = drift.new_columns(df, held.schema)
     if unknown:
         raise ValueError(f"{table} has no columns {unknown}")
-    schema = T.StructType([f for f in held.schema if f.name.lower() not in INTERVAL])
-    values = [_value(f) for f in schema]
-    none = F.lit(0).cast("long")
-    # as the days before have left it: rows gone on this day are open again, rows come on it were not there
-    before = held.where(F.col("valid_to").isin(OPEN, day) & (F.col("valid_from") < day))
-    before = before.select(*values, F.col("copies").alias("_then"), none.alias("_now"), F.col("valid_from").alias("_since"))
-    now = drift.in_table_order(drift.fill_missing_columns(df, schema), schema)
-    now = now.select(*values, none.alias("_then"), F.lit(1).cast("long").alias("_now"), F.lit(None).cast("string").alias("_since"))
-    both = before.unionByName(now).groupBy(*[f"`{n}`" for n in schema.names]).agg(
-        F.sum("_then").alias("_then"), F.sum("_now").alias("_now"), F.max("_since").alias("_since")
-    )
-
-    def interval(copies: str, since: Column, until: str) -> Column:
-        return F.struct(F.col(copies).alias("copies"), since.alias("valid_from"), F.lit(until).alias("valid_to"))
-
-    same = F.col("_then") == F.col("_now")
-    gone = F.when((F.col("_then") > 0) & ~same, interval("_then", F.col("_since"), day))
-    there = F.when(F.col("_now") > 0, interval("_now", F.when(same, F.col("_since")).otherwise(F.lit(day)), OPEN))
-    names = [F.col(f"`{n}`") for n in schema.names]
-    intervals = both.select(*names, F.explode(F.array_compact(F.array(gone, there))).alias("_interval"))
-    rows = intervals.select(*names, *[F.col(f"_interval.{c}").alias(c) for c in INTERVAL])
+    rows = intervals(held, df, day)
     _overwrite(drift.in_table_order(rows, held.schema), table, day)
     return spark.table(quoted(table))
 

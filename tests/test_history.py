@@ -108,6 +108,9 @@ def test_plans(spark, capsys):
     table = new_table(spark)
     history.file_snapshot(spark.range(5), table, day(1))
     history.file_snapshot(spark.range(6), table, day(2))
+    history.intervals(spark.table(quoted(table)), spark.range(6), day(3)).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "HashAggregate" in plan and "Sort" not in plan
     history.as_of(spark, table, day(1)).explain()
     plan = capsys.readouterr().out
     assert "Exchange" not in plan and "PartitionFilters" in plan and f"valid_to" in plan

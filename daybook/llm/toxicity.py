@@ -11,8 +11,8 @@ labelled documents only, at most about ``sample`` of them, chosen by a hash of t
 ``FEATURES`` words and beginnings that tell the labels apart best.  Both have a size that does not depend on the corpus
 and are broadcast.
 
-Defined cases: a null or empty text is scored by the prior alone; without labelled rows of both kinds every score is the
-smoothed share of toxic rows; null labels are not learned from; repeated rows each get a row, and a document with
+Defined cases: a null or empty text is scored by the prior alone; without labelled rows of both kinds, or without a feature
+that tells them apart, every score is the smoothed share of toxic rows, but below one half; null labels are not learned from; repeated rows each get a row, and a document with
 several labels counts once for each; extra columns are ignored.  No rows in, no rows out.
 """
 
@@ -40,6 +40,7 @@ _LAST = 0x323B0
 _CACHE = 400_000  # tokens whose weights a task remembers at a time
 _COMMIT = 64  # characters after which decoding settles what all its paths share
 _CHUNK = 1 << 20
+_UNDECIDED = -0.1  # log odds, at most, where nothing tells documents apart: a score just below one half
 
 # What characters imitate, and which separate letters.
 LEET = {
@@ -253,7 +254,10 @@ def learn(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     sample: int = SAMPLE,
 ) -> Scorer:
-    """A scorer from the texts of ``docs`` and the labels 0 and 1 of some of them; ``labels`` has id and label."""
+    """A scorer from the texts of ``docs`` and the labels 0 and 1 of some of them; ``labels`` has id and label.
+
+    Without labels of both kinds, or without a feature that tells them apart, every document scores below one half.
+    """
     spark = docs.sparkSession
     stages = Stages(spark, "toxicity")
     model = character_model(trigram_counts(docs.select(text_col)))
@@ -262,7 +266,7 @@ def learn(
     share = min(1.0, sample / max(1, totals["n"]))
     prior = float(np.log((totals["toxic"] + 0.5) / (totals["n"] - totals["toxic"] + 0.5)))
     if not 0 < totals["toxic"] < totals["n"]:
-        return Scorer(model, {}, prior)
+        return Scorer(model, {}, min(prior, _UNDECIDED))
     drawn = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20))
     shared = spark.sparkContext.broadcast(model)
 
@@ -287,7 +291,7 @@ def learn(
     seen = examples.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     yes, no = seen["toxic"], seen["n"] - seen["toxic"]
     if not yes or not no:
-        return Scorer(model, {}, prior)
+        return Scorer(model, {}, min(prior, _UNDECIDED))
     in_toxic = examples.where("toxic = 1").select(F.explode("features").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("a"))
     candidates = stages.write(in_toxic.where("a >= 5").orderBy(F.desc("a"), "f").limit(CANDIDATES))
     every = examples.select(F.explode("features").alias("f")).join(F.broadcast(candidates), "f")
@@ -305,6 +309,8 @@ def learn(
 
     rows = examples.mapInArrow(tidy(pick), "toxic int, found array<int>").toPandas()
     stages.drop(examples)
+    if not names:
+        return Scorer(model, {}, min(prior, _UNDECIDED))
     weights, bias = _fit(rows, len(names), prior)
     return Scorer(model, dict(zip(names, weights.tolist())), bias)
 

@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from daybook.llm import bpe, simhash
@@ -35,6 +40,35 @@ def test_stages_take_odd_and_no_rows(spark, odd_docs, no_docs, small):
             assert out.count() <= 3 * max(1, docs.count())
 
 
+CLASHING = ["n_lines", "n_dropped", "_first_id", "_first_mark", "_copy", "_slot", "component_id", "domain", "copies", "key"]
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_run_of_odd_rows_with_clashing_columns(spark, odd_docs, small, tmp_path, labelled):
+    long = spark.range(1).selectExpr(
+        "20L AS doc_id", "concat('a long text ', repeat('of many words ', 100000), 'that ends here') AS text",
+        "'en' AS lang", "'s' AS source", "1400000L AS n_chars", "'x' AS score",
+    )
+    docs = odd_docs.unionByName(long).withColumns({c: F.lit("mine") for c in CLASHING})
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    (labels if labelled else labels.limit(0)).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, kept, str(tmp_path)).write.parquet(f"{tmp_path}/{n}")
+        kept = spark.read.parquet(f"{tmp_path}/{n}")
+        assert kept.columns == docs.columns
+        assert {tuple(r) for r in kept.select(*CLASHING).distinct().collect()} == {("mine",) * len(CLASHING)}, name
+    # ids 1 to 3 share a line, but no text; of the repeated row, and of the texts without a word, one stays
+    ids = {r["doc_id"] for r in kept.collect()}
+    assert {1, 2, 3, 7, 8, 12, 20, None} <= ids and len(ids & {4, 5, 6}) == 1
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    found = {r["doc_id"]: r for r in out.collect()}
+    assert set(found) == ids
+    for r in kept.where("doc_id IN (7, 20)").collect():
+        assert found[r["doc_id"]]["decoded_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest()
+
+
 def test_registered(spark):
     names = set(entry.queries())
     assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names}

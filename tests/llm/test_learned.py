@@ -324,6 +324,23 @@ def test_windows_score_every_id_once():
     assert (hits == 1).all() and not (scored & ~inside).any()
 
 
+def test_training_windows_take_every_id_once():
+    lengths = np.array([1, 5, 32, 33, 64, 65, 200])
+    places, inside, _ = lm_scoring._windows(lengths, lm_scoring.WINDOW)
+    assert (np.bincount(places[inside], minlength=lengths.sum()) == 1).all()
+    assert lm_scoring._steps(lengths) == -(-len(places) // lm_scoring.BATCH)
+
+
+def test_equal_texts_score_alike_wherever_they_stand():
+    draw = np.random.default_rng(4)
+    vocabulary = lm_scoring.Vocabulary(draw.integers(0, 500, 3000).astype(float), draw.random((3000, lm_scoring.NEIGHBOURS)))
+    weights = {k: (x + draw.standard_normal(x.shape)).astype(np.float32) for k, x in lm_scoring.initial(vocabulary).items()}
+    same = draw.integers(0, 2999, 77).astype(np.int32)
+    texts = [same] * 30 + [draw.integers(0, 2999, n).astype(np.int32) for n in (1, 5, 40, 100)] + [same] * 5
+    found = lm_scoring._scores(weights, vocabulary, np.concatenate(texts), np.array([len(t) for t in texts]), 2999)
+    assert len(set(found[:30].tolist() + found[-5:].tolist())) == 1
+
+
 def test_scored_ids_have_half_a_window_before_them():
     lengths = np.array([1, 32, 33, 49, 500])
     places, _, scored = lm_scoring._windows(lengths)

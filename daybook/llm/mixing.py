@@ -6,8 +6,9 @@ posterior.  Projected-gradient least squares moves all rates from 1 until the to
 between ``lowest`` (0) and ``most`` (3): each step adds to every rate the posterior's product with the totals' gap and
 cuts it at the bounds.  The gap is scaled by the overlap of the domains among documents that no bound holds, which takes
 few steps; once a bound stands in the way, by one number for all domains, told from the last two gaps.  The rates of
-the least squared error count.  A step is one distributed sum per domain; a rate follows from the steps' gaps, a few
-numbers each, so nothing but these sums reaches the driver and no rates are written between steps.
+the least squared error count.  A step is one distributed sum per domain, made in numpy where the rows are; a rate
+follows from the steps' gaps, a few numbers each, so nothing but these sums reaches the driver, no rates are written
+between steps, and the driver's plan is the same size at every step.
 Documents that the classifier takes for one of the domains ``kept`` have the lower bound 1 instead, and the budget is
 raised as far as these domains' tokens ask for, so that none of their documents is dropped at any share.  Targets that
 cannot be met within the bounds are left as near as least squares comes; ``Fit.unmet`` has what is missing.
@@ -168,14 +169,28 @@ def _rate(
     posteriors: Column, gaps: list[np.ndarray], lowest: float | Column, most: float = np.inf, tokens: Column | None = None
 ) -> Column:
     """A document's rate after the steps with these (scaled) gaps; 1 if it has no tokens."""
-    rate = F.lit(1.0)
-    for gap in gaps:
-        move = sum((posteriors[i] * F.lit(float(g)) for i, g in enumerate(gap)), F.lit(0.0))
+
+    def step(rate: Column, gap: Column) -> Column:
+        move = sum((posteriors[i] * gap[i] for i in range(len(gaps[0]))), F.lit(0.0))
         rate = F.greatest(_bound(lowest), rate + move)
-        rate = F.least(F.lit(float(most)), rate) if most < np.inf else rate
+        return F.least(F.lit(float(most)), rate) if most < np.inf else rate
+
+    # a loop over the gaps: an expression nested once a step would have to be compiled again for each number of steps
+    rate = F.aggregate(F.lit([[float(g) for g in gap] for gap in gaps]), F.lit(1.0), step) if gaps else F.lit(1.0)
     return rate if tokens is None else F.when(tokens > 0, rate).otherwise(F.lit(1.0))
 
 
+def _rates(posteriors: np.ndarray, gaps: list[np.ndarray], lowest: np.ndarray, most: float) -> np.ndarray:
+    """The same in numpy; ``posteriors`` is domains x documents."""
+    rate = np.ones(posteriors.shape[1])
+    for gap in gaps:
+        move = np.zeros_like(rate)
+        for own, g in zip(posteriors, gap):
+            move += own * g
+        rate = np.minimum(most, np.maximum(lowest, rate + move))
+    return rate
+
+
 @dataclass
 class Fit:
     gaps: list[np.ndarray]
@@ -198,18 +213,27 @@ def fit_rates(
 ) -> Fit:
     """Rates whose expected domain totals match ``targets`` (tokens by domain); ``members`` is read once a step."""
     k = len(targets)
-    p, t = F.col("posteriors"), F.col("n_tokens").cast("double")
-    pairs = [(i, j) for i in range(k) for j in range(k)]
+    columns = [F.col("posteriors")[i] for i in range(k)] + [F.col("n_tokens").cast("double"), _bound(lowest).cast("double")]
+    given = members.select(*[F.coalesce(c, F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(columns)])
 
     def sums(gaps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-        rated = members.withColumn("_rate", _rate(p, gaps, lowest, most))
-        # before the first step all may move, also those whose bound is where rates start
-        free = F.lit(not gaps) | ((F.col("_rate") > _bound(lowest)) & (F.col("_rate") < most))
-        moving = F.when(free, t).otherwise(F.lit(0.0))
-        values = [t * p[i] * F.col("_rate") for i in range(k)]
-        values += [weight * p[i] * p[j] for weight in (t, moving) for i, j in pairs]
-        found = rated.agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"v{i}") for i, v in enumerate([*values, t])]).first()
-        found = np.array(list(found), np.float64)
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = np.zeros(k + 2 * k * k + 1)
+            for batch in batches:
+                *p, t, low = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(k + 2))
+                p = np.stack(p)
+                rate = _rates(p, gaps, low, most)
+                # before the first step all may move, also those whose bound is where rates start
+                moving = np.where((rate > low) & (rate < most), t, 0.0) if gaps else t
+                now, every, some = (p * (t * rate)).sum(axis=1), (p * t) @ p.T, (p * moving) @ p.T
+                found += np.concatenate([now, every.ravel(), some.ravel(), [t.sum()]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found))), pa.array(found)], ["place", "value"])
+
+        # one plan for all steps, whose size does not follow their number
+        rows = given.mapInArrow(tidy(each), "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).collect()
+        found = np.zeros(k + 2 * k * k + 1)
+        for row in rows:
+            found[row["place"]] = row["value"]
         every, some = found[k:-1].reshape(2, k, k)
         return found[:k], every, some, max(1.0, found[-1])
 

@@ -244,6 +244,33 @@ def test_totals_are_those_of_another_solver(spark, shares, kept):
     assert all(low[r["doc_id"]] <= r["rate"] <= mixing.MOST for r in found)
 
 
+def test_steps_of_the_fit_share_one_plan(spark, monkeypatch):
+    """The driver's plan must not follow the number of steps: at 40 steps it took the driver's memory."""
+    draw = np.random.default_rng(6)
+    p = draw.dirichlet((0.9, 0.4, 0.3), 200)
+    rows = [(i, int(t), [float(x) for x in q]) for i, (t, q) in enumerate(zip(draw.integers(1, 300, 200), p))]
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, posteriors array<double>")
+    low = F.when(F.col("posteriors")[0] == F.array_max("posteriors"), 1.0).otherwise(0.0)
+    plans = []
+    for name in ("collect", "first"):
+        plain = getattr(type(members), name)
+
+        def noted(self, *args, plain=plain):
+            plans.append(self._jdf.queryExecution().analyzed().toString().count("greatest("))
+            return plain(self, *args)
+
+        monkeypatch.setattr(type(members), name, noted)
+    fit = mixing.fit_rates(members, np.array([0.05, 0.15, 0.8]) * sum(r[1] for r in rows), lowest=low, most=mixing.MOST)
+    assert len(plans) > 5 and len(set(plans)) == 1
+    # the rates as a column and as the steps have them
+    gaps = [draw.normal(0, 0.5, 3) for _ in range(mixing.STEPS)]
+    for given in (fit.gaps, gaps, []):
+        rated = members.withColumn("rate", mixing._rate(F.col("posteriors"), given, low, mixing.MOST)).orderBy("doc_id")
+        assert rated._jdf.queryExecution().optimizedPlan().toString().count("greatest(") <= 1
+        found = [r["rate"] for r in rated.collect()]
+        assert found == mixing._rates(p.T, given, (p.argmax(axis=1) == 0) * 1.0, mixing.MOST).tolist()
+
+
 def test_repetition_is_bounded(spark):
     rows = [(0, "good words here " * 3000, "a", 1)] + [(i, "bad", "b", 2) for i in range(1, 8)] + [(9, " \n ", "a", 3), (10, None, "b", 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _copy string, _doc int")

@@ -389,6 +389,34 @@ def test_predictions_are_causal_and_sum_to_one():
     assert np.allclose(one[:, :20], other[:, :20], atol=1e-4) and not np.allclose(one[:, 20:], other[:, 20:], atol=1e-4)
 
 
+def test_gradients_of_a_step_taken_in_parts(monkeypatch):
+    vocabulary = lm_scoring.Vocabulary(np.arange(500, 0, -1).astype(float), np.random.default_rng(0).random((500, lm_scoring.NEIGHBOURS)))
+    w = {k: x.astype(np.float64) for k, x in lm_scoring.initial(vocabulary).items()}
+    draw = np.random.default_rng(5)
+    inputs = draw.integers(0, 40, (5, lm_scoring.WINDOW))  # most rows come several times
+    truth, counted = draw.integers(0, lm_scoring.CLASSES, inputs.shape), draw.random(inputs.shape) < 0.8
+    whole = lm_scoring._gradients(w, inputs, truth, counted)
+    monkeypatch.setattr(lm_scoring, "PART", 2)
+    parts = lm_scoring._gradients(w, inputs, truth, counted)
+    assert set(parts) == set(whole) == set(w)
+    assert all(np.allclose(parts[k], whole[k], rtol=1e-9, atol=1e-12) for k in w)
+    assert not parts["embed"][40:].any()
+
+    def loss():
+        logits = lm_scoring._classify(w, lm_scoring._attend(w, inputs)["h"])[0]
+        own = logits[np.arange(len(logits)), truth.ravel()] - np.log(np.exp(logits).sum(axis=1))
+        return -(own * counted.ravel()).sum() / counted.sum()
+
+    for at in ((3, 5), (17, 0), (39, lm_scoring.WIDTH - 1)):
+        kept = w["embed"][at]
+        w["embed"][at] = kept + 1e-5
+        up = loss()
+        w["embed"][at] = kept - 1e-5
+        down = loss()
+        w["embed"][at] = kept
+        assert math.isclose(parts["embed"][at], (up - down) / 2e-5, rel_tol=2e-2, abs_tol=1e-7), at
+
+
 def test_gradients_against_differences():
     counts = np.arange(500, 0, -1).astype(float)
     vocabulary = lm_scoring.Vocabulary(counts, np.random.default_rng(0).random((500, lm_scoring.NEIGHBOURS)))
